@@ -174,13 +174,11 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     found = simhash_components(docs, id_col, text_col)
     heads = found.where(F.col("id") == F.col("component_id")).groupBy("id").agg(F.count("*").alias("n"))
-    kept = docs.join(heads.select(F.col("id").alias(id_col)), id_col, "left_semi")
-    repeated = heads.where("n > 1").select(F.col("id").alias(id_col))
-    once = kept.join(repeated, id_col, "left_anti")
+    kept = docs.join(heads.select(F.col("id").alias(id_col), F.col("n").alias("_repeats")).hint("merge"), id_col)
     names = [c for c in docs.columns if c != id_col]
-    many = kept.join(repeated, id_col, "left_semi").groupBy(id_col).agg(F.min_by(F.struct(*names), F.coalesce(text_col, F.lit(""))).alias("_row"))
+    many = kept.where("_repeats > 1").groupBy(id_col).agg(F.min_by(F.struct(*names), F.coalesce(text_col, F.lit(""))).alias("_row"))
     return (
-        once.select(*docs.columns)
+        kept.where("_repeats = 1").select(*docs.columns)
         .unionByName(many.select(id_col, *[F.col("_row")[c].alias(c) for c in names]))
         .unionByName(docs.where(F.col(id_col).isNull()))
     )

@@ -81,7 +81,8 @@ def segments(weights: np.ndarray) -> list[tuple[int, int, float]]:
 def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, learn: object) -> DataFrame:
     marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(learn)
-    return rows.join(marks, "id")
+    # the larger side is the texts whatever their number, and the labels grow with them: always the same join
+    return rows.join(marks.hint("merge"), "id")
 
 
 def _counts(labelled: DataFrame) -> DataFrame:
