@@ -44,7 +44,8 @@ def load_existing(spark: SparkSession, path: str) -> DataFrame:
     empty = spark.createDataFrame([], UPLOADS)
     try:
         text = spark.read.text(path, wholetext=True)
-        whole = text.select(F.from_json(F.trim("value"), f"array<struct<{_typed(UPLOADS)}>>").alias("a"))
+        array = F.when(F.col("value").rlike(r"^\s*\["), F.col("value"))
+        whole = text.select(F.from_json(array, f"array<struct<{_typed(UPLOADS)}>>").alias("a"))
         return empty if text.isEmpty() else whole.select(F.inline("a"))
     except AnalysisException:
         return empty
@@ -107,7 +108,7 @@ def write_battles(df: DataFrame, path: str, fmt: str = "csv") -> None:
     arrays = [c for c, k in df.dtypes if k.startswith("array")]
     if kind == "csv":
         out = df.withColumns({c: _listed(df, c) for c in arrays}).drop("is_multipart")
-        out.write.mode("overwrite").csv(path, header=True, escape='"', timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
+        out.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path, header=True, escape='"')
         return
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     times = {c: F.timestamp_diff("MILLISECOND", epoch, F.col(c)) for c, k in df.dtypes if k == "timestamp_ntz"}

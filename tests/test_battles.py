@@ -1,0 +1,133 @@
+import random
+from datetime import datetime
+
+from pyspark.sql import functions as F
+from pyspark.testing import assertDataFrameEqual
+
+from duelframe.operators import consolidate, dims, events, incremental, review, uploads
+from duelframe.plans import battles as B
+from duelframe.plans import fixtures
+from duelframe.plans import queries as Q
+
+SF = "/root/testdata/sf0.001"
+EVENT = "matchup string, event_name string, event_description string, video_id string, _ord int"
+
+
+def test_missing_columns_do_nothing(spark):
+    df = spark.range(3)
+    for step in (uploads.clean_titles, uploads.parse_upload_date, uploads.add_duration_columns, uploads.convert_video_metrics_to_numeric, uploads.copy_title, uploads.strip_part_suffix, uploads.filter_titles_with_vs, uploads.drop_non_battles, uploads.keep_one_on_one, uploads.keep_battles, uploads.add_matchup_and_split, uploads.apply_emcee_rename, uploads.add_matchup_clean, events.split_event_description, events.parse_event_date, events.clean_event_location, events.extract_event_name, events.fill_from_description, consolidate.consolidate_parts):
+        assert step(df).columns == ["id"] and step(df).count() == 3
+
+
+def test_every_alias(spark):
+    rows = [(k, "x", v) for k, v in dims.ALIASES.items()]
+    assert len(rows) == 61 and len(set(dims.ALIASES.values())) == 52 and not set(dims.ALIASES) & set(dims.ALIASES.values())
+    got = uploads.apply_emcee_rename(spark.createDataFrame(rows, "emcee1 string, emcee2 string, want string"), dims.ALIASES)
+    assert got.where("emcee1 <> want or emcee2 <> 'x'").count() == 0
+    assert uploads.apply_emcee_rename(got, None) is got
+
+
+def attach(spark, ups, evs):
+    up = spark.createDataFrame(ups, "id string, upload_date timestamp_ntz, description string")
+    ev = None if evs is None else spark.createDataFrame(evs, EVENT)
+    return events.attach_event_metadata(up, ev)
+
+
+def test_event_dates_by_upload_date(spark):
+    t = lambda s: datetime.fromisoformat(s)
+    said = "Bar League presents: Said 1 @ There. Jan. 2, 2023"
+    cases = [("2019-01-01", "Dec 1, 2018", None, "2018-12-01"), ("2020-05-01", "Apr 1, 2020", None, None), ("2022-04-27", "Apr 1, 2022", said, None), ("2022-04-27T10:00:00", "Apr 1, 2022", said, "2022-04-01"), ("2022-04-28", None, said, None), ("2022-05-01", None, said, None), ("2023-01-01", None, said, "2023-01-02"), (None, "Apr 1, 2022", said, "2022-04-01")]
+    ups = [(f"v{k}", t(c[0]) if c[0] else None, c[2]) for k, c in enumerate(cases)]
+    evs = [("m", "E", c[1] and f"Place. {c[1]}", f"v{k}", k) for k, c in enumerate(cases)]
+    got = {r.id: r for r in attach(spark, ups, evs).collect()}
+    for k, c in enumerate(cases):
+        assert str(got[f"v{k}"].event_date)[:10] == str(c[3]), c
+    assert got["v1"].event_name == "E" and got["v1"].event_location_clean == "Place"  # the date alone is cleared
+    assert got["v6"].event_name == "E" and got["v6"].event_location_clean == "There"
+
+
+def test_first_event_counts_and_rows_stay(spark):
+    ups = [("a", None, None), ("a", None, None), (None, None, None), ("z", None, None)]
+    evs = [("m", "second", "x", "a", 2), ("m", "first", None, "a", 1), ("m", "n", "x", None, 0)]
+    got = attach(spark, ups, evs)
+    assert got.count() == 4 and {r.event_name for r in got.where("id = 'a'").collect()} == {"first"}
+    assert got.where("id is null and event_name is not null").count() == 0
+    assert attach(spark, ups, None).columns == ["id", "upload_date", "description"]
+    assert events.attach_event_metadata(spark.range(2).toDF("k"), spark.createDataFrame(evs, EVENT)).columns == ["k"]
+    clash = spark.createDataFrame([("a", "own")], "id string, event_name string")
+    assert events.attach_event_metadata(clash, spark.createDataFrame(evs, EVENT)).select("event_name", "event_name_event").first() == ("own", "first")
+
+
+def test_consolidation(spark):
+    t = datetime
+    rows = [
+        ("y", "F - A vs B pt. 2", "F - A vs B", t(2011, 1, 2), 200.0, "Ahon", "u2"), ("x", "F - A vs B pt. 1", "F - A vs B", t(2011, 1, 3), 100.0, None, "u1"),
+        ("z", "F - C vs D pt. 1", "F - C vs D", t(2011, 1, 4), None, None, "u3"), ("w", "F - E vs G", "F - E vs G", None, 86400.0, "N", "u4"), ("q", "f - a vs b pt. 1", "f", None, 1.0, None, None), ("n", None, None, None, None, None, None),
+        ("k10", "K vs L pt. 10", "K vs L", None, 1.0, None, "u10"), ("k9", "K vs L pt. 9", "K vs L", None, 1.0, None, "u9"), ("k10b", "K vs L pt. 10", "K vs L", None, 1.0, None, None),
+    ]
+    df = spark.createDataFrame(rows, "id string, yt_raw_title string, title string, upload_date timestamp_ntz, duration_seconds double, event_name string, url string")
+    want = {
+        ("x", "y"): (t(2011, 1, 2), 300.0, "Ahon", "00:05:00", True, ["u1", "u2"]), ("z",): (t(2011, 1, 4), 0.0, None, "00:00:00", True, ["u3"]), ("w",): (None, 86400.0, "N", "00:00:00", False, ["u4"]),
+        ("q",): (None, 1.0, None, "00:00:01", True, [None]), ("n",): (None, None, None, None, False, [None]), ("k9", "k10", "k10b"): (None, 3.0, None, "00:00:03", True, ["u9", "u10", None]),
+    }
+    for n in (1, 7):
+        got = consolidate.consolidate_parts(df.repartition(n))
+        assert {tuple(r.id): (r.upload_date, r.duration_seconds, r.event_name, r.duration_hms, r.is_multipart, r.url) for r in got.collect()} == want
+    assert consolidate.consolidate_parts(df.limit(0)).count() == 0
+
+
+def test_consolidation_conserves_ids_and_durations(spark):
+    base = B.make_uploads_1v1(fixtures.uploads(spark, SF))
+    got = consolidate.consolidate_parts(base)
+    a = base.agg(F.count("*"), F.round(F.sum("duration_seconds"), 3)).first()
+    b = got.agg(F.sum(F.size("id")), F.round(F.sum("duration_seconds"), 3)).first()
+    assert tuple(a) == tuple(b)
+
+
+def test_result_does_not_depend_on_partitions(spark):
+    up, ev = fixtures.uploads(spark, SF), fixtures.events(spark, SF)
+    assertDataFrameEqual(B.battles(up, ev, ordered=False), B.battles(up.repartition(13), ev.repartition(5), ordered=False))
+
+
+def test_final_columns(spark):
+    up, ev = fixtures.uploads(spark, SF), fixtures.events(spark, SF)
+    assert tuple(B.battles(up, ev).columns) == B.FINAL
+    assert tuple(B.battles(up, None).columns) == tuple(c for c in B.FINAL if not c.startswith("event_"))
+    strict = B.battles(up, None, strict_schema=True)
+    assert tuple(strict.columns) == B.FINAL and dict(strict.dtypes)["event_date"] == "timestamp_ntz"
+    dates = [r.upload_date for r in B.battles(up, ev).collect()]
+    known = [d for d in dates if d]
+    assert known == sorted(known, reverse=True) and all(d is None for d in dates[len(known) :])
+    fixed = spark.createDataFrame([("a", "Davao City", None), ("b", "Davao City,  Metro Manila, Philippines", None), ("c", "In Davao City", None)], "id string, event_location_clean string, yt_raw_title string")
+    assert [r.event_location for r in B.finalize_battles(fixed, ordered=False).orderBy("id").collect()] == ["Davao City, Philippines", "Davao City, Philippines", "In Davao City"]
+
+
+def test_emcees(spark):
+    names = ["$tep G", "1ce", "A", "AB", "ABa", "Zucchetto", "a", "Éa", "Lil Weng", "LilWeng"]
+    pairs = [(a, random.choice(names)) for a in names] + [(None, "A"), ("A", None)]
+    random.shuffle(pairs)
+    got = dims.build_emcees(spark.createDataFrame(pairs, "emcee1 string, emcee2 string")).collect()
+    assert [(r.emcee_id, r.emcee_name) for r in got] == list(enumerate(sorted(names), 1))
+    assert dims.build_emcees(spark.createDataFrame([], "emcee1 string, emcee2 string")).count() == 0
+
+
+def test_review_and_latest(spark):
+    rows = [("t", "m", ["u1", "u2"], "a", "b"), ("t", "m", ["u1", "u2"], "a", "b"), ("s", None, ["u"], None, None)]
+    got = review.winner_review(spark.createDataFrame(rows, "title string, matchup string, url array<string>, emcee1 string, emcee2 string")).collect()
+    assert [tuple(r) for r in got] == [("t", "m", "u1 | u2", "a", "b", "", ""), ("s", None, "u", None, None, "", "")]
+    last = Q.latest_battles(spark, SF).collect()
+    assert len(last) == 5 and last == sorted(last, key=lambda r: (-r.upload_date.timestamp(), r.id))
+
+
+def test_incremental_is_idempotent(spark):
+    old = spark.createDataFrame([("a", 1), (None, 2)], "id string, v int")
+    new = spark.createDataFrame([("a", 9), ("b", 3), (None, 4)], "id string, v int")
+    once = incremental.append_new(old, new)
+    assert sorted((r.id or "", r.v) for r in once.collect()) == [("", 2), ("", 4), ("a", 1), ("b", 3)]
+    assert incremental.new_rows(new.where("id is not null"), once).count() == 0
+
+
+def test_plan_is_native(spark):
+    plan = Q.battles(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert plan.count("Scan parquet") == 0 or "ReadSchema: struct<o_orderkey" in plan or "FileScan" in plan

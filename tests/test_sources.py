@@ -1,0 +1,189 @@
+import json
+import threading
+from http.server import BaseHTTPRequestHandler, HTTPServer
+from urllib.parse import parse_qs, urlparse
+
+import pytest
+from pyspark.sql import functions as F
+
+from duelframe.plans import battles as B
+from duelframe.sources import files, rest, web
+from duelframe.streaming import uploads as stream
+
+UPLOADS = [
+    {"id": "a", "title": "Bar League - X vs Y pt. 2", "description": "d\nBar League presents: Ahon 1 @ Manila. Jan 2, 2019", "upload_date": "2019-02-02T01:00:00Z", "view_count": "5", "duration": "PT1M", "url": "ua", "likeCount": None, "commentCount": "x", "tags": ["t"]},
+    {"id": "b", "title": '"Bar League - X vs Y pt. 1"', "description": "", "upload_date": "2019-02-01T01:00:00Z", "view_count": None, "duration": "PT2M", "url": "ub", "likeCount": "1", "commentCount": "2", "tags": []},
+    {"id": "c", "title": "Bar League - Flip vs Z", "description": "é", "upload_date": "2020-06-01T01:00:00Z", "view_count": "7", "duration": "bad", "url": "uc", "likeCount": "1", "commentCount": "2", "tags": []},
+    {"id": "d", "title": "Bar League - P vs Q pt. 1", "description": "", "upload_date": "2018-06-01T01:00:00Z", "view_count": "7", "duration": "PT3S", "url": "ud", "likeCount": "1", "commentCount": "2", "tags": []},
+]
+CSV = 'matchup,event_name,event_description,video_id\nX vs Y,"Ahon ""1""","Bar League presents:\nAhon 1 @ Manila. Jan 2, 2019",b\nm,NA,None,c\nm,late,late,b\n'
+
+
+@pytest.fixture()
+def raw(tmp_path):
+    (tmp_path / "youtube_videos.json").write_text(json.dumps(UPLOADS, indent=2, ensure_ascii=False), encoding="utf-8")
+    (tmp_path / "matchup_events_metadata.csv").write_text(CSV, encoding="utf-8")
+    return tmp_path
+
+
+def test_files_to_battles_and_back(spark, raw):
+    evs = files.load_event_metadata(spark, f"{raw}/matchup_events_metadata.csv")
+    assert [(r.event_name, r.video_id) for r in evs.orderBy("_ord").collect()] == [('Ahon "1"', "b"), (None, "c"), ("late", "b")]
+    got = {tuple(r.id): r for r in B.build_battles(spark, str(raw)).collect()}
+    assert set(got) == {("b", "a"), ("c",), ("d",)}
+    both = got["b", "a"]
+    assert (both.duration_seconds, both.duration_hms, both.event_name, str(both.event_date), both.event_location) == (180.0, "00:03:00", 'Ahon "1"', "2019-01-02 00:00:00", "Manila")
+    assert got["c",].emcee1 == "Flipzydot1" and got["c",].event_date is None and got["c",].duration_seconds is None
+    B.write_battles(spark, f"{raw}/out.csv", str(raw), "CSV")
+    rows = {r.title: r for r in spark.read.csv(f"{raw}/out.csv", header=True, multiLine=True, escape='"').collect()}
+    assert rows["Bar League - X vs Y"].id == "['b', 'a']" and rows["Bar League - P vs Q"].id == "['d']" and rows["Bar League - Flip vs Z"].id == "c"
+    B.write_battles(spark, f"{raw}/out.json", str(raw), "json")
+    rows = {r["title"]: r for p in (raw / "out.json").glob("part-*") for r in map(json.loads, p.read_text(encoding="utf-8").splitlines())}
+    assert rows["Bar League - X vs Y"]["id"] == ["b", "a"] and rows["Bar League - Flip vs Z"]["id"] == "c" and rows["Bar League - P vs Q"]["url"] == ["ud"]
+    assert rows["Bar League - X vs Y"]["event_date"] == 1546387200000 and rows["Bar League - Flip vs Z"]["event_date"] is None
+    with pytest.raises(ValueError, match="xml"):
+        B.write_battles(spark, f"{raw}/no", "/nowhere", "xml")
+
+
+def test_no_events(spark, raw):
+    (raw / "matchup_events_metadata.csv").write_text("matchup,event_name,event_description,video_id\n")
+    assert "event_date" not in B.build_battles(spark, str(raw)).columns
+
+
+def test_aliases_and_existing(spark, tmp_path):
+    assert files.load_names(spark, None) is None
+    (tmp_path / "n.json").write_text('{"a": "b"}')
+    assert files.load_names(spark, f"{tmp_path}/n.json") == {"a": "b"}
+    (tmp_path / "l.json").write_text("[1]")
+    with pytest.raises(ValueError):
+        files.load_names(spark, f"{tmp_path}/l.json")
+    assert files.load_existing(spark, f"{tmp_path}/missing.json").count() == 0
+    for bad in ("{", '{"id": "a"}', "", "nonsense"):
+        (tmp_path / "bad.json").write_text(bad)
+        assert files.load_existing(spark, f"{tmp_path}/bad.json").count() == 0
+    (tmp_path / "good.json").write_text(json.dumps(UPLOADS, indent=2))
+    assert [r.id for r in files.load_existing(spark, f"{tmp_path}/good.json").orderBy("id").collect()] == list("abcd")
+
+
+def test_event_csv_keeps_extra_columns(spark, tmp_path):
+    df = spark.createDataFrame([("x", "v", "m", "n", "y")], "extra string, video_id string, matchup string, event_name string, more string")
+    files.write_events(df, f"{tmp_path}/e")
+    assert spark.read.csv(f"{tmp_path}/e", header=True).columns == ["matchup", "event_name", "video_id", "extra", "more"]
+
+
+class Service(BaseHTTPRequestHandler):
+    asked: list = []
+    down = 0
+
+    def do_GET(self):
+        url = urlparse(self.path)
+        q = {k: v[0] for k, v in parse_qs(url.query).items()}
+        Service.asked.append((url.path, q))
+        if url.path == "/flaky" and Service.down > 0:
+            Service.down -= 1
+            return self.send_error(503)
+        if url.path == "/gone":
+            return self.send_error(404)
+        if url.path == "/channels":
+            out = {"items": [{"contentDetails": {"relatedPlaylists": {"uploads": "UP"}}}] if q["id"] == "ch" else []}
+        elif url.path == "/playlistItems":
+            at = int(q.get("pageToken", 0))
+            out = {"items": [{"contentDetails": {"videoId": f"v{k}"}} for k in range(at, min(120, at + 50))] + [{"contentDetails": {}}]}
+            if at + 50 < 120:
+                out["nextPageToken"] = str(at + 50)
+        elif url.path == "/videos":
+            out = {"items": [{"id": v, "snippet": {"title": f"T {v}", "tags": ["a"] if v == "v1" else None, "x": 1}, "statistics": {"viewCount": "3"}, "contentDetails": {"duration": "PT1S"}} for v in q["id"].split(",")]}
+        elif url.path == "/videos/battle":
+            page = LISTING
+            return self.page(page)
+        elif url.path.startswith("/videos/battle/"):
+            return self.page(PAGE)
+        else:
+            out = {"ok": True}
+        self.page(json.dumps(out))
+
+    def page(self, text):
+        self.send_response(200)
+        self.end_headers()
+        self.wfile.write(text.encode())
+
+    def log_message(self, *a):
+        pass
+
+
+LISTING = """<a href="/videos/battle/ahon-1"><div class="card ft-article"><h4> Ahon 1 </h4></div></a><a href="/videos/battle/ahon-1"><div class="ft-article"><h4>Again</h4></div></a>
+<a href="/videos/battle/x/y"><div class="ft-article"><h4>Nested</h4></div></a><a href="/other/a"><div class="ft-article"><h4>O</h4></div></a><a href="/videos/battle/plain">no title</a>"""
+PAGE = """<h2 class="fw-bold display-7">Ahon &amp; 1</h2><div class="col-md-9"><small>Bar League <b>presents</b>: x<br> @ Manila.</small></div><div class="row my-4"><div class="col-md-7 my-3"><h4>No vs One</h4></div></div>
+<div class="container-xxl"><p>x</p><div class="row my-4 g-2"><div class="col-md-5 my-3"><div class="youtube-player" data-id="v1"></div></div><div class="col-md-7 my-3"><h4>Hespero vs flip 12 (x)</h4></div>
+<div class="col-md-5 my-3"><div class="youtube-player"></div></div><div class="col-md-7 my-3"><h4>A VS B<br>C @tag</h4></div><div class="col-md-5 my-3"><div class="youtube-player" data-id="v3"></div></div><div class="col-md-7 my-3"><h4>Nobody</h4></div>
+<div class="col-md-7 my-3"><h4>Un vs Paired</h4></div></div></div>"""
+
+
+@pytest.fixture(scope="module")
+def server():
+    s = HTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=s.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{s.server_port}"
+    s.shutdown()
+
+
+def test_channel_uploads(spark, server, tmp_path, monkeypatch):
+    secret = tmp_path / "secret.json"
+    secret.write_text('{"YT_API_KEY": "k"}')
+    monkeypatch.delenv("YOUTUBE_API_KEY", raising=False)
+    path = tmp_path / "up.json"
+    path.write_text(json.dumps([{"id": "v3", "title": "old"}]))
+    n = rest.fetch_channel_uploads(spark, "ch", str(path), server, str(secret), pace=0)
+    rows = {r["id"]: r for r in json.loads(path.read_text())}
+    assert n == 119 and len(rows) == 120 and rows["v3"]["title"] == "old"
+    assert rows["v1"] == {"id": "v1", "title": "T v1", "description": "", "upload_date": "", "view_count": "3", "duration": "PT1S", "url": "https://www.youtube.com/watch?v=v1", "likeCount": None, "commentCount": None, "tags": ["a"]}
+    assert all(len(q["id"].split(",")) <= 50 for p, q in Service.asked if p == "/videos")
+    before = path.read_text()
+    assert rest.fetch_channel_uploads(spark, "ch", str(path), server, str(secret), pace=0) == 0 and path.read_text() == before
+    with pytest.raises(ValueError):
+        rest.uploads_playlist("nobody", server, str(secret))
+    with pytest.raises(RuntimeError, match="gone"):
+        rest.get_json(server, "gone", str(secret))
+    with pytest.raises(RuntimeError, match="key"):
+        rest.api_key(str(tmp_path / "none.json"))
+    monkeypatch.setenv("YOUTUBE_API_KEY", "env")
+    assert rest.api_key(str(secret)) == "env"
+
+
+def test_scraping(spark, server):
+    got = web.scrape_years(spark, 2020, 2021, server, {"Flip 12 (x)": "Flipzydot1 7", "no": "x"}, sleep=0, request_sleep=0)
+    want = [("Hespero vs Flipzydot1", "Ahon & 1", "Bar League presents : x @ Manila.", "v1"), ("A vs B C", "Ahon & 1", "Bar League presents : x @ Manila.", None)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert web.scrape_years(spark, 2021, 2020, server, sleep=0).count() == 0
+
+
+def test_fetching_retries_and_skips(spark, server):
+    Service.down = 2
+    assert "ok" in web.get_page(f"{server}/flaky", sleep=0)
+    Service.down = 3
+    with pytest.raises(RuntimeError, match="503"):
+        web.get_page(f"{server}/flaky", sleep=0)
+    Service.down = 0
+    urls = spark.createDataFrame([(f"{server}/gone",), (f"{server}/flaky",)], "url string")
+    got = {r.url.rsplit("/")[-1]: r for r in web.fetch_pages(urls, sleep=0, retries=0, request_sleep=0).collect()}
+    assert got["gone"].html is None and "404" in got["gone"].error and got["flaky"].error is None
+
+
+def test_pages_without_what_is_sought(spark):
+    pages = spark.createDataFrame([("http://x/videos/battle/o'neil-2nd-day/", "<div class='row my-4'><div class='col-md-5 my-3'><div class='youtube-player' data-id='i'></div></div><div class='col-md-7 my-3'><h4>A vs B</h4></div></div>"), ("u", None), ("u", "<p>nothing"), (None, "")], "url string, html string")
+    assert [tuple(r) for r in web.scrape_pages(pages).collect()] == [("A vs B", "O'Neil 2Nd Day", "", "i")]
+
+
+def test_stream_adds_each_upload_once(spark, tmp_path):
+    folder, target = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    lines = lambda rows: "\n".join(map(json.dumps, rows))
+    (folder / "1.json").write_text(lines(UPLOADS[:2]))
+    for new in ([], UPLOADS[1:]):
+        if new:
+            (folder / "2.json").write_text(lines(new))
+        q = stream.add_uploads(stream.read_uploads(spark, str(folder)), target, str(tmp_path / "cp"))
+        q.awaitTermination()
+    rows = spark.read.parquet(target)
+    assert sorted(r.id for r in rows.collect()) == list("abcd")
+    assert rows.where(F.col("emcee1") == "Flipzydot1").count() == 1
