@@ -30,6 +30,11 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def permuted(id_: Column, seed: int) -> Column:
+    """The key that documents of a source are ordered by: the MD5 of id and seed."""
+    return F.md5(F.concat(F.coalesce(id_.cast("string"), F.lit("")), F.lit(f":{seed}")))
+
+
 def targets(sizes: Sequence[int], weights: Sequence[float], total: float, most: float = MOST_PASSES) -> list[float]:
     """Shares of total by weight, none above most times its size; what a full one can't take goes to the rest by weight."""
     out, open_ = [0.0] * len(sizes), set(range(len(sizes)))
@@ -103,12 +108,12 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | Sequence[float] =
     planned on the driver; rows are ranked in buckets of even size, so a source that
     holds most rows is spread over many tasks.
     """
-    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size")).withColumn("h", F.xxhash64("id", "size", F.lit(seed))))
+    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size")).withColumn("h", permuted(F.col("id"), seed)))
     stats = sorted(rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("words")).collect(), key=lambda r: (r.source is None, r.source or ""))
     names, sizes = [r.source for r in stats], [r.words for r in stats]
     by_source = [float(weights.get(k, 0.0)) for k in names] if isinstance(weights, Mapping) else [float(weights[k % len(weights)]) for k in range(len(names))]
     goals = targets(sizes, by_source, share * sum(sizes), most_passes)
-    draws = [min(round(t), math.floor(most_passes * s)) for t, s in zip(goals, sizes, strict=True)]
+    draws = [min(math.floor(t + 0.5), math.floor(most_passes * s)) for t, s in zip(goals, sizes, strict=True)]
     blocks = [-(-d // block_words) for d in draws]
     rng = np.random.default_rng(seed)
     dealt = split_quotas(blocks, shards, rng) if names else np.zeros((shards, 0), np.int64)
@@ -120,7 +125,7 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | Sequence[float] =
     shape = "k int, source string, source_size long, target double, draws long, blocks long, stride long, turn long, buckets long, ends array<long>"
     plan = docs.sparkSession.createDataFrame(plan, shape)
 
-    keyed = rows.join(plan.select("k", "source", "buckets"), rows["source"].eqNullSafe(plan["source"])).select("k", "id", "size", "h", F.pmod("h", F.col("buckets")).alias("bucket"))
+    keyed = rows.join(plan.select("k", "source", "buckets"), rows["source"].eqNullSafe(plan["source"])).select("k", "id", "size", "h", F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32)) * F.col("buckets")).alias("bucket"))
     heads = keyed.groupBy("k", "bucket").agg(F.sum("size").alias("words"))
     heads = heads.select("k", "bucket", F.expr("sum(words) over (partition by k order by bucket rows between unbounded preceding and current row) - words").alias("before"))
     inside = keyed.withColumn("upto", F.expr("sum(size) over (partition by k, bucket order by h, id, size rows between unbounded preceding and current row)"))
@@ -147,4 +152,25 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | Sequence[float] =
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", F.size("pieces").alias("pieces"))
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+SQL = r"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size, md5(coalesce(cast(doc_id as varchar), '') || ':2') as h from documents),
+s as (select source, sum(size)::bigint as words from d group by source),
+w as (select *, [3.0, 1.0, 2.0][1 + ((row_number() over (order by source nulls last) - 1) % 3)::int]::double as weight from s),
+r as (
+  select *, 1.5 * sum(words) over () - coalesce(sum(2.0 * words) over (order by 2.0 * words / weight, source rows between unbounded preceding and 1 preceding), 0) as rest,
+    sum(weight) over (order by 2.0 * words / weight, source rows between current row and unbounded following) as mass from w),
+-- in the order of size by weight, sources are full up to the first that its share of the rest fits in
+f as (select rest::double as rest, mass::double as mass from r where rest::double * weight / mass::double <= 2.0 * words order by 2.0 * words / weight, source limit 1),
+t as (select w.*, least(2.0 * words, coalesce((select rest from f) * weight / (select mass from f), 2.0 * words))::double as target from w),
+line as (
+  select doc_id, d.source, size, words, target, least(floor(target + 0.5), 2 * words)::bigint as draws,
+    (sum(size) over (partition by d.source order by h, doc_id, size rows between unbounded preceding and current row) - size)::bigint as pos
+  from d join t on d.source is not distinct from t.source)
+select doc_id, size, words as source_size, target, source,
+  (greatest(0, least(size, draws - pos)) + greatest(0, least(size, draws - words - pos)))::bigint as taken
+from line
+"""

@@ -2,27 +2,25 @@
 
 from __future__ import annotations
 
-from duelframe.llm import urlfilter, warc
+from duelframe.llm import mixing, rpforest, urlfilter, warc
 from duelframe.llm.decontam import op6_decontamination
 from duelframe.llm.langid import op10_language_id
-from duelframe.llm.mixing import op2_source_mixing
 from duelframe.llm.quality import op3_quality_classifier
-from duelframe.llm.rpforest import op7_embedding_near_dedup
 from duelframe.llm.simhash import op9_simhash_near_dedup
 from duelframe.llm.tokencount import op5_token_counts
 from duelframe.llm.toxicity import op4_toxicity
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
-    "op2_source_mixing": op2_source_mixing,
+    "op2_source_mixing": mixing.op2_source_mixing,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_toxicity": op4_toxicity,
     "op5_token_counts": op5_token_counts,
     "op6_decontamination": op6_decontamination,
-    "op7_embedding_near_dedup": op7_embedding_near_dedup,
+    "op7_embedding_near_dedup": rpforest.op7_embedding_near_dedup,
     "op8_url_filters": urlfilter.op8_url_filters,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL = {"op1_warc": warc.SQL, "op8_url_filters": urlfilter.SQL}
+ORACLE_SQL = {"op1_warc": warc.SQL, "op2_source_mixing": mixing.SQL, "op7_embedding_near_dedup": rpforest.SQL, "op8_url_filters": urlfilter.SQL}

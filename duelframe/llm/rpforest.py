@@ -166,3 +166,19 @@ def similar_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
+#: All pairs; the forest's links are these but for the few that every tree parts.
+SQL = """
+with recursive v as (
+  select vec_id, label, embedding::double[] as e, sqrt(list_dot_product(embedding::double[], embedding::double[])) as n
+  from embeddings where label is not null and embedding is not null),
+link as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where a.n > 0 and b.n > 0 and isfinite(a.n) and isfinite(b.n) and list_dot_product(a.e, b.e) >= 0.98 * a.n * b.n),
+reach as (select vec_id as a, vec_id as r from embeddings union select link.a, reach.r from link join reach on link.b = reach.a),
+part as (select a, min(r) as component_id from reach group by a),
+deg as (select a, count(*) as n from link group by a)
+select vec_id, coalesce(deg.n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from embeddings left join deg on vec_id = deg.a join part on vec_id = part.a
+"""
