@@ -46,3 +46,11 @@ def id_bucket(id_col: Column, mod: int) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """name, with underscores before it until df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from duelframe.llm.common import materialize, table
+from duelframe.llm.common import materialize, table, unused
 from duelframe.llm.components import connected_components
 
 MAX_BITS = 2
@@ -174,12 +174,13 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     found = simhash_components(docs, id_col, text_col)
     heads = found.where(F.col("id") == F.col("component_id")).groupBy("id").agg(F.count("*").alias("n"))
-    kept = docs.join(heads.select(F.col("id").alias(id_col), F.col("n").alias("_repeats")).hint("merge"), id_col)
+    repeats, row = unused(docs, "repeats"), unused(docs, "row")
+    kept = docs.join(heads.select(F.col("id").alias(id_col), F.col("n").alias(repeats)).hint("merge"), id_col)
     names = [c for c in docs.columns if c != id_col]
-    many = kept.where("_repeats > 1").groupBy(id_col).agg(F.min_by(F.struct(*names), F.coalesce(text_col, F.lit(""))).alias("_row"))
+    many = kept.where(F.col(repeats) > 1).groupBy(id_col).agg(F.min_by(F.struct(*names), F.coalesce(text_col, F.lit(""))).alias(row))
     return (
-        kept.where("_repeats = 1").select(*docs.columns)
-        .unionByName(many.select(id_col, *[F.col("_row")[c].alias(c) for c in names]))
+        kept.where(F.col(repeats) == 1).select(*docs.columns)
+        .unionByName(many.select(id_col, *[F.col(row)[c].alias(c) for c in names]))
         .unionByName(docs.where(F.col(id_col).isNull()))
     )
 

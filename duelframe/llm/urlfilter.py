@@ -72,14 +72,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url") -> Data
     an empty host, which no rule fits. Without rules all is allowed.
 
     A path is cut at the lengths that rules' paths have, so the expressions of a URL
-    are as many as its domains times these lengths.
+    are as many as its domains times these lengths. The driver receives the distinct
+    lengths, no more than the longest rule's path has characters.
     """
     known = rule_table(rules)
-    lengths = known.agg(F.sort_array(F.collect_set(F.length("rule_path"))).alias("lengths"))
+    lengths = sorted(r.n for r in known.select(F.length("rule_path").alias("n")).distinct().collect())
     urls = pages.select(F.col(url_col).alias("url")).distinct().select("url", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
-    cut = urls.crossJoin(F.broadcast(lengths))  # one row
-    fits = F.filter("lengths", lambda n: n <= F.length("path"))
-    spread = cut.select("url", "host", "path", F.explode(host_suffixes(F.col("host"))).alias("suffix"), fits.alias("fits")).select("url", "host", "path", "suffix", F.explode("fits").alias("n"))
+    fits = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("path"))
+    spread = urls.select("url", "path", F.explode(host_suffixes(F.col("host"))).alias("suffix"), fits.alias("fits")).select("url", "path", "suffix", F.explode("fits").alias("n"))
     digest = F.sha2(_expression(F.col("suffix"), F.substring(F.col("path"), F.lit(1), F.col("n"))), 256)
     asked = spread.select("url", digest.alias("asked")).withColumn("prefix", F.substring("asked", 1, PREFIX_DIGITS))
     hits = asked.join(known, "prefix").where(F.col("asked") == F.col("digest"))
