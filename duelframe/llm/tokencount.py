@@ -9,6 +9,7 @@ the documents are read; only the rest is shuffled.
 from __future__ import annotations
 
 import json
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
@@ -29,13 +30,19 @@ FREQUENT = 1 << 17
 #: Rows that a task holds before it hands them on.
 HELD = 100_000
 MOST_TOKENS = 2048
+_CONTROL, _SPACE = frozenset("\x1c\x1d\x1e\x1f"), regex.compile(r"\p{White_Space}+")
+
+
+_NFC_LOWER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 
 
 class PreTokens:
     """A tokenizer file's way from a text to pre-tokens; loaded again in each Python process.
 
     Serves files whose pre-tokenizer is one Split by a pattern that keeps the
-    matches, alone or followed by a ByteLevel that doesn't split.
+    matches and matches no white space, alone or followed by a ByteLevel that
+    doesn't split, and whose normalizer is the sequence NFC, white space, lower case.
+    So a text's pre-tokens are those of its words, and words repeat as well.
     """
 
     def __init__(self, path: str):
@@ -57,24 +64,39 @@ class PreTokens:
         split, rest = steps[0], steps[1:]
         if split["type"] != "Split" or (split["behavior"], split["invert"]) != ("Removed", True) or any(x["type"] != "ByteLevel" or x["use_regex"] or x["add_prefix_space"] for x in rest):
             raise ValueError(f"{self.path}: only a Split that keeps its matches is known")
+        if (said["normalizer"] or {}).get("normalizers") != _NFC_LOWER:
+            raise ValueError(f"{self.path}: only the normalizer NFC, white space, lower case is known")
         added = said["added_tokens"]
-        if any(x["normalized"] or x["single_word"] or x["lstrip"] or x["rstrip"] for x in added):
+        if any(x["normalized"] or x["single_word"] or x["lstrip"] or x["rstrip"] or not x["content"].isprintable() or " " in x["content"] for x in added):
             raise ValueError(f"{self.path}: only added tokens that match as they are written are known")
         pattern = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         special = regex.compile("|".join(regex.escape(x["content"]) for x in added)) if added else None
-        return pattern.findall, special, self.tokenizer.normalizer
+        return pattern.findall, special
+
+    def words(self, text: str | None) -> list[str]:
+        """A text's words; str.split parts at four control characters too, which are no white space to the tokenizer."""
+        if not text:
+            return []
+        return text.split() if _CONTROL.isdisjoint(text) else [w for w in _SPACE.split(text) if w]
+
+    def of_word(self, word: str) -> tuple[list[str], int]:
+        """(pre-tokens, special tokens written out) of a word."""
+        find, special = self._parts
+        if word.isascii() and "<" not in word:
+            return find(word.lower()), 0
+        parts = special.split(word) if special else [word]
+        # lower case goes character by character: a final sigma is a sigma like others
+        return [t for x in parts for t in find(unicodedata.normalize("NFC", x).replace("\u03a3", "\u03c3").lower())], len(parts) - 1
 
     def frequencies(self, text: str | None) -> tuple[Counter, int]:
         """(count of each pre-token, special tokens written out in the text)."""
-        find, special, normalizer = self._parts
-        if not text:
-            return Counter(), 0
-        parts = special.split(text) if special and "<" in text else [text]
-        normal = normalizer.normalize_str if normalizer else str
-        counts = Counter(find(normal(parts[0])))
-        for part in parts[1:]:
-            counts.update(find(normal(part)))
-        return counts, len(parts) - 1
+        counts, own = Counter(), 0
+        for word, n in Counter(self.words(text)).items():
+            found, special = self.of_word(word)
+            own += n * special
+            for t in found:
+                counts[t] += n
+        return counts, own
 
     def pieces(self, pre_tokens: list[str]) -> list[int]:
         return [len(x.ids) for x in self.tokenizer.encode_batch(pre_tokens, add_special_tokens=False)]
@@ -85,13 +107,21 @@ def vocabulary(docs: DataFrame, tokens: PreTokens, text_col: str = "text") -> Da
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            counts: Counter = Counter()
+            for word, n in held.items():
+                for t in tokens.of_word(word)[0]:
+                    counts[t] += n
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["token", "n"])
+
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                held.update(tokens.frequencies(text)[0])
+                held.update(tokens.words(text))
                 if len(held) >= HELD:
-                    yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["token", "n"])
-                    held = Counter()
-        yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["token", "n"])
+                    yield out()
+        yield out()
 
     @F.pandas_udf(IntegerType())
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -102,6 +132,22 @@ def vocabulary(docs: DataFrame, tokens: PreTokens, text_col: str = "text") -> Da
     return counts.select("token", "n", pieces("token").alias("pieces"))
 
 
+def _most_frequent(known: DataFrame, most: int) -> dict[str, int]:
+    """pieces of the most frequent pre-tokens, most at most: those from the least frequency on that so many have.
+
+    The driver receives a histogram of at most 512 bars, and then these rows alone.
+    """
+    bar = F.floor(F.log2("n") * 8).cast("int")
+    bars = known.groupBy(bar.alias("bar")).agg(F.count("*").alias("n")).collect()
+    least, total = None, 0
+    for r in sorted(bars, key=lambda r: -r.bar):
+        total += r.n
+        if total > most:
+            break
+        least = r.bar
+    return {} if least is None else {r.token: r.pieces for r in known.where(bar >= least).select("token", "pieces").collect()}
+
+
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", *, most_tokens: int = MOST_TOKENS, frequent: int = FREQUENT) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) for each row of docs.
 
@@ -113,8 +159,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """
     tokens = PreTokens(path)
     known = materialize(vocabulary(docs, tokens, text_col))
-    top = known.orderBy(F.desc("n"), "token").limit(frequent).select("token", "pieces")
-    held = docs.sparkSession.sparkContext.broadcast({r.token: r.pieces for r in top.collect()})
+    held = docs.sparkSession.sparkContext.broadcast(_most_frequent(known, frequent))
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text, F.lit(1)).alias("a"), F.xxhash64(text, F.lit(2)).alias("b"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
@@ -128,26 +173,28 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             picked = batch.select(["id", "a", "b", "n_bytes"]).take(pa.array(at, pa.int64()))
             return pa.RecordBatch.from_arrays([*picked.columns, pa.array(is_doc, pa.int64()), pa.array(token, pa.string()), pa.array(n, pa.int64())], names)
 
+        seen: dict[str, tuple[int, list[str]]] = {}  # a word's pieces in frequent pre-tokens and special tokens, and its other pre-tokens
         for batch in batches:
             at, is_doc, token, n = [], [], [], []
             for k, (x, key) in enumerate(zip(batch.column("text").to_pylist(), batch.column("a").to_pylist(), strict=True)):
-                counts, own = tokens.frequencies(x)
-                for t, c in counts.items():
-                    pieces = get(t)
-                    if pieces is None:
-                        at.append(k)
-                        is_doc.append(0)
-                        token.append(t)
-                        n.append(c)
-                    else:
-                        own += pieces * c
-                at.append(k)
-                is_doc.append(1)
-                token.append(f" {key}")  # no pre-token has a space, and keys spread over the tasks
-                n.append(own)
+                own, rare = 0, {}
+                for word, c in Counter(tokens.words(x)).items():
+                    told = seen.get(word)
+                    if told is None:
+                        found, special = tokens.of_word(word)
+                        told = seen[word] = (special + sum(get(t, 0) for t in found), [t for t in found if t not in held.value])
+                    own += told[0] * c
+                    for t in told[1]:
+                        rare[t] = rare.get(t, 0) + c
+                at += [k] * (len(rare) + 1)
+                is_doc += [0] * len(rare) + [1]
+                token += [*rare, f" {key}"]  # no pre-token has a space, and keys spread over the tasks
+                n += [*rare.values(), own]
                 if len(at) >= HELD:
                     yield out(batch, at, is_doc, token, n)
                     at, is_doc, token, n = [], [], [], []
+                if len(seen) > 2 * HELD:
+                    seen.clear()
             if at:
                 yield out(batch, at, is_doc, token, n)
 
