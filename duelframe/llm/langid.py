@@ -217,7 +217,7 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select(id_col, "held_out", "_found.lang_pred", "_found.score")
 
 
-def keep_identified(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", *, least_score: float = 0.5, **fitting) -> DataFrame:
+def keep_identified(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", *, least_score: float = 0.3, **fitting) -> DataFrame:
     """docs whose language is recognised with at least least_score; texts that are null or have no letter go."""
     net = fit(docs.where(id_bucket(F.col(id_col), 3) != 1), text_col, label_col, key_col=id_col, **fitting)
     found = identify(docs, net, text_col)

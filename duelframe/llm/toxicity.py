@@ -116,13 +116,15 @@ def _counts(labelled: DataFrame) -> DataFrame:
     return parts.groupBy("kind", "token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def fit_lexicon(labelled: DataFrame, *, prior: float = 0.1, density: float = 0.2, least_z: float = 3.3, max_terms: int = 50_000) -> Lexicon:
+def fit_lexicon(labelled: DataFrame, *, prior: float = 0.1, density: float = 0.2, least_z: float = 3.3, least_score: float = 5.0, max_terms: int = 50_000) -> Lexicon:
     """Log-odds of all labelled texts' tokens; max_terms of each kind, with the largest z, are the most that is kept.
 
     prior is the weight of the Dirichlet prior as a share of all counts, density
     the share of toxic tokens in a toxic passage, least_z how many standard
-    deviations above 0 a token's log-odds must be. The driver receives at most
-    2 * max_terms rows, which the scoring tasks get with their code.
+    deviations above 0 a token's log-odds must be. Tokens that score under
+    least_score by themselves mark a language or a subject rather than toxicity, and
+    would add up over a long text; they count as any other token. The driver receives
+    at most 2 * max_terms rows, which the scoring tasks get with their code.
     """
     counts = materialize(_counts(labelled))
     total = counts.where("kind = 0").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
@@ -142,7 +144,7 @@ def fit_lexicon(labelled: DataFrame, *, prior: float = 0.1, density: float = 0.2
         mass = sum(excess.values())
         # toxic tokens, `density` of a toxic passage, share it as they share their excess in toxic texts
         scores = {w: math.log(1 - density + density * excess[w] / mass / clean[w]) for w in excess}
-        found.append({w: s for w, s in scores.items() if s > 0})
+        found.append({w: s for w, s in scores.items() if s >= least_score})
     return Lexicon(*found, other, 0.3)
 
 
