@@ -38,19 +38,19 @@ def votes(text: str | None) -> str:
     words = text.split() if text else []
     if not words:
         return "1" * len(HEURISTICS)
-    n = len(words)
+    n, size = len(words) + 10, len(text) + 60  # a short text tells little, and is spared
     letters = sum(map(str.isalpha, text))
     lines = [x for x in (y.strip() for y in text.split("\n")) if x]
-    chunks = [words[k : k + 100] for k in range(0, n, 100)]
+    chunks = [words[k : k + 100] for k in range(0, len(words), 100)]
     fresh = [len(set(c)) / len(c) for c in chunks if len(c) >= 20]
     measures = (
         (sum(a == b for a, b in zip(words, words[1:])) / n, 0.02, 0.2),  # a word after itself
         (1 - sum(fresh) / len(fresh) if fresh else 0.45, 0.4, 0.6),  # words seen before, of 100
-        (sum(map(str.isupper, text)) / max(1, letters), 0.15, 0.5),  # capitals among letters
-        (len(_ODD.findall(text)) / len(text), 0.005, 0.04),  # odd symbols
+        (sum(map(str.isupper, text)) / (letters + 40), 0.15, 0.5),  # capitals among letters
+        (len(_ODD.findall(text)) / size, 0.005, 0.04),  # odd symbols
         (text.count("!") / n, 0.05, 0.3),  # exclamation marks
         (1 - len(set(lines)) / len(lines) if len(lines) > 3 else 0.15, 0.1, 0.3),  # repeated lines
-        (1 - letters / len(text), 0.25, 0.4),  # what isn't a letter
+        ((len(text) - letters) / size, 0.25, 0.4),  # what isn't a letter
         (sum(map(len, words)) / n, 9.0, 15.0),  # long words
         (sum(w in ("|", "*", "#", "-", "•") for w in words) / n, 0.01, 0.15),  # bare marks, as in tables
     )
@@ -84,8 +84,10 @@ def accuracies(patterns: dict[str, int], rounds: int = 100, smooth: float = 1.0)
 
 
 def _posterior(v: np.ndarray, share: float, rates: np.ndarray) -> np.ndarray:
+    """P(good) of each row of votes; an abstention says nothing, so rates are taken among cast votes."""
     h = np.arange(v.shape[1])
-    odds = np.log(share / (1 - share)) + (np.log(rates[1][v, h]) - np.log(rates[0][v, h])).sum(1)
+    told = np.log(rates) - np.log(rates[:, 1:].sum(1, keepdims=True))
+    odds = np.log(share / (1 - share)) + np.where(v == ABSTAIN, 0, told[1][v, h] - told[0][v, h]).sum(1)
     return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
@@ -117,11 +119,12 @@ class Features:
         shapes = np.fromiter(map(self._shape, words), np.int64, n)
         pairs = (shapes[:-1] * 31 + shapes[1:] + 7) % BUCKETS
         same = sum(a == b for a, b in zip(words, words[1:])) / n
-        fresh = np.mean([len(set(words[k : k + 100])) / min(100, n - k) for k in range(0, n, 100)])
-        extra = [zlib.crc32(b"\0same%d" % min(9, round(same * 10))) % BUCKETS, zlib.crc32(b"\0fresh%d" % round(fresh * 10)) % BUCKETS, zlib.crc32(b"\0one") % BUCKETS]
+        fresh = [len(set(words[k : k + 100])) / 100 for k in range(0, n - 99, 100)]  # of fewer than 100 words nearly all are new
+        extra = [b"\0one", b"\0same%d" % min(9, round(same * 10)), b"\0fresh%d" % round(np.mean(fresh) * 10) if fresh else b"\0short"]
+        extra = [zlib.crc32(x) % BUCKETS for x in extra]
         counts = np.bincount(np.concatenate([shapes, pairs]), minlength=BUCKETS)
         at = np.flatnonzero(counts)
-        weight = np.sqrt(counts[at] / n)
+        weight = np.sqrt(counts[at] / n) * (n / (n + 20))  # the fewer words, the less their shapes tell
         at, weight = np.concatenate([at, extra]), np.concatenate([weight, np.ones(len(extra))])
         return at, weight / np.sqrt((weight**2).sum())
 
