@@ -27,12 +27,12 @@ from duelframe.llm.components import connected_components
 COSINE = 0.98
 TREES = 4
 LEAF = 1024
-#: Half the width of the spill, in projections of unit vectors; a link's two ends
-#: are sqrt(2 - 2 * 0.98) = 0.2 apart at most, and their projections on a random
-#: direction of d dimensions differ by about 0.2 / sqrt(d).
-SPILL = 0.012
+#: Half the width of the spill. Linked unit vectors are at most r = sqrt(2 - 2 * cosine)
+#: apart, and in d dimensions their projections on a random direction differ by about
+#: r / sqrt(d); this is the factor. It spills a twelfth of vectors that have no clusters.
+SPILL = 0.48
 #: A node with more than this share of its vectors in the spill isn't split.
-DENSE = 0.3
+DENSE = 0.15
 
 
 def _direction(node: int, dims: int) -> np.ndarray:
@@ -42,16 +42,16 @@ def _direction(node: int, dims: int) -> np.ndarray:
 
 @F.pandas_udf(DoubleType())
 def _projection(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Of the unit vector on its node's direction."""
+    """Of the unit vector on its node's direction, times the root of the dimensions."""
     for nodes, vectors in batches:
         out = np.zeros(len(nodes))
         for node, at in nodes.groupby(nodes).groups.items():
             x = np.stack(vectors[at].to_list()).astype(float)
-            out[nodes.index.get_indexer(at)] = (x @ _direction(int(node), x.shape[1])) / np.linalg.norm(x, axis=1)
+            out[nodes.index.get_indexer(at)] = (x @ _direction(int(node), x.shape[1])) * (x.shape[1] ** 0.5 / np.linalg.norm(x, axis=1))
         yield pd.Series(out)
 
 
-def grow(classes: DataFrame, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL) -> DataFrame:
+def grow(classes: DataFrame, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL * (2 - 2 * COSINE) ** 0.5) -> DataFrame:
     """(id, root, v) vectors -> (leaf, id), several rows for vectors that spilled.
 
     root tells apart what is never compared. Levels are materialised; the driver
@@ -143,7 +143,7 @@ def similar_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     base = rows.select(F.col(id_col).alias("id"), F.xxhash64(F.col(label_col), F.size(v)).alias("root"), v.alias("v")).where(good)
     members = base.groupBy("root", "v", "id").agg(F.count("*").alias("n")).groupBy("root", "v").agg(F.min("id").alias("head"), F.count("*").alias("size"))
     classes = materialize(members.select(F.col("head").alias("id"), "root", "v", "size"))
-    spots = materialize(grow(classes.select("id", "root", "v"), trees, leaf, spill).distinct())
+    spots = materialize(grow(classes.select("id", "root", "v"), trees, leaf, spill * (2 - 2 * cosine) ** 0.5).distinct())
 
     counts = spots.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(leaf)).cast("int").alias("blocks"))
     mine = spots.groupBy("id").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))

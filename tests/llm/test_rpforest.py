@@ -62,7 +62,7 @@ def test_dense_cluster_larger_than_a_leaf_is_exact(spark):
     rows = [(i, np.float32(centre + rng.normal(0, 0.08, 16)).tolist(), 1) for i in range(300)]
     want = brute(rows)
     assert 0 < min(n for n, _ in want.values())
-    got = rpforest.similar_vectors(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA), leaf=40, spill=0.2).collect()
+    got = rpforest.similar_vectors(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA), leaf=40).collect()
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
 
 
