@@ -29,6 +29,8 @@ from duelframe.llm.common import materialize, table
 FREQUENT = 1 << 17
 #: Rows that a task holds before it hands them on.
 HELD = 100_000
+#: Texts of a batch that are Python strings at a time.
+TEXTS = 500
 MOST_TOKENS = 2048
 _CONTROL, _SPACE = frozenset("\x1c\x1d\x1e\x1f"), regex.compile(r"\p{White_Space}+")
 
@@ -117,10 +119,11 @@ def vocabulary(docs: DataFrame, tokens: PreTokens, text_col: str = "text") -> Da
             return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["token", "n"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.update(tokens.words(text))
-                if len(held) >= HELD:
-                    yield out()
+            for k in range(0, batch.num_rows, TEXTS):
+                for text in batch.column(0).slice(k, TEXTS).to_pylist():
+                    held.update(tokens.words(text))
+                    if len(held) >= HELD:
+                        yield out()
         yield out()
 
     @F.pandas_udf(IntegerType())
@@ -166,15 +169,16 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     kind = rows.schema["id"].dataType.simpleString()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = held.value.get
+        known_pieces = held.value
+        get = known_pieces.get
         names = ["id", "a", "b", "n_bytes", "docs", "token", "n"]
 
         def out(batch: pa.RecordBatch, at: list[int], is_doc: list[int], token: list[str], n: list[int]) -> pa.RecordBatch:
             picked = batch.select(["id", "a", "b", "n_bytes"]).take(pa.array(at, pa.int64()))
             return pa.RecordBatch.from_arrays([*picked.columns, pa.array(is_doc, pa.int64()), pa.array(token, pa.string()), pa.array(n, pa.int64())], names)
 
-        seen: dict[str, tuple[int, list[str]]] = {}  # a word's pieces in frequent pre-tokens and special tokens, and its other pre-tokens
-        for batch in batches:
+        seen: dict[str, tuple[int, tuple[str, ...]]] = {}  # a word's pieces in frequent pre-tokens and special tokens, and its other pre-tokens
+        for batch in (whole.slice(k, TEXTS) for whole in batches for k in range(0, whole.num_rows, TEXTS)):
             at, is_doc, token, n = [], [], [], []
             for k, (x, key) in enumerate(zip(batch.column("text").to_pylist(), batch.column("a").to_pylist(), strict=True)):
                 own, rare = 0, {}
@@ -182,7 +186,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                     told = seen.get(word)
                     if told is None:
                         found, special = tokens.of_word(word)
-                        told = seen[word] = (special + sum(get(t, 0) for t in found), [t for t in found if t not in held.value])
+                        told = seen[word] = (special + sum(get(t, 0) for t in found), tuple(t for t in found if t not in known_pieces))
                     own += told[0] * c
                     for t in told[1]:
                         rare[t] = rare.get(t, 0) + c
@@ -193,7 +197,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 if len(at) >= HELD:
                     yield out(batch, at, is_doc, token, n)
                     at, is_doc, token, n = [], [], [], []
-                if len(seen) > 2 * HELD:
+                if len(seen) > HELD:
                     seen.clear()
             if at:
                 yield out(batch, at, is_doc, token, n)
