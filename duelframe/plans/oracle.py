@@ -164,4 +164,10 @@ links as (select page_id, unnest(range(len(a)))::int as place, unnest(a) as href
 ORACLE = {k: f"{CHAIN}{q}" for k, q in _FINAL.items()} | {
     "page_links": f"{_LINKS}select page_id, place, href from links",
     "first_links": f"{_LINKS}select href, arg_min(page_id, (page_id, place)) as page_id, arg_min(place, (page_id, place)) as place from links group by href",
+    "event_links": """
+      select 'l' || o_orderkey as listing, 'Ahon & ' || o_orderkey % 50 as event_name, 'http://x.test/videos/battle/ahon-' || o_orderkey % 50 as url from orders
+      union all select 'l' || o_orderkey, 'Gubat', 'http://x.test/videos/battle/gubat' from orders""",
+    "scrape_match_rows": """
+      select 'Flipzydot1 vs Emcee ' || o_custkey || ' x' as matchup, 'Ahon ' || o_orderkey % 20 as event_name,
+        'Bar League presents: Ahon @ Makati. Dec. 1, 2020' as event_description, 'v' || o_orderkey as video_id from orders""",
 }

@@ -144,6 +144,13 @@ def first_links(spark, sf_dir):
     return events.first_of_each(links, "href", ["page_id", "place"])
 
 
+def event_links(spark, sf_dir):
+    box = lambda href, title: f"<a href=\"{href}\"><div class=\"card ft-article\"><h4> {title} </h4></div></a>"
+    html = "concat('" + box("/videos/battle/ahon-', o_orderkey % 50, '", "Ahon &amp; ', o_orderkey % 50, '") + box("/videos/battle/ahon-', o_orderkey % 50, '", "Again") + box("/videos/battle/x/y", "Nested") + box("/videos/battle/gubat", "Gubat") + "')"
+    listings = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.expr("concat('l', o_orderkey)").alias("url"), F.expr(html).alias("html"))
+    return web.event_links(listings, "http://x.test/")
+
+
 def scrape_match_rows(spark, sf_dir):
     html = """'<h2 class="display-7">Ahon ' || o_orderkey % 20 || '</h2><div class="col-md-9"><small>Bar League presents: Ahon @ Makati. Dec. 1, 2020</small></div>
       <div class="container-xxl"><div class="row my-4"><div class="col-md-5 my-3"><div class="youtube-player" data-id="v' || o_orderkey || '"></div></div>
@@ -161,5 +168,5 @@ QUERIES = {f.__name__: f for f in (
     clean_titles, parse_upload_date, durations, metrics_numeric, strip_part_suffix, part_number, filter_vs, filter_keywords,
     filter_one_on_one, extract_matchup, split_emcees, rename_emcees, uploads_1v1, event_descriptions, event_name_from_description,
     attach_events, consolidate_parts, battles, emcees, quarantine_battles, quarantined_events, winner_review, latest_battles,
-    incremental_new_ids, incremental_append, page_links, first_links, scrape_match_rows, any_case_alias,
+    incremental_new_ids, incremental_append, page_links, first_links, event_links, scrape_match_rows, any_case_alias,
 )}

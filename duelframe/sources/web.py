@@ -132,13 +132,13 @@ class PageMatches:
 
 
 def event_links(listings: DataFrame, base: str) -> DataFrame:
-    """(event_name, url) of listings (html), single-slug pages only, the first of each url."""
+    """(listing, event_name, url) of listings (url, html): single-slug pages only, in order, the first of each url in a listing."""
     listings.createOrReplaceTempView("_listings")
     spark = listings.sparkSession
     spark.udtf.register("listing_links", ListingLinks)
-    links = spark.sql("select t.* from _listings, lateral listing_links(html) t").where(F.col("href").rlike(LINK))
-    first = links.groupBy("href").agg(F.min_by("event_name", "place").alias("event_name"), F.min("place").alias("place"))
-    return first.orderBy("place").select("event_name", F.concat(F.lit(base.rstrip("/")), "href").alias("url"))
+    links = spark.sql("select url as listing, t.* from _listings, lateral listing_links(html) t").where(F.col("href").rlike(LINK))
+    first = links.groupBy("listing", "href").agg(F.min_by("event_name", "place").alias("event_name"), F.min("place").alias("place"))
+    return first.orderBy("listing", "place").select("listing", "event_name", F.concat(F.lit(base.rstrip("/")), "href").alias("url"))
 
 
 def hrefs(pages: DataFrame, html_col: str = "html") -> DataFrame:
