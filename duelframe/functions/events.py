@@ -8,12 +8,9 @@ from pyspark.sql import functions as F
 from duelframe.functions import patterns as P
 from duelframe.functions.text import collapse, non_empty, replace, strip, strip_set
 
-#: Group 1 is what stands before the first date, 2 the month's first letters, 4 the day, 5 the year.
-_DATED = rf"(?idUs)^(.*?)(?=(\w\w\w)){P.DATE}.*$"
-
-
-def _has_date(c: Column) -> Column:
-    return c.rlike(f"(?iU){P.DATE}")
+_BEFORE_DATE = rf"(?idUs)^(.*?){P.DATE}.*$"
+#: Of a date: the month's first letters, the first day and the year.
+_PARTS = r"(?sU)^(\w\w\w)\D*(\d+).*?(\d{4})\z"
 
 
 def event_date(description: Column) -> Column:
@@ -21,14 +18,14 @@ def event_date(description: Column) -> Column:
 
     Years are those of a 64-bit count of nanoseconds, 1678 to 2261.
     """
-    day = F.try_to_date(F.regexp_replace(description, _DATED, "$5-$2-$4"), "y-MMM-d")
-    day = F.when(_has_date(description), day)
+    text = F.regexp_substr(description, F.lit(f"(?iU){P.DATE}"))
+    day = F.try_to_date(F.regexp_replace(text, _PARTS, "$3-$1-$2"), "y-MMM-d")
     return F.when(F.year(day).between(1678, 2261), day).cast("timestamp_ntz")
 
 
 def split_location(description: Column) -> Column:
     """What stands before the date and after the last colon; the whole text without a date; null if empty."""
-    marked = F.regexp_replace(description, _DATED, "$1\0")
+    marked = F.regexp_replace(description, _BEFORE_DATE, "$1\0")
     return non_empty(strip(F.regexp_replace(marked, r"(?s)^(?:.*:)?\s*[ .]*(.*?)[ .]*\s*\x00\z", "$1")))
 
 

@@ -56,4 +56,5 @@ def event_name(league: str) -> str:
 
 
 def excluded() -> str:
-    return "|".join(re.escape(w) for w in EXCLUDED)
+    """A pattern for lower-case titles; words that hold another of the list add nothing to it."""
+    return "|".join(re.escape(w) for w in dict.fromkeys(EXCLUDED) if not any(v != w and v in w for v in EXCLUDED))

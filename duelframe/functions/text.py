@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The white space of all scripts, by code point.
+WHITE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _SPACE = r"[\s\x1c-\x1f]"
 
 
 def strip(c: Column) -> Column:
     """Without white space of any script at both ends."""
-    return F.regexp_replace(c, rf"(?U)^{_SPACE}+|{_SPACE}+\z", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def strip_set(c: Column, chars: str) -> Column:

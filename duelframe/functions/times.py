@@ -20,10 +20,12 @@ def utc_timestamp(c: Column) -> Column:
 
 def duration_seconds(c: Column) -> Column:
     """Seconds of an ISO-8601 duration; null if it is none, or counts years or months."""
-    parts = F.split(F.regexp_replace(c, _DURATION, "$2;$3;$4;$5;$6"), ";", -1)
-    number = lambda x: F.coalesce(F.replace(x, F.lit(","), F.lit(".")).try_cast("double"), F.lit(0.0))
-    seconds = F.aggregate(F.zip_with(parts, F.array(*map(F.lit, _SECONDS)), lambda x, s: number(x) * s), F.lit(0.0), lambda a, b: a + b)
-    return F.when(c.rlike(_DURATION) & c.rlike(r"\d"), F.when(c.startswith("-"), -seconds).otherwise(seconds))
+    # one match marks the text and parts its numbers; what isn't a duration stays unmarked
+    told = F.translate(F.regexp_replace(c, _DURATION, "\x01$2;$3;$4;$5;$6"), ",\x01", ".;")
+    number = lambda k: F.concat(F.lit("0"), F.split_part(told, F.lit(";"), F.lit(k + 2))).try_cast("double")  # noqa: E731  "" would cost an exception
+    seconds = sum((number(k) * s for k, s in enumerate(_SECONDS[1:], 1)), number(0) * _SECONDS[0])
+    marked = F.startswith(told, F.lit(";")) & ~F.startswith(c, F.lit(";")) & (told != ";;;;;")
+    return F.when(marked, F.when(F.startswith(c, F.lit("-")), -seconds).otherwise(seconds))
 
 
 def clock(seconds: Column) -> Column:

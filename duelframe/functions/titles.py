@@ -77,13 +77,13 @@ def names_versus(title: Column) -> Column:
 
 def is_excluded(title: Column) -> Column:
     """Holds one of the keywords, anywhere; false for a null."""
-    return holds(title, P.excluded())
+    return holds(F.lower(title), P.excluded(), flags="d")
 
 
 def is_one_on_one(title: Column) -> Column:
     """Not a team battle by the signs of its title; false for a null."""
     # one pattern, as a filter that moves below the title's cleaning repeats that for each mention of the title
-    return F.coalesce(~title.rlike(f"(?isU){P.TEAM}"), F.lit(False))
+    return F.coalesce(~F.lower(title).rlike(f"(?sU){P.TEAM}"), F.lit(False))
 
 
 def is_battle(title: Column) -> Column:
@@ -92,4 +92,4 @@ def is_battle(title: Column) -> Column:
     Catalyst moves filters below the cleaning of titles and repeats the cleaning for
     each mention, so a chain filters by this rather than by the three.
     """
-    return F.coalesce(title.rlike(f"(?isU)^(?=.*{P.WORD_VS})(?!.*(?:{P.excluded()}))(?!.*(?:{P.TEAM}))"), F.lit(False))
+    return F.coalesce(F.lower(title).rlike(f"(?sU)^(?=.*?{P.WORD_VS})(?!.*?(?:{P.excluded()}))(?!.*?(?:{P.TEAM}))"), F.lit(False))
