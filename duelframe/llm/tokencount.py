@@ -9,6 +9,7 @@ the documents are read; only the rest is shuffled.
 from __future__ import annotations
 
 import json
+import os
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -27,12 +28,12 @@ from duelframe.llm.common import materialize, table
 
 #: Pre-tokens that every task gets with their counts; about 4 MB.
 FREQUENT = 1 << 17
-#: Rows that a task holds before it hands them on.
-HELD = 100_000
+#: Rows or distinct words that a task holds before it hands them on.
+HELD = 50_000
 #: Texts of a batch that are Python strings at a time.
 TEXTS = 500
 MOST_TOKENS = 2048
-_CONTROL, _SPACE = frozenset("\x1c\x1d\x1e\x1f"), regex.compile(r"\p{White_Space}+")
+_CONTROL, _SPACE = "\x1c\x1d\x1e\x1f", regex.compile(r"\p{White_Space}+")
 
 
 _NFC_LOWER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -55,6 +56,7 @@ class PreTokens:
 
     @cached_property
     def tokenizer(self) -> Tokenizer:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads would each hold memory
         return Tokenizer.from_file(self.path)
 
     @cached_property
@@ -79,7 +81,7 @@ class PreTokens:
         """A text's words; str.split parts at four control characters too, which are no white space to the tokenizer."""
         if not text:
             return []
-        return text.split() if _CONTROL.isdisjoint(text) else [w for w in _SPACE.split(text) if w]
+        return [w for w in _SPACE.split(text) if w] if any(c in text for c in _CONTROL) else text.split()
 
     def of_word(self, word: str) -> tuple[list[str], int]:
         """(pre-tokens, special tokens written out) of a word."""
@@ -101,7 +103,8 @@ class PreTokens:
         return counts, own
 
     def pieces(self, pre_tokens: list[str]) -> list[int]:
-        return [len(x.ids) for x in self.tokenizer.encode_batch(pre_tokens, add_special_tokens=False)]
+        encode = self.tokenizer.encode_batch_fast
+        return [len(x) for k in range(0, len(pre_tokens), TEXTS) for x in encode(pre_tokens[k : k + TEXTS], add_special_tokens=False)]
 
 
 def vocabulary(docs: DataFrame, tokens: PreTokens, text_col: str = "text") -> DataFrame:
@@ -169,27 +172,33 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     kind = rows.schema["id"].dataType.simpleString()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_pieces = held.value
-        get = known_pieces.get
+        get = held.value.get
         names = ["id", "a", "b", "n_bytes", "docs", "token", "n"]
 
         def out(batch: pa.RecordBatch, at: list[int], is_doc: list[int], token: list[str], n: list[int]) -> pa.RecordBatch:
             picked = batch.select(["id", "a", "b", "n_bytes"]).take(pa.array(at, pa.int64()))
             return pa.RecordBatch.from_arrays([*picked.columns, pa.array(is_doc, pa.int64()), pa.array(token, pa.string()), pa.array(n, pa.int64())], names)
 
-        seen: dict[str, tuple[int, tuple[str, ...]]] = {}  # a word's pieces in frequent pre-tokens and special tokens, and its other pre-tokens
+        seen: dict[str, int] = {}  # pieces of words that have only frequent pre-tokens and special tokens
         for batch in (whole.slice(k, TEXTS) for whole in batches for k in range(0, whole.num_rows, TEXTS)):
             at, is_doc, token, n = [], [], [], []
             for k, (x, key) in enumerate(zip(batch.column("text").to_pylist(), batch.column("a").to_pylist(), strict=True)):
                 own, rare = 0, {}
                 for word, c in Counter(tokens.words(x)).items():
-                    told = seen.get(word)
-                    if told is None:
-                        found, special = tokens.of_word(word)
-                        told = seen[word] = (special + sum(get(t, 0) for t in found), tuple(t for t in found if t not in known_pieces))
-                    own += told[0] * c
-                    for t in told[1]:
-                        rare[t] = rare.get(t, 0) + c
+                    pieces = seen.get(word)
+                    if pieces is None:
+                        found, pieces = tokens.of_word(word)
+                        others = False
+                        for t in found:
+                            p = get(t)
+                            if p is None:
+                                others = True
+                                rare[t] = rare.get(t, 0) + c
+                            else:
+                                pieces += p
+                        if not others:
+                            seen[word] = pieces
+                    own += pieces * c
                 at += [k] * (len(rare) + 1)
                 is_doc += [0] * len(rare) + [1]
                 token += [*rare, f" {key}"]  # no pre-token has a space, and keys spread over the tasks
