@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from duelframe.sources.files import spread
+
 UPLOADS = """
 select id, title, description, upload_date, view_count, duration, 'https://x.test/watch?v=' || id as url, like_count as likeCount, cast(null as string) as commentCount
 from (
@@ -65,9 +67,13 @@ from orders where o_orderkey % 1000 = 0
 """
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate"))
+
+
 def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(UPLOADS.replace("from orders", "from {orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    return spark.sql(UPLOADS.replace("from orders", "from {orders}"), orders=_orders(spark, sf_dir))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(EVENTS.replace("from orders", "from {orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    return spark.sql(EVENTS.replace("from orders", "from {orders}"), orders=_orders(spark, sf_dir))

@@ -17,9 +17,18 @@ EVENTS = "matchup string, event_name string, event_description string, video_id
 EVENT_COLUMNS = ("matchup", "event_name", "event_description", "video_id")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores if its files make fewer partitions; the raw rows move, before the work on them begins.
+
+    A JSON array or a small file is one task otherwise. A large input has partitions enough and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def load_uploads(spark: SparkSession, path: str) -> DataFrame:
     """An indented JSON array of uploads."""
-    return spark.read.schema(UPLOADS).json(path, multiLine=True)
+    return spread(spark.read.schema(UPLOADS).json(path, multiLine=True))
 
 
 def load_event_metadata(spark: SparkSession, path: str) -> DataFrame:
