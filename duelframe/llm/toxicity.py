@@ -1,12 +1,13 @@
 """Toxic passages as maximum-scoring segments of a text's tokens.
 
-Each token scores the logarithm of its probability in a toxic passage over that in
-clean text. Token probabilities come from labelled texts under an informative
-Dirichlet prior, the tokens' shares in all labelled texts (Monroe, Colaresi and
-Quinn 2008, "Fightin' Words"). A linear scan finds every maximal segment (Ruzzo and
-Tompa 1999). As scores are log likelihood ratios, a segment of score S appears by
-chance in n clean tokens with expectation K n exp(-S), the extreme-value law of
-Karlin and Altschul (1990) with lambda 1. The normalised scores of a text's
+Each token scores its log-odds between toxic and clean labelled texts under an
+informative Dirichlet prior, the tokens' shares in all labelled texts (Monroe, Colaresi
+and Quinn 2008, "Fightin' Words"), shrunk towards 0 by their variance, less a drift
+that every token costs. A linear scan finds every maximal segment (Ruzzo and Tompa
+1999). A segment of score S appears by chance in n clean tokens with expectation
+K n exp(-lambda S), the extreme-value law of Karlin and Altschul (1990); lambda and K
+are estimated from the best segments of all labelled clean texts, so they hold what
+words of a language or a subject add up to. The normalised scores of a text's
 significant segments are summed, and a logistic curve fitted on labelled texts turns
 the sum into a probability.
 """
@@ -23,9 +24,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
-from duelframe.llm.common import id_bucket, materialize, table
+from duelframe.llm.common import id_bucket, materialize, table, unused
 
 TOKEN = re.compile(r"[^\W_]+")
 #: Leading characters of a word that count as a feature of their own, for words too rare to be known.
@@ -36,14 +36,19 @@ HELD = 100_000
 NONE, MOST = -12.0, 40.0
 
 
+#: Rates that the extreme-value law is fitted over, and the clean texts with a segment that it takes at least.
+RATES, LEAST_TEXTS = [0.05 * 400 ** (k / 59) for k in range(60)], 10
+
+
 @dataclass
 class Lexicon:
-    """Scores of the tokens and stems that tell toxic passages, and of any other token."""
+    """Scores of the counted tokens and stems, and of any other token."""
 
     words: dict[str, float]
     stems: dict[str, float]
     other: float
     k: float  # of the extreme-value law
+    rate: float = 1.0  # its lambda
 
     def weight(self, word: str) -> float:
         found = self.words.get(word)
@@ -116,60 +121,77 @@ def _counts(labelled: DataFrame) -> DataFrame:
     return parts.groupBy("kind", "token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def fit_lexicon(labelled: DataFrame, *, prior: float = 0.1, density: float = 0.2, least_z: float = 3.3, least_score: float = 5.0, max_terms: int = 50_000) -> Lexicon:
-    """Log-odds of all labelled texts' tokens; max_terms of each kind, with the largest z, are the most that is kept.
+def term_scores(counts: DataFrame, *, prior: float = 0.1, spread: float = 2.0, drift: float = 1.2) -> DataFrame | None:
+    """(kind, token, n, score) of every counted word and stem; None without labelled texts of both classes.
 
-    prior is the weight of the Dirichlet prior as a share of all counts, density
-    the share of toxic tokens in a toxic passage, least_z how many standard
-    deviations above 0 a token's log-odds must be. Tokens that score under
-    least_score by themselves mark a language or a subject rather than toxicity, and
-    would add up over a long text; they count as any other token. The driver receives
-    at most 2 * max_terms rows, which the scoring tasks get with their code.
+    prior is the weight of the Dirichlet prior as a share of all counts. The log-odds
+    are estimates with a variance; with `spread`, the variance of the true log-odds
+    around 0, the score is their posterior mean, less drift. So a rare term scores
+    near -drift, and one typical of clean texts lower.
     """
-    counts = materialize(_counts(labelled))
-    total = counts.where("kind = 0").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
-    n1, n0 = float(total.t or 0), float(total.c or 0)
-    other = math.log(1 - density)
-    if not n1 or not n0:
-        return Lexicon({}, {}, other, 0.3)
-    a, b = F.lit(prior) * (F.col("toxic") + F.col("clean")), prior * (n1 + n0)
+    totals = {r.kind: (float(r.t), float(r.c)) for r in counts.groupBy("kind").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).collect()}
+    if not totals.get(0) or not all(totals[0]):
+        return None
+    sums = [F.when(F.col("kind") == 0, totals[0][c]).otherwise(totals.get(1, totals[0])[c]) for c in (0, 1)]
+    a, b = F.lit(prior) * (F.col("toxic") + F.col("clean")), F.lit(prior) * (sums[0] + sums[1])
     y1, y0 = F.col("toxic") + a, F.col("clean") + a
-    delta = F.log(y1 / (F.lit(n1 + b) - y1)) - F.log(y0 / (F.lit(n0 + b) - y0))
-    scored = counts.where("toxic > 1").select("*", (delta / F.sqrt(1 / y1 + 1 / y0)).alias("z")).where(F.col("z") >= least_z)
-    found = []
-    for kind in (0, 1):
-        rows = scored.where(F.col("kind") == kind).orderBy(F.desc("z"), "token").limit(max_terms).collect()
-        clean = {r.token: (r.clean + 0.5) / (n0 + 0.5) for r in rows}
-        excess = {r.token: max(r.toxic / n1 - clean[r.token], 1e-12) for r in rows}
-        mass = sum(excess.values())
-        # toxic tokens, `density` of a toxic passage, share it as they share their excess in toxic texts
-        scores = {w: math.log(1 - density + density * excess[w] / mass / clean[w]) for w in excess}
-        found.append({w: s for w, s in scores.items() if s >= least_score})
-    return Lexicon(*found, other, 0.3)
+    delta = F.log(y1 / (sums[0] + b - y1)) - F.log(y0 / (sums[1] + b - y0))
+    score = delta * F.lit(spread) / (F.lit(spread) + 1 / y1 + 1 / y0) - F.lit(drift)
+    return counts.select("kind", "token", (F.col("toxic") + F.col("clean")).alias("n"), score.alias("score"))
 
 
-def scan(text: str | None, lexicon: Lexicon, significant: float = 0.05) -> tuple[float, float, int, int, int]:
-    """(evidence, best segment's score, significant segments, its first token, its last token + 1).
+def fit_law(best: DataFrame) -> tuple[float, float]:
+    """(lambda, K) of greatest likelihood for (best, tokens), the best segments' scores in clean texts and the texts' lengths.
 
-    A segment's normalised score is S - ln(K n). The evidence is the sum over the
-    significant segments, or the best one's if that is more, from NONE to MOST.
+    With K at its best for a lambda, the likelihood needs only sums over the texts:
+    one row of sums, for 60 lambdas from 0.05 to 20. With fewer than LEAST_TEXTS
+    texts that have a segment, lambda is 1, as for exact log-odds, and K what one
+    more such text among all these tokens would make it.
     """
-    words = TOKEN.findall(text.lower()) if text else []
-    if not words:
-        return NONE, 0.0, 0, -1, -1
-    known, stems, other = lexicon.words, lexicon.stems, lexicon.other
-    get = known.get
-    weights = np.array([get(w) or (stems.get(w[:STEM], other) if len(w) > STEM else other) for w in words])
-    found = segments(weights)
+    has = F.col("best") > 0
+    sums = [F.sum(F.when(has, F.col("tokens") * F.exp(F.lit(-x) * F.col("best")))).alias(f"s{k}") for k, x in enumerate(RATES)]
+    row = best.agg(F.count_if(has).alias("n"), F.sum("best").alias("total"), F.sum(F.col("tokens") * F.exp(-F.col("best"))).alias("one"), *sums).first()
+    if row.n < LEAST_TEXTS:
+        return 1.0, (row.n + 1) / row.one if row.one else 0.3
+    fits = [(row.n * (math.log(x) + math.log(row.n / row[f"s{k}"])) - x * row.total, x, row.n / row[f"s{k}"]) for k, x in enumerate(RATES) if row[f"s{k}"] > 0]
+    return max(fits)[1:]
+
+
+def fit_lexicon(labelled: DataFrame, **scoring) -> Lexicon:
+    """Scores of all labelled texts' words and stems, and the law of their segments in all labelled clean texts."""
+    drift = scoring.get("drift", 1.2)
+    scores = term_scores(materialize(_counts(labelled)), **scoring)
+    if scores is None:
+        return Lexicon({}, {}, -drift, 0.3)
+    found = {}, {}
+    for r in scores.collect():
+        found[r.kind][r.token] = r.score
+    lexicon = Lexicon(*found, -drift, 0.3)
+    lexicon.rate, lexicon.k = fit_law(_found(labelled.where("toxic <= 0").select("text"), lexicon).select("found.best", "found.tokens"))
+    return lexicon
+
+
+def _judge(found: list[tuple[int, int, float]], n: int, lexicon: Lexicon, significant: float) -> tuple[float, float, int, int, int]:
     if not found:
         return NONE, 0.0, 0, -1, -1
-    base = math.log(lexicon.k * len(words))
+    base, rate = math.log(lexicon.k * n), lexicon.rate
     best = max(found, key=lambda s: (s[2], -s[0]))
-    good = [s for s in found if s[2] - base > -math.log(significant)]
-    evidence = max(sum(s[2] - base for s in good), best[2] - base) if good else best[2] - base
+    good = [s for s in found if rate * s[2] - base > -math.log(significant)]
+    top = rate * best[2] - base
+    evidence = max(sum(rate * s[2] - base for s in good), top) if good else top
     return min(MOST, max(NONE, evidence)), best[2], len(good), best[0], best[1]
 
 
+def scan(text: str | None, lexicon: Lexicon, significant: float = 0.05) -> tuple[float, float, int, int, int]:
+    """(evidence, best segment's score, significant segments, its first token, its last token + 1).
+
+    A segment's normalised score is lambda S - ln(K n). The evidence is the sum over
+    the significant segments, or the best one's if that is more, from NONE to MOST.
+    """
+    words = TOKEN.findall(text.lower()) if text else []
+    return _judge(segments(np.array([lexicon.weight(w) for w in words])), len(words), lexicon, significant)
+
+
 def passages(text: str | None, lexicon: Lexicon, significant: float = 0.05) -> list[tuple[int, int, float]]:
     """Character spans of a text's significant segments, with the chance of as good a one in clean text of its length."""
     spans = [m.span() for m in TOKEN.finditer(text)] if text else []
@@ -178,25 +200,50 @@ def passages(text: str | None, lexicon: Lexicon, significant: float = 0.05) -> l
     weights = np.array([lexicon.weight(text[a:b].lower()) for a, b in spans])
     out = []
     for a, b, s in segments(weights):
-        e = lexicon.k * len(spans) * math.exp(-s)
+        e = lexicon.k * len(spans) * math.exp(-lexicon.rate * s)
         if e < significant:
             out.append((spans[a][0], spans[b - 1][1], -math.expm1(-e)))
     return out
 
 
-def scan_documents(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, evidence, best, passages, first_token, last_token) of every row, whole texts."""
+class _Weights(dict):
+    """Weights of the words met lately."""
 
-    def scans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [scan(x, lexicon) for x in batch["text"]]
-            out = pd.DataFrame(rows, columns=["evidence", "best", "passages", "first_token", "last_token"])
-            out.insert(0, "id", batch["id"].to_numpy())
-            yield out
+    def __init__(self, lexicon: Lexicon):
+        super().__init__()
+        self.lexicon = lexicon
 
+    def __missing__(self, word: str) -> float:
+        if len(self) > HELD:
+            self.clear()
+        self[word] = found = self.lexicon.weight(word)
+        return found
+
+
+FOUND = "evidence double, best double, passages int, first_token int, last_token int, tokens int"
+
+
+def _found(rows: DataFrame, lexicon: Lexicon, text_col: str = "text", name: str = "found") -> DataFrame:
+    """rows with a struct of what the scan of their text finds, whole texts."""
+
+    @F.pandas_udf(FOUND)
+    def scans(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        weights = _Weights(lexicon)
+        for texts in batches:
+            out = []
+            for text in texts:
+                words = TOKEN.findall(text.lower()) if text else []
+                w = np.fromiter(map(weights.__getitem__, words), np.float64, len(words))
+                out.append((*_judge(segments(w), len(words), lexicon, 0.05), len(words)))
+            yield pd.DataFrame(out, columns=["evidence", "best", "passages", "first_token", "last_token", "tokens"])
+
+    return rows.withColumn(name, scans(F.col(text_col)))
+
+
+def scan_documents(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, evidence, best, passages, first_token, last_token) of every row, whole texts."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(scans, f"id {kind}, evidence double, best double, passages int, first_token int, last_token int")
+    return _found(rows, lexicon).select("id", *[f"found.{c}" for c in ("evidence", "best", "passages", "first_token", "last_token")])
 
 
 def fit_calibration(evidence: DataFrame) -> tuple[float, float]:
@@ -230,6 +277,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     has evidence. An empty table gives an empty result; only named columns are read.
     """
     train = _labelled(docs, labels, id_col, text_col, label_col, id_bucket(F.col(id_col), folds) != held_fold)
+    train = materialize(train)
     lexicon = fit_lexicon(train, **fitting)
     found = materialize(scan_documents(docs, lexicon, id_col, text_col))
     bucket = id_bucket(F.col("id"), folds)
@@ -250,13 +298,9 @@ def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     found = scan_documents(train.select("toxic", "text", F.col("toxic").alias("id")), lexicon, "id", "text")
     slope, offset = fit_calibration(found.select("evidence", F.col("id").alias("toxic")))
 
-    @F.pandas_udf(DoubleType())
-    def evidence(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([scan(x, lexicon)[0] for x in texts], dtype="float64")
-
-    score = 1 / (1 + F.exp(-(F.lit(slope) * evidence(docs[text_col]) + F.lit(offset))))
-    return docs.where(score < 0.5)
+    name = unused(docs, "found")
+    score = 1 / (1 + F.exp(-(F.lit(slope) * F.col(name)["evidence"] + F.lit(offset))))
+    return _found(docs, lexicon, text_col, name).where(score < 0.5).drop(name)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

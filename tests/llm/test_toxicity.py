@@ -69,3 +69,20 @@ def test_odd_rows(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i in range(300) if i % 3} | {1000, 1001, 1002, 1003}
     assert tox.toxicity(docs.limit(0), labels).count() == 0
     assert {r.predicted for r in tox.toxicity(docs, labels.limit(0)).select("predicted").distinct().collect()} == {0}
+
+
+def test_every_counted_token_has_its_own_score(spark):
+    """Moderately toxic and typically clean words score by their log-odds; none falls under a cutoff."""
+    rows = [(i, "mild " * (i % 2 == 0 or i % 10 == 1) + "nice " * (i % 2 == 1) + f"both w{i}", int(i % 2 == 0)) for i in range(200)]
+    lexicon = tox.fit_lexicon(spark.createDataFrame(rows, "id long, text string, toxic int"))
+    assert len(lexicon.words) == 203
+    assert lexicon.weight("nice") < lexicon.weight("w1") < lexicon.weight("both") < lexicon.weight("w2") < lexicon.weight("mild")
+    assert lexicon.weight("mild") > lexicon.other + 0.8 and lexicon.weight("nice") < lexicon.other - 0.8
+
+
+def test_law_of_clean_segments(spark):
+    rng = np.random.default_rng(8)
+    n = rng.integers(50, 2000, 5000)
+    best = (np.log(0.02 * n) - np.log(-np.log(rng.random(5000)))) / 1.7
+    rate, k = tox.fit_law(spark.createDataFrame([(float(s), int(m)) for s, m in zip(best, n, strict=True) if s > 0], "best double, tokens long"))
+    assert abs(rate - 1.7) < 0.2 and 0.01 < k < 0.04
