@@ -36,19 +36,36 @@ HELD = 100_000
 NONE, MOST = -12.0, 40.0
 
 
+#: Terms that the driver and the tasks hold; the others are joined.
+IN_PLACE = 131_072
 #: Rates that the extreme-value law is fitted over, and the clean texts with a segment that it takes at least.
 RATES, LEAST_TEXTS = [0.05 * 400 ** (k / 59) for k in range(60)], 10
 
 
 @dataclass
 class Lexicon:
-    """Scores of the counted tokens and stems, and of any other token."""
+    """Scores of the counted tokens and stems, and of any other token.
+
+    Where there are more terms than tasks should hold, words and stems are those held,
+    rest is the table of all, and top the most that a term not held can score.
+    """
 
     words: dict[str, float]
     stems: dict[str, float]
     other: float
     k: float  # of the extreme-value law
     rate: float = 1.0  # its lambda
+    top: float | None = None
+    rest: DataFrame | None = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "rest": None}  # tasks don't read tables
+
+    def bound(self, word: str) -> float:
+        """The weight of a word, or the most that it can be if the word isn't held."""
+        if self.top is None or word in self.words:
+            return self.weight(word)
+        return max(self.top, self.weight(word))
 
     def weight(self, word: str) -> float:
         found = self.words.get(word)
@@ -157,17 +174,28 @@ def fit_law(best: DataFrame) -> tuple[float, float]:
     return max(fits)[1:]
 
 
-def fit_lexicon(labelled: DataFrame, **scoring) -> Lexicon:
-    """Scores of all labelled texts' words and stems, and the law of their segments in all labelled clean texts."""
+def fit_lexicon(labelled: DataFrame, *, in_place: int = IN_PLACE, **scoring) -> Lexicon:
+    """Scores of all labelled texts' words and stems, and the law of their segments in all labelled clean texts.
+
+    The driver receives, and tasks hold, at most in_place terms: half of them those
+    with the highest scores, half the most frequent. The others stay in a table that
+    tokens are joined to where they matter (_found), so in_place changes no result.
+    """
     drift = scoring.get("drift", 1.2)
     scores = term_scores(materialize(_counts(labelled)), **scoring)
     if scores is None:
         return Lexicon({}, {}, -drift, 0.3)
+    half = max(1, in_place // 2)
+    highest = scores.orderBy(F.desc("score"), "kind", "token").limit(half).collect()
+    whole = len(highest) < half
+    frequent = [] if whole else scores.orderBy(F.desc("n"), "kind", "token").limit(half).collect()
     found = {}, {}
-    for r in scores.collect():
+    for r in [*highest, *frequent]:
         found[r.kind][r.token] = r.score
     lexicon = Lexicon(*found, -drift, 0.3)
-    lexicon.rate, lexicon.k = fit_law(_found(labelled.where("toxic <= 0").select("text"), lexicon).select("found.best", "found.tokens"))
+    if not whole:
+        lexicon.top, lexicon.rest = max(-drift, highest[-1].score), scores
+    lexicon.rate, lexicon.k = fit_law(_found(labelled.where("toxic <= 0").select("text"), lexicon, keep=False).select("found.best", "found.tokens"))
     return lexicon
 
 
@@ -186,7 +214,8 @@ def scan(text: str | None, lexicon: Lexicon, significant: float = 0.05) -> tuple
     """(evidence, best segment's score, significant segments, its first token, its last token + 1).
 
     A segment's normalised score is lambda S - ln(K n). The evidence is the sum over
-    the significant segments, or the best one's if that is more, from NONE to MOST.
+    the significant segments, or the best one's if that is more, from NONE to MOST. Only
+    for a lexicon that holds all terms, as passages is; tables are scanned with any.
     """
     words = TOKEN.findall(text.lower()) if text else []
     return _judge(segments(np.array([lexicon.weight(w) for w in words])), len(words), lexicon, significant)
@@ -207,7 +236,7 @@ def passages(text: str | None, lexicon: Lexicon, significant: float = 0.05) -> l
 
 
 class _Weights(dict):
-    """Weights of the words met lately."""
+    """Weights, or bounds of them, of the words met lately."""
 
     def __init__(self, lexicon: Lexicon):
         super().__init__()
@@ -216,15 +245,33 @@ class _Weights(dict):
     def __missing__(self, word: str) -> float:
         if len(self) > HELD:
             self.clear()
-        self[word] = found = self.lexicon.weight(word)
+        self[word] = found = self.lexicon.bound(word)
         return found
 
 
-FOUND = "evidence double, best double, passages int, first_token int, last_token int, tokens int"
+FOUND = "evidence double, best double, passages int, first_token int, last_token int, tokens int, need array<string>"
+
 
+def _row(words: list[str], weights: np.ndarray, lexicon: Lexicon, resolved: bool) -> tuple:
+    """What a scan finds, and the words that it needs to know first, or None: those in a segment, but not held."""
+    found = segments(weights)
+    need = None
+    if lexicon.top is not None and not resolved:
+        need = sorted({w for a, b, _ in found for w in words[a:b] if w not in lexicon.words}) or None
+    return (*_judge(found, len(words), lexicon, 0.05), len(words), need)
 
-def _found(rows: DataFrame, lexicon: Lexicon, text_col: str = "text", name: str = "found") -> DataFrame:
-    """rows with a struct of what the scan of their text finds, whole texts."""
+
+def _found(rows: DataFrame, lexicon: Lexicon, text_col: str = "text", name: str = "found", keep: bool = True) -> DataFrame:
+    """rows with a struct of what the scan of their text finds, whole texts; without `keep` the texts may become null.
+
+    A first scan gives words that aren't held the most they can score. Any run whose
+    prefixes and suffixes are all positive under the true scores is so under these, so
+    every maximal segment lies in one of the first scan's, and words outside of those
+    don't matter. Texts whose segments hold only known words are done; for the others,
+    the unknown words of their segments are joined to the table of all terms, and the
+    text is scanned again.
+    """
+    columns = FOUND.replace(" double", "").replace(" int", "").replace(" array<string>", "").split(", ")
 
     @F.pandas_udf(FOUND)
     def scans(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -233,17 +280,43 @@ def _found(rows: DataFrame, lexicon: Lexicon, text_col: str = "text", name: str
             out = []
             for text in texts:
                 words = TOKEN.findall(text.lower()) if text else []
-                w = np.fromiter(map(weights.__getitem__, words), np.float64, len(words))
-                out.append((*_judge(segments(w), len(words), lexicon, 0.05), len(words)))
-            yield pd.DataFrame(out, columns=["evidence", "best", "passages", "first_token", "last_token", "tokens"])
+                out.append(_row(words, np.fromiter(map(weights.__getitem__, words), np.float64, len(words)), lexicon, False))
+            yield pd.DataFrame(out, columns=columns)
 
-    return rows.withColumn(name, scans(F.col(text_col)))
+    @F.pandas_udf(FOUND)
+    def rescans(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        weights = _Weights(lexicon)
+        for batch in batches:
+            out = []
+            for text, known, scores in zip(*batch, strict=True):
+                words, own = TOKEN.findall(text.lower()), dict(zip(known, scores, strict=True))
+                w = np.fromiter((own[x] if x in own else weights[x] for x in words), np.float64, len(words))
+                out.append(_row(words, w, lexicon, True))
+            yield pd.DataFrame(out, columns=columns)
+
+    marked = rows.withColumn(name, scans(F.col(text_col)))
+    if lexicon.top is None:
+        return marked
+    open_ = F.col(name)["need"].isNotNull()
+    if not keep:
+        marked = marked.withColumn(text_col, F.when(open_, F.col(text_col)))
+    marked = materialize(marked)
+    a, b, terms = (unused(marked, x) for x in ("key_a", "key_b", "terms"))
+    rest = marked.where(open_).withColumns({a: F.xxhash64(text_col, F.lit(1)), b: F.xxhash64(text_col, F.lit(2))})
+    needs = rest.select(F.col(a).alias("a"), F.col(b).alias("b"), F.explode(F.col(name)["need"]).alias("word")).distinct()
+    needs = needs.withColumn("stem", F.when(F.length("word") > STEM, F.substring("word", 1, STEM)))
+    own = lexicon.rest.where("kind = 0").select(F.col("token").alias("word"), F.col("score").alias("own"))
+    by_stem = lexicon.rest.where("kind = 1").select(F.col("token").alias("stem"), F.col("score").alias("by_stem"))
+    scored = needs.join(own, "word", "left").join(by_stem, "stem", "left").select("a", "b", "word", F.coalesce("own", "by_stem", F.lit(lexicon.other)).alias("score"))
+    known = scored.groupBy(F.col("a").alias(a), F.col("b").alias(b)).agg(F.collect_list(F.struct("word", "score")).alias(terms))
+    again = rest.join(known, [a, b]).withColumn(name, rescans(F.col(text_col), F.col(terms)["word"], F.col(terms)["score"]))
+    return marked.where(~open_).unionByName(again.drop(a, b, terms))
 
 
 def scan_documents(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, evidence, best, passages, first_token, last_token) of every row, whole texts."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return _found(rows, lexicon).select("id", *[f"found.{c}" for c in ("evidence", "best", "passages", "first_token", "last_token")])
+    return _found(rows, lexicon, keep=False).select("id", *[f"found.{c}" for c in ("evidence", "best", "passages", "first_token", "last_token")])
 
 
 def fit_calibration(evidence: DataFrame) -> tuple[float, float]:

@@ -86,3 +86,20 @@ def test_law_of_clean_segments(spark):
     best = (np.log(0.02 * n) - np.log(-np.log(rng.random(5000)))) / 1.7
     rate, k = tox.fit_law(spark.createDataFrame([(float(s), int(m)) for s, m in zip(best, n, strict=True) if s > 0], "best double, tokens long"))
     assert abs(rate - 1.7) < 0.2 and 0.01 < k < 0.04
+
+
+def test_terms_that_are_not_held_change_nothing(spark):
+    """The driver holds a bounded number of terms; results are those of all terms."""
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    docs = docs.unionByName(docs.limit(20)).withColumns({"found": F.lit("x"), "key_a": F.lit(1)})
+    train = tox.materialize(tox._labelled(docs, labels, "doc_id", "text", "toxic", F.lit(True)))
+    whole, part = tox.fit_lexicon(train), tox.fit_lexicon(train, in_place=60)
+    assert whole.top is None and len(whole.words) > 10_000
+    assert part.top is not None and len(part.words) + len(part.stems) <= 60
+    assert part.rate == whole.rate and np.isclose(part.k, whole.k)
+    got = [sorted(map(tuple, tox.scan_documents(docs, x).collect())) for x in (whole, part)]
+    assert len(got[0]) == docs.count() and any(r[3] for r in got[0])
+    assert [r[0] for r in got[0]] == [r[0] for r in got[1]] and np.allclose(got[0], got[1])
+    kept = tox.keep_clean(docs, labels, in_place=60)
+    assert kept.columns == docs.columns
+    assert sorted(kept.collect()) == sorted(tox.keep_clean(docs, labels).collect())
