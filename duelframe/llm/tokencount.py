@@ -22,7 +22,9 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
-from tokenizers import Tokenizer
+from tokenizers import Regex, Tokenizer
+from tokenizers.normalizers import Normalizer
+from tokenizers.pre_tokenizers import PreTokenizer, Split
 
 from duelframe.llm.common import materialize, table
 
@@ -33,6 +35,8 @@ HELD = 50_000
 #: Texts of a batch that are Python strings at a time.
 TEXTS = 500
 MOST_TOKENS = 2048
+#: From here on characters may be of a later Unicode than Python's; words that have any are left to the library.
+_LATER = "\u0530"
 _CONTROL, _SPACE = "\x1c\x1d\x1e\x1f", regex.compile(r"\p{White_Space}+")
 
 
@@ -54,15 +58,32 @@ class PreTokens:
     def __getstate__(self) -> dict:
         return {"path": self.path}
 
+    @cached_property
+    def _said(self) -> dict:
+        with open(self.path, encoding="utf-8") as f:
+            return json.load(f)
+
     @cached_property
     def tokenizer(self) -> Tokenizer:
+        """Of pre-tokens: these are normalised and split, and doing so again could change them, as lower case can undo NFC."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads would each hold memory
-        return Tokenizer.from_file(self.path)
+        steps = self._said["pre_tokenizer"]
+        rest = steps.get("pretokenizers", [steps])[1:]
+        return Tokenizer.from_str(json.dumps(self._said | {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": rest} if rest else None}))
+
+    @cached_property
+    def _normalizer(self) -> Normalizer:
+        return Tokenizer.from_file(self.path).normalizer
+
+    @cached_property
+    def _split(self) -> PreTokenizer:
+        steps = self._said["pre_tokenizer"]
+        split = steps.get("pretokenizers", [steps])[0]
+        return Split(Regex(split["pattern"]["Regex"]), split["behavior"].lower(), split["invert"])
 
     @cached_property
     def _parts(self) -> tuple:
-        with open(self.path, encoding="utf-8") as f:
-            said = json.load(f)
+        said = self._said
         steps = said["pre_tokenizer"]
         steps = steps.get("pretokenizers", [steps])
         split, rest = steps[0], steps[1:]
@@ -89,6 +110,8 @@ class PreTokens:
         if word.isascii() and "<" not in word:
             return find(word.lower()), 0
         parts = special.split(word) if special else [word]
+        if max(word) >= _LATER:
+            return [t for x in parts for t, _ in self._split.pre_tokenize_str(self._normalizer.normalize_str(x))], len(parts) - 1
         # lower case goes character by character: a final sigma is a sigma like others
         return [t for x in parts for t in find(unicodedata.normalize("NFC", x).replace("\u03a3", "\u03c3").lower())], len(parts) - 1
 

@@ -25,6 +25,27 @@ def test_pre_tokens_against_the_library():
         assert special + sum(c * p for c, p in zip(counts.values(), t.pieces(list(counts)), strict=True)) == n, repr(text)
 
 
+def differing(texts):
+    """Texts that the library counts otherwise, as code points."""
+    t = tokencount.PreTokens(PATH)
+    found = [t.frequencies(x) for x in texts]
+    every = sorted({p for counts, _ in found for p in counts})
+    known = dict(zip(every, t.pieces(every), strict=True))
+    mine = [special + sum(c * known[p] for p, c in counts.items()) for counts, special in found]
+    return [[hex(ord(c)) for c in x] for x, m, n in zip(texts, mine, library(texts), strict=True) if m != n]
+
+
+def test_every_code_point_against_the_library():
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert differing([" ".join(f"{c} a{c}b" for c in points[k : k + 64]) for k in range(0, len(points), 64)]) == []
+
+
+def test_marks_that_lower_case_reorders():
+    rng = random.Random(9)
+    pool = list("\u0130\u0307\u0327\u0323\u0301\u0345\u1100\u1161\u11a8\uac00\u03a3\u03c2aZ i\u0131'9 ") + ["<|endoftext|>", "<|startoftext|>", "\u212b", "\u1e9b\u0323"]
+    assert differing(["\u0130\u0327"] + ["".join(rng.choice(pool) for _ in range(rng.randint(1, 12))) for _ in range(100_000)]) == []
+
+
 def test_query_against_the_library(spark):
     docs = table(spark, SF, "documents").collect()
     want = {d.doc_id: (len((d.text or "").encode()), n, n > 2048) for d, n in zip(docs, library([d.text or "" for d in docs]), strict=True)}
