@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 #: A word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Rows of a few numbers that every task may be given, about 20 MB.
+BROADCAST_ROWS = 1 << 18
+
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder that driver and executors share, under spark.checkpoint.dir.
@@ -39,6 +42,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lean(side: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The lesser side of a join, of keys and a few numbers, as a table; broadcast if it has at most `most` rows.
+
+    Beyond that Spark chooses the join, and shuffles both sides by the keys.
+    """
+    side = materialize(side)
+    return F.broadcast(side) if side.count() <= most else side
+
+
 def id_bucket(id_col: Column, mod: int) -> Column:
     """crc32 of an id's text, modulo mod; null for a null id."""
     return F.crc32(id_col.cast("string")) % mod
