@@ -2,31 +2,40 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-
 #: Rows of a few numbers that every task may be given, about 20 MB.
 BROADCAST_ROWS = 1 << 18
 
+_local: dict[str, str] = {}
+_scopes: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder that driver and executors share, under spark.checkpoint.dir.
 
     The setting is read from the session. Only a local master, as in tests, may
-    leave it unset; then a temporary folder takes its place for the session.
+    leave it unset; then a temporary folder takes its place, until the program ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="duelframe-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        if app not in _local:
+            _local[app] = tempfile.mkdtemp(prefix="duelframe-")
+            atexit.register(shutil.rmtree, _local[app], ignore_errors=True)
+        base = _local[app]
     return f"{base.rstrip('/')}/duelframe-{uuid.uuid4().hex}"
 
 
@@ -35,11 +44,42 @@ def materialize(df: DataFrame) -> DataFrame:
 
     This cuts the lineage: a lost executor costs no recomputation before this
     point. The files are compressed columns, so a later reader takes only the
-    columns that it needs. The folder belongs to the application and goes with it.
+    columns that it needs. discard removes the table; otherwise the folder belongs
+    to the application and goes with it.
     """
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.folder = path
+    if _scopes:
+        _scopes[-1].append(path)
+    return out
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Remove tables that materialize wrote and nothing reads any more; None is passed over."""
+    for t in tables:
+        if t is not None:
+            _remove(t.sparkSession, t.folder)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """What is materialised inside is removed at the end, except folders that are taken out of the list."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            _remove(spark, path)
 
 
 def lean(side: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -56,6 +96,16 @@ def id_bucket(id_col: Column, mod: int) -> Column:
     return F.crc32(id_col.cast("string")) % mod
 
 
+def unit(h: Column) -> Column:
+    """A 64-bit hash as a number from 0 to 1."""
+    return F.shiftrightunsigned(h, 11) / F.lit(float(1 << 53))
+
+
+def text_hash(text: Column, seed: int) -> Column:
+    """64 bits for a text; null counts as empty. With two seeds they tell any texts apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")), F.lit(seed))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

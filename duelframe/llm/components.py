@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import materialize
+from duelframe.llm.common import discard, materialize
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -49,7 +49,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if (row.n, row.h) == mark or not row.n:
             break
         mark = (row.n, row.h)
-        now = materialize(_star(_star(now, large=True), large=False))
+        before, now = now, materialize(_star(_star(now, large=True), large=False))
+        discard(before)
     return now.select(F.col("src").alias("node"), F.col("dst").alias("component")).unionByName(
         now.select(F.col("dst").alias("node"), F.col("dst").alias("component")).distinct()
     )

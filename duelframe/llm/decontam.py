@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import lean, materialize, table, unused
+from duelframe.llm.common import lean, materialize, table, text_hash, unused
 
 #: Characters of scripts that are written without spaces; each is a token.
 UNSPACED = "฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
@@ -309,10 +309,6 @@ def _covering(rows: DataFrame, benchmark: DataFrame, item_col: str, text_col: st
     return found.select("id", "a", "b", F.col("items")[F.col("x.at")]["item_id"].alias("item_id"), (F.col("x.matched_tokens") / F.col("x.item_tokens")).alias("coverage"), "x.tiles", "x.matched_tokens", "x.item_tokens")
 
 
-def _hash(text_col: str, seed: int) -> Column:
-    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.lit(seed))
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", *, coverage: float = COVERAGE) -> DataFrame:
     """(id, item_id, coverage, tiles, matched_tokens, item_tokens) for every document and item it covers.
 
@@ -324,7 +320,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     Empty tables give an empty result; columns not named aren't read. Neither table
     passes through the driver.
     """
-    rows = docs.select(F.col(id_col).alias("id"), _hash(text_col, 1).alias("a"), _hash(text_col, 2).alias("b"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col), 1).alias("a"), text_hash(F.col(text_col), 2).alias("b"), F.col(text_col).alias("text"))
     found = _covering(rows, benchmark, item_col, item_text_col, coverage)
     if found is None:
         kinds = rows.schema["id"].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
@@ -334,13 +330,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", *, coverage: float = COVERAGE) -> DataFrame:
     """docs that cover no benchmark item; the rule looks at each row's own text, so ids may be null or repeat."""
-    rows = docs.select(F.lit(0).alias("id"), _hash(text_col, 1).alias("a"), _hash(text_col, 2).alias("b"), F.col(text_col).alias("text"))
+    rows = docs.select(F.lit(0).alias("id"), text_hash(F.col(text_col), 1).alias("a"), text_hash(F.col(text_col), 2).alias("b"), F.col(text_col).alias("text"))
     found = _covering(rows, benchmark, item_col, item_text_col, coverage)
     if found is None:
         return docs
     a, b = unused(docs, "a"), unused(docs, "b")
     out = lean(found.select(F.col("a").alias(a), F.col("b").alias(b)).distinct())
-    return docs.withColumns({a: _hash(text_col, 1), b: _hash(text_col, 2)}).join(out, [a, b], "left_anti").select(*docs.columns)
+    return docs.withColumns({a: text_hash(F.col(text_col), 1), b: text_hash(F.col(text_col), 2)}).join(out, [a, b], "left_anti").select(*docs.columns)
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,11 @@ difference is discarded unseen; survivors are verified bit by bit.
 To find the pairs without comparing all of them, distances are also taken over
 projections: with the word cut in four blocks, two fingerprints that differ in at
 most two bits agree on at least two blocks, so over that half word their distances
-to all pivots are equal. The distances over each of the six half words are packed
-into a key and equi-joined. No link is lost.
+to all pivots are equal. The distances over each of the six half words are hashed to
+a key and equi-joined. What agrees there differs in at most two bits of the other half
+word, so a key that many fingerprints share is parted further in the same way: by
+distances over two of four blocks of the other half, and again over what is then left.
+No link is lost.
 """
 
 from __future__ import annotations
@@ -25,19 +28,40 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from duelframe.llm.common import materialize, table, unused
+from duelframe.llm.common import lean, materialize, table, text_hash, unused
 from duelframe.llm.components import connected_components
 
 MAX_BITS = 2
 SHINGLE = 3
 SEED = 42
-#: Keys with more fingerprints than this are linked by their one-bit neighbours instead of in pairs.
+#: Keys with more fingerprints than this are parted further before their fingerprints are paired.
 PAIRED = 32
-#: Pivots whose distances over a half word make a key, 6 bits each, and over the word, 8 bits each.
-KEY_PIVOTS, TABLE_PIVOTS = 10, 16
+#: The pivots. Two random half words are at equal distances from all 16 less often than they are equal.
+PIVOTS = 16
+
+
+def _halves(bits: list[int]) -> list[tuple[int, list[int]]]:
+    """(mask, other bits) for each two of four blocks of the bits."""
+    n = len(bits) // 4
+    blocks = [bits[n * k : n * k + n] for k in range(4)]
+    out = []
+    for pair in combinations(range(4), 2):
+        mask = sum(1 << b for k in pair for b in blocks[k])
+        out.append((mask, [b for k in range(4) if k not in pair for b in blocks[k]]))
+    return out
+
+
+def _masks() -> list[list[int]]:
+    """The masks of each level: six half words, for each six quarters of the other half, for each six eighths of what is left."""
+    levels, open_ = [], [list(range(64))]
+    for _ in range(3):
+        parts = [x for bits in open_ for x in _halves(bits)]
+        levels.append([mask for mask, _ in parts])
+        open_ = [rest for _, rest in parts]
+    return levels
+
 
-_BLOCK = 0xFFFF
-_HALVES = [(_BLOCK << 16 * a) | (_BLOCK << 16 * b) for a, b in combinations(range(4), 2)]
+LEVELS = _masks()
 
 
 def _signed(x: int) -> int:
@@ -90,53 +114,60 @@ def fingerprints(docs: DataFrame, text_col: str = "text") -> Column:
     return _fingerprints(docs[text_col])
 
 
-def _distance(a: Column, b: Column | int, mask: int = -1) -> Column:
+def _distance(a: Column, b: Column | int, mask: Column | None = None) -> Column:
     other = b if isinstance(b, Column) else F.lit(_signed(b)).cast("long")
     differing = a.bitwiseXOR(other)
-    return F.bit_count(differing if mask == -1 else differing.bitwiseAND(F.lit(_signed(mask)).cast("long")))
+    return F.bit_count(differing if mask is None else differing.bitwiseAND(mask))
 
 
-def _packed(columns: list[Column], width: int) -> Column:
-    out = F.lit(0).cast("long")
-    for k, x in enumerate(columns):
-        out = out.bitwiseOR(F.shiftleft(x.cast("long"), width * k))
-    return out
+def _parted(prints: DataFrame, level: int) -> DataFrame:
+    """(fp, path, key) -> the same of the next level: six rows for each, keyed by the distances over six masks."""
+    masks = F.array(*[F.lit(_signed(m)).cast("long") for m in LEVELS[level]])
+    path = F.col("path") * 6 + F.col("k")
+    each = prints.select("fp", "key", "path", F.explode(F.array(*map(F.lit, range(6)))).alias("k")).select("fp", "key", path.alias("path"), masks[path].alias("mask"))
+    distances = [_distance(F.col("fp"), p, F.col("mask")) for p in pivots(PIVOTS)]
+    return each.select("fp", "path", F.xxhash64("key", "path", *distances).alias("key"))
 
 
-def fingerprint_links(prints: DataFrame) -> DataFrame:
-    """(fp) distinct signed fingerprints -> (src, dst) links that connect all within MAX_BITS.
+def _verified(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b) within MAX_BITS; most others go by their distances to the pivots, eight packed in a long."""
+    refs = pivots(PIVOTS)
 
-    Pairs that share a key of few fingerprints are compared one by one. A key with
-    more than PAIRED fingerprints would need a square of pairs, so each of its
-    fingerprints is written out with its 64 one-bit neighbours: two differ in at
-    most two bits just if they share one of these, and a star for each links them.
-    So every link inside such a key is kept, at least through a chain.
-    """
-    refs = pivots(TABLE_PIVOTS)
-    fp = F.col("fp")
-    near = [F.struct(F.lit(m).alias("half"), _packed([_distance(fp, p, h) for p in refs[:KEY_PIVOTS]], 6).alias("key")) for m, h in enumerate(_HALVES)]
-    keyed = prints.select("fp", F.inline(F.array(*near)))
-    shared = keyed.groupBy("half", "key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
-    shared = materialize(shared)
-
-    few = keyed.join(shared.where((F.col("n") > 2) & (F.col("n") <= PAIRED)).select("half", "key"), ["half", "key"])
-    pairs = (
-        few.withColumnRenamed("fp", "a").join(few.withColumnRenamed("fp", "b"), ["half", "key"]).where("a < b").select("a", "b")
-    ).unionByName(shared.where("n = 2").select("a", "b"))
-    for side in ("a", "b"):
-        x = F.col(side)
-        for t in range(2):
-            pairs = pairs.withColumn(f"{side}{t}", _packed([_distance(x, p) for p in refs[8 * t : 8 * t + 8]], 8))
+    def packed(x: Column, t: int) -> Column:
+        out = F.lit(0).cast("long")
+        for k, p in enumerate(refs[8 * t : 8 * t + 8]):
+            out = out.bitwiseOR(F.shiftleft(_distance(x, p).cast("long"), 8 * k))
+        return out
+
+    tables = pairs.select("a", "b", *[packed(F.col(side), t).alias(f"{side}{t}") for side in "ab" for t in range(PIVOTS // 8)])
     at = lambda name, k: F.shiftright(F.col(f"{name}{k // 8}"), 8 * (k % 8)).bitwiseAND(F.lit(255).cast("long"))
-    apart = F.greatest(*[F.abs(at("a", k) - at("b", k)) for k in range(TABLE_PIVOTS)])
-    verified = pairs.where(apart <= MAX_BITS).where(_distance(F.col("a"), F.col("b")) <= MAX_BITS)
+    apart = F.greatest(*[F.abs(at("a", k) - at("b", k)) for k in range(PIVOTS)])
+    return tables.where(apart <= MAX_BITS).where(_distance(F.col("a"), F.col("b")) <= MAX_BITS).select("a", "b")
 
-    crowd = keyed.join(shared.where(F.col("n") > PAIRED).select("half", "key"), ["half", "key"], "left_semi").select("fp").distinct()
-    flips = F.array(fp, *[fp.bitwiseXOR(F.lit(_signed(1 << k)).cast("long")) for k in range(64)])
-    spread = crowd.select("fp", F.explode(flips).alias("variant"))
-    centres = spread.groupBy("variant").agg(F.min("fp").alias("least"), F.count("*").alias("n")).where("n > 1")
-    stars = spread.join(centres, "variant").where("fp <> least").select(F.col("fp").alias("a"), F.col("least").alias("b"))
-    return verified.select("a", "b").unionByName(stars).distinct().toDF("src", "dst")
+
+def fingerprint_links(prints: DataFrame) -> DataFrame:
+    """(fp) distinct signed fingerprints -> (src, dst), all pairs within MAX_BITS.
+
+    Pairs that share a key are compared one by one. A key with more than PAIRED
+    fingerprints would make many pairs, so its fingerprints are keyed again over what
+    the key leaves open. After the third level a key has equal distances over 56 of
+    the 64 bits, which leaves few fingerprints however many there are in all.
+    """
+    keyed = prints.select("fp", F.lit(0).alias("path"), F.lit(0).cast("long").alias("key"))
+    out = None
+    for level in range(len(LEVELS)):
+        keyed = _parted(keyed, level)
+        shared = materialize(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
+        most = PAIRED if level + 1 < len(LEVELS) else 1 << 62
+        few = keyed.join(shared.where((F.col("n") > 2) & (F.col("n") <= most)).select("key"), "key").select("key", "fp")
+        pairs = few.withColumnRenamed("fp", "a").join(few.withColumnRenamed("fp", "b"), "key").where("a < b").select("a", "b")
+        found = _verified(pairs.unionByName(shared.where("n = 2").select("a", "b")))
+        out = found if out is None else out.unionByName(found)
+        crowds = shared.where(F.col("n") > most).select("key")
+        if crowds.isEmpty():
+            break
+        keyed = materialize(keyed.join(crowds, "key"))
+    return out.distinct().toDF("src", "dst")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -147,16 +178,22 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     class's component and is never one itself, unless the class has no other.
     Repeated rows come back as often as they are. Copies share a fingerprint, and
     only distinct fingerprints are compared, so a class of copies of any size costs
-    one row; long texts stream word by word. An empty table gives an empty result.
-    Columns other than the two named are not read.
+    one row. A task holds the words of one text and a hash for each shingle, whatever
+    the text's length. An empty table gives an empty result. Columns other than the
+    two named are not read.
     """
-    rows = materialize(docs.select(F.col(id_col).alias("id"), fingerprints(docs, text_col).alias("fp")))
+    return _components(docs, id_col, text_col).drop("h")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """simhash_components with h, a hash of the text."""
+    rows = materialize(docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col), 9).alias("h"), fingerprints(docs, text_col).alias("fp")))
     classes = materialize(rows.groupBy("fp").agg(F.min("id").alias("first_id")))
     found = connected_components(fingerprint_links(classes.select("fp")))
     joined = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = joined.join(least, "component").select("fp", "component_id")
-    return rows.join(named, "fp").select("id", "fp", "component_id")
+    return rows.join(named, "fp").select("id", "h", "fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,20 +206,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without near-duplicates: of each component the row with the least id stays.
 
-    Of rows that repeat this id one stays, the one with the least text. Rows with a
-    null id can't be named as anyone's duplicate and stay.
+    Of rows that repeat this id one stays, with a text whose component has the id's
+    name; of several such texts, and of rows that share it, that with the least hash.
+    Rows with a null id can't be named as anyone's duplicate and stay.
     """
-    found = simhash_components(docs, id_col, text_col)
-    heads = found.where(F.col("id") == F.col("component_id")).groupBy("id").agg(F.count("*").alias("n"))
-    repeats, row = unused(docs, "repeats"), unused(docs, "row")
-    kept = docs.join(heads.select(F.col("id").alias(id_col), F.col("n").alias(repeats)).hint("merge"), id_col)
+    found = _components(docs, id_col, text_col).where("id is not null")
+    texts = found.groupBy("id", "h").agg(F.count("*").alias("n"), F.max(F.col("id") == F.col("component_id")).alias("head"))
+    chosen = texts.groupBy("id").agg(F.count("*").alias("texts"), F.sum("n").alias("n"), F.min(F.when(F.col("head"), F.col("h"))).alias("h"))
+    # what goes, and what repeats, are ids that are fewer than the documents
+    marks = chosen.where("h is null or n > 1").select(F.col("id"), F.when(F.col("h").isNotNull(), F.col("h")).alias("h"))
+    key, own, row = unused(docs, "marked"), unused(docs, "own"), unused(docs, "row")
+    marked = docs.withColumn(own, F.col(id_col)).join(lean(marks.select(F.col("id").alias(own), F.struct("h").alias(key))), own, "left").drop(own)
+    single = marked.where(F.col(key).isNull()).drop(key)
     names = [c for c in docs.columns if c != id_col]
-    many = kept.where(F.col(repeats) > 1).groupBy(id_col).agg(F.min_by(F.struct(*names), F.coalesce(text_col, F.lit(""))).alias(row))
-    return (
-        kept.where(F.col(repeats) == 1).select(*docs.columns)
-        .unionByName(many.select(id_col, *[F.col(row)[c].alias(c) for c in names]))
-        .unionByName(docs.where(F.col(id_col).isNull()))
-    )
+    repeats = marked.where(F.col(key)["h"] == text_hash(F.col(text_col), 9))
+    one = repeats.groupBy(id_col).agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias(row))
+    return single.unionByName(one.select(id_col, *[F.col(row)[c].alias(c) for c in names]).select(*docs.columns))
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

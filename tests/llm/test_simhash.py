@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from duelframe.llm import simhash
@@ -52,19 +53,36 @@ def test_links_against_all_pairs(spark):
     crowd = rng.getrandbits(64)  # far more than PAIRED share half a word
     prints |= {crowd ^ rng.getrandbits(8) for _ in range(120)} | {crowd ^ (1 << k) for k in range(64)}
     rows = [(i, p) for i, p in enumerate(sorted(prints))]
+    check_links(spark, rows)
+
+
+def check_links(spark, rows):
+    """Every pair within two bits, and no other."""
     frame = spark.createDataFrame([(simhash._signed(p),) for _, p in rows], "fp long")
-    from duelframe.llm.components import connected_components
+    got = simhash.fingerprint_links(frame).collect()
+    x = np.array(sorted(p for _, p in rows), np.uint64)
+    want = set()
+    for k, p in enumerate(x):
+        for j in np.flatnonzero(np.bitwise_count(x[k + 1 :] ^ p) <= 2) + k + 1:
+            a, b = simhash._signed(int(p)), simhash._signed(int(x[j]))
+            want.add((min(a, b), max(a, b)))
+    assert len(got) == len(want) and {(r.src, r.dst) for r in got} == want
+
+
+@pytest.mark.parametrize("n", [31, 32, 33, 64, 65])
+def test_crowds_about_the_number_that_is_paired(spark, n):
+    rng = random.Random(n)
+    base = rng.getrandbits(32) << 32
+    check_links(spark, list(enumerate({base | rng.getrandbits(32) for _ in range(n // 2)} | {base | 1 << k for k in range(n // 2)})))
+
 
-    got = {r.node: r.component for r in connected_components(simhash.fingerprint_links(frame)).collect()}
-    want = brute_components(rows)
-    by = {}
-    for i, p in rows:
-        by.setdefault(want[i], set()).add(simhash._signed(p))
-    mine = {}
-    for _, p in rows:
-        s = simhash._signed(p)
-        mine.setdefault(got.get(s, s), set()).add(s)
-    assert sorted(map(sorted, by.values())) == sorted(map(sorted, mine.values()))
+def test_crowds_on_every_level(spark):
+    """All words of twelve bits, beside the same words elsewhere: keys of thousands, parted three times."""
+    rng = random.Random(12)
+    a, b = rng.getrandbits(64), rng.getrandbits(64)
+    bits = rng.sample(range(64), 7)
+    wide = {b ^ sum(1 << bits[k] for k in range(7) if x >> k & 1) for x in range(128)}
+    check_links(spark, list(enumerate({a ^ x for x in range(1 << 11)} | wide)))
 
 
 def test_rows(spark):
@@ -83,6 +101,9 @@ def test_rows(spark):
     kept = simhash.keep_one_of_each(docs)
     assert kept.columns == docs.columns
     left = sorted((r.doc_id or -1) for r in kept.collect())
+    assert left == [-1, 3, 7, 9, 10]
+    again = spark.createDataFrame([(1, "u v w", "c", 1), (2, "u v w", "d", 2), (2, "quite another text", "e", 3), (2, "quite another text", "a", 4), (3, "quite another text", "f", 5)], docs.schema)
+    assert sorted((r.doc_id, r.text) for r in simhash.keep_one_of_each(again).collect()) == [(1, "u v w"), (2, "quite another text")]
     assert left.count(9) == 1 and 3 in left and 5 not in left and 8 not in left
     empty = docs.limit(0)
     assert simhash.near_duplicates(empty).count() == 0
