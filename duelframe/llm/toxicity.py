@@ -22,16 +22,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import id_bucket, materialize, table, unused
+from duelframe.llm.common import BROADCAST_ROWS, id_bucket, materialize, table, unit, unused
 
 TOKEN = re.compile(r"[^\W_]+")
 #: Leading characters of a word that count as a feature of their own, for words too rare to be known.
 STEM = 5
 #: Distinct tokens that a counting task holds before it hands on partial counts.
 HELD = 100_000
+#: Labelled ids that are learned from; every task gets them, about 20 MB.
+MOST_LABELS = BROADCAST_ROWS
 #: The evidence of a text without a segment, and the most that any has.
 NONE, MOST = -12.0, 40.0
 
@@ -100,11 +102,18 @@ def segments(weights: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, r - l) for a, b, l, r in stack]
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, learn: object) -> DataFrame:
-    marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(learn)
-    # the larger side is the texts whatever their number, and the labels grow with them: always the same join
-    return rows.join(marks.hint("merge"), "id")
+def _marks(labels: DataFrame, id_col: str, label_col: str, learn: Column, most: int) -> DataFrame:
+    """(id, toxic) to learn from: at most about `most` ids, chosen by a hash, so that they can be given to every task.
+
+    A repeated label counts once, as toxic if one says so.
+    """
+    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where(learn).where("toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
+    marks = materialize(marks)
+    return F.broadcast(marks.where(unit(F.xxhash64("id", F.lit(4))) < min(1.0, most / max(1, marks.count()))))
+
+
+def _labelled(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marks, "id")
 
 
 def _counts(labelled: DataFrame) -> DataFrame:
@@ -340,33 +349,30 @@ def fit_calibration(evidence: DataFrame) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, folds: int = 5, held_fold: int = 0, **fitting) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, folds: int = 5, held_fold: int = 0, most_labels: int = MOST_LABELS, **fitting) -> DataFrame:
     """(id, held_out, score, predicted, passages, best, first_token, last_token) for each row of docs.
 
     Learns only from labelled rows where crc32(id as text) mod folds is neither
-    held_fold nor null. A repeated label counts once, as toxic if one says so. Null
-    and empty texts, and texts without a token, have no evidence and get the same
-    low score. Equal texts get equal scores. Without labels of both classes no text
-    has evidence. An empty table gives an empty result; only named columns are read.
+    held_fold nor null, and from at most about most_labels ids. A repeated label
+    counts once, as toxic if one says so. Null and empty texts, and texts without a
+    token, have no evidence and get the same low score. Equal texts get equal scores.
+    Without labels of both classes no text has evidence. An empty table gives an empty
+    result; only named columns are read.
     """
-    train = _labelled(docs, labels, id_col, text_col, label_col, id_bucket(F.col(id_col), folds) != held_fold)
-    train = materialize(train)
-    lexicon = fit_lexicon(train, **fitting)
+    marks = _marks(labels, id_col, label_col, id_bucket(F.col("id"), folds) != held_fold, most_labels)
+    lexicon = fit_lexicon(materialize(_labelled(docs, marks, id_col, text_col)), **fitting)
     found = materialize(scan_documents(docs, lexicon, id_col, text_col))
-    bucket = id_bucket(F.col("id"), folds)
-    marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
-    slope, offset = fit_calibration(found.where(bucket != held_fold).select("id", "evidence").join(marks, "id"))
+    slope, offset = fit_calibration(found.select("id", "evidence").join(marks, "id"))
     score = 1 / (1 + F.exp(-(F.lit(slope) * F.col("evidence") + F.lit(offset))))
     return found.select(
-        F.col("id").alias(id_col), F.coalesce(bucket == held_fold, F.lit(False)).alias("held_out"), score.alias("score"),
+        F.col("id").alias(id_col), F.coalesce(id_bucket(F.col("id"), folds) == held_fold, F.lit(False)).alias("held_out"), score.alias("score"),
         F.when(score >= 0.5, 1).otherwise(0).alias("predicted"), "passages", "best", "first_token", "last_token",
     )
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **fitting) -> DataFrame:
+def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, most_labels: int = MOST_LABELS, **fitting) -> DataFrame:
     """docs whose score stays under 0.5; the score depends on the text alone, so every row is judged by its own text."""
-    train = _labelled(docs, labels, id_col, text_col, label_col, id_bucket(F.col(id_col), 5) != 0)
-    train = materialize(train)
+    train = materialize(_labelled(docs, _marks(labels, id_col, label_col, id_bucket(F.col("id"), 5) != 0, most_labels), id_col, text_col))
     lexicon = fit_lexicon(train, **fitting)
     found = scan_documents(train.select("toxic", "text", F.col("toxic").alias("id")), lexicon, "id", "text")
     slope, offset = fit_calibration(found.select("evidence", F.col("id").alias("toxic")))

@@ -47,7 +47,7 @@ def test_toxicity(spark, kept):
     docs = rows(kept[1])
     learn = {i for i in docs if i in labels and zlib.crc32(str(i).encode()) % 5}
     assert learn
-    train = toxicity._labelled(kept[1], table(spark, SF, "labels"), "doc_id", "text", "toxic", F.expr("crc32(cast(doc_id as string)) % 5 <> 0"))
+    train = toxicity._labelled(kept[1], toxicity._marks(table(spark, SF, "labels"), "doc_id", "toxic", F.expr("crc32(cast(id as string)) % 5 <> 0"), 1000), "doc_id", "text")
     assert sorted((r.id, r.toxic) for r in train.collect()) == sorted((i, labels[i]) for i in learn)
     lexicon = toxicity.fit_lexicon(train)
     scanned = toxicity.scan_documents(train, lexicon, "id", "text").select("id", "evidence").join(train.select("id", "toxic"), "id")
