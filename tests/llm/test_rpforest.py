@@ -5,12 +5,13 @@ from duelframe.llm import rpforest
 SCHEMA = "vec_id long, embedding array<float>, label int, links string, root int"
 
 
-def brute(rows, cosine=0.98):
+def brute(rows, cosine=0.98, kind=np.float32):
     """{id: (links, component)} by all pairs."""
     good = {}
     for i, v, label in rows:
         if v is not None and label is not None and len(v) and all(c is not None and np.isfinite(c) for c in v) and any(v):
-            x = np.asarray(v, np.float32).astype(float)
+            x = np.asarray(v, kind).astype(float)
+            x /= np.abs(x).max()
             good[i] = (x / np.linalg.norm(x), (label, len(v)))
     ids = sorted(good)
     near = {i: set() for i, *_ in rows}
@@ -66,6 +67,45 @@ def test_dense_cluster_larger_than_a_leaf_is_exact(spark):
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
 
 
+def test_dense_cluster_of_many_blocks(spark):
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=16)
+    rows = [(i, np.float32(centre + rng.normal(0, 0.08, 16)).tolist(), 1) for i in range(400)]
+    got = rpforest.similar_vectors(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA), leaf=40, block=37).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == brute(rows)
+
+
+def test_recall_at_ten_levels_and_more(spark, monkeypatch):
+    """Trees of two phases and about ten levels, as for 600 thousand vectors, still find nearly every pair."""
+    monkeypatch.setattr(rpforest, "LEVELS", 6)
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(2000, 32))
+    near = base[rng.permutation(2000)[:800]] * (1 + rng.random((800, 1))) + 0
+    near += rng.normal(size=near.shape) * np.linalg.norm(near, axis=1, keepdims=True) * 0.198 / 32**0.5  # cosines just above 0.98
+    rows = [(i, np.float32(v).tolist(), 1) for i, v in enumerate(np.concatenate([base, near]))]
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    depth = rpforest.grow(frame.selectExpr("cast(vec_id as string) as id", "cast(label as long) as root", "embedding as v"), leaf=5).groupBy("leaf").count()
+    leaves = depth.selectExpr("count(*) as n", "count_if(count <= 5) as small", "max(count) as most").first()
+    assert leaves.n > 8 * 512 and leaves.small > 0.95 * leaves.n, leaves
+    want = sum(n for n, _ in brute(rows).values())
+    got = sum(r.n_links for r in rpforest.similar_vectors(frame, leaf=5).collect())
+    assert want > 500 and 0.9 * want <= got <= want
+
+
+def test_ids_with_several_vectors(spark):
+    """What any of an id's vectors reaches is one component; its links are those of all of them."""
+    rows = [(3, [1.0, 0.0], 1), (5, [1.0, 0.0], 1), (4, [0.0, 1.0], 1), (5, [0.0, 1.0], 1), (6, [-1.0, 0.0], 1)]
+    got = rpforest.similar_vectors(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(3, 1, 3), (4, 1, 3), (5, 2, 3), (5, 2, 3), (6, 0, 6)]
+
+
+def test_very_large_and_small_components(spark):
+    rows = [(1, [1e200, 1e200], 1), (2, [1e200, 1.0001e200], 1), (3, [1e-200, 1e-200], 1), (4, [1e-320, 0.0], 1), (5, [1e308, -1e308], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in rpforest.similar_vectors(frame).collect()}
+    assert got == brute(rows, kind=float) and got[2] == (2, 1)
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
