@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from duelframe.llm.common import id_bucket, table
+from duelframe.llm.common import id_bucket, lean, materialize, table, unit
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -153,24 +153,26 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], *, dims
     return net
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", *, docs_per_language: int = 400, windows_per_doc: int = 3, max_languages: int = 200, key_col: str = "doc_id") -> ByteConvNet | None:
+def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", *, docs_per_language: int = 400, most_docs: int = 24_000, windows_per_doc: int = 3, key_col: str = "doc_id") -> ByteConvNet | None:
     """Train on windows of about docs_per_language texts of each language, chosen by a hash of the key.
 
-    At most max_languages languages are learned, the most frequent ones. So the
-    driver receives at most 2 * max_languages * docs_per_language * windows_per_doc
-    windows. Null or empty texts and null labels teach nothing; None if nothing is left.
+    Every language that has a text is learned; where there are many, from fewer texts
+    each, most_docs in all but 16 for each at least. So the driver receives about
+    windows_per_doc windows of so many texts. Null or empty texts and null labels
+    teach nothing; None if nothing is left. A repeated row teaches once.
     """
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).alias("label"), F.xxhash64(F.col(key_col).cast("string"), F.lit(10)).alias("h")).where("label is not null and text <> ''")
-    counts = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(max_languages).collect()}
-    if not counts:
-        return None
-    languages = sorted(counts)
-    rates = F.create_map(*[F.lit(v) for lang in languages for v in (lang, min(1.0, 1.1 * docs_per_language / counts[lang]))])
-    unit = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
-    picked = rows.where(F.coalesce(unit < rates[F.col("label")], F.lit(False)))
+    marked = labelled.select(F.col(text_col).alias("text"), F.col(label_col).alias("label")).where("label is not null")
+    counts = materialize(marked.groupBy("label").agg(F.count("*").alias("n")))
+    each = min(docs_per_language, max(16, most_docs // max(1, counts.count())))
+    rates = lean(counts.select("label", (F.lit(1.1 * each) / F.col("n")).alias("rate")))
+    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).alias("label"), F.col(key_col).cast("string").alias("key"))
+    picked = rows.join(rates, "label").withColumn("h", F.xxhash64("key", F.lit(10))).where(unit(F.col("h")) < F.col("rate")).withColumn("t", F.xxhash64("text"))
     starts = [F.lit(1) + F.pmod(F.xxhash64("h", F.lit(k)), F.greatest(F.lit(1), F.length("text") - WINDOW // 2)) if k else F.lit(1) for k in range(windows_per_doc)]
-    cut = picked.select("label", "h", F.posexplode(F.array(*[F.substring("text", s.cast("int"), F.lit(WINDOW)) for s in starts])).alias("k", "piece"))
-    sample = cut.orderBy("h", "k", "piece", "label").limit(2 * docs_per_language * windows_per_doc * len(languages)).collect()
+    cut = picked.select("label", "h", "t", F.posexplode(F.array(*[F.substring("text", s.cast("int"), F.lit(WINDOW)) for s in starts])).alias("k", "piece"))
+    sample = cut.where("piece <> ''").dropDuplicates(["label", "h", "t", "k"]).orderBy("h", "k", "label", "t").collect()
+    if not sample:
+        return None
+    languages = sorted({r.label for r in sample})
     index = {lang: k for k, lang in enumerate(languages)}
     windows = np.frombuffer(b"".join(r.piece.encode()[:WINDOW].ljust(WINDOW, b"\0") for r in sample), np.uint8).reshape(-1, WINDOW)
     labels = np.array([index[r.label] for r in sample])
@@ -217,11 +219,21 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select(id_col, "held_out", "_found.lang_pred", "_found.score")
 
 
-def keep_identified(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", *, least_score: float = 0.3, **fitting) -> DataFrame:
-    """docs whose language is recognised with at least least_score; texts that are null or have no letter go."""
+def least_score(languages: int, confidence: float) -> float:
+    """The score that lies so far from chance, 1 / languages, to certainty."""
+    return 1 / languages + confidence * (1 - 1 / languages) if languages else 1.0
+
+
+def keep_identified(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", *, confidence: float = 1 / 15, **fitting) -> DataFrame:
+    """docs whose language is recognised; texts that are null or have no letter go.
+
+    A text's best score is at least chance. It must be above chance by `confidence` of
+    what lies between chance and certainty, so the rule is the same for any number of
+    languages; texts between two languages or more stay, and what resembles none goes.
+    """
     net = fit(docs.where(id_bucket(F.col(id_col), 3) != 1), text_col, label_col, key_col=id_col, **fitting)
     found = identify(docs, net, text_col)
-    return docs.where((found["lang_pred"] != UNDETERMINED) & (found["score"] >= least_score))
+    return docs.where((found["lang_pred"] != UNDETERMINED) & (found["score"] >= least_score(len(net.languages) if net else 0, confidence)))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -28,6 +30,44 @@ def test_windows_cover_the_whole_text():
     assert np.allclose(got, p.sum(0) / len(text), atol=1e-4)
 
 
+def test_query_against_plain_code(spark):
+    """The trained network by its definition, window by window and text by text."""
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents")
+    net = langid.fit(docs.where("crc32(cast(doc_id as string)) % 3 <> 1"))
+    got = {r.doc_id: r for r in langid.op10_language_id(spark, sf).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert set(got) == set(texts) and net.languages == sorted({r.lang for r in docs.collect() if r.lang})
+    for i, text in texts.items():
+        data = (text or "").encode()
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1)
+        if not any(map(str.isalpha, text or "")):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        total = np.zeros(len(net.languages))
+        for at in range(0, len(data), 256):
+            part = data[at : at + 256]
+            x = net.embed[list(part.ljust(256, b"\0"))]
+            tops = [max((x[k : k + len(c)].reshape(-1) @ c.reshape(-1, c.shape[2]) for k in range(257 - len(c))), key=lambda y, f=f: y[f])[f] for c in net.convs for f in range(c.shape[2])] if at < 2048 else net.pooled(np.array([list(part.ljust(256, b"\0"))], np.uint8))[0][0]
+            z = np.maximum(np.array(tops) + net.bias, 0) @ net.dense + net.offset
+            total += len(part) * np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        total /= len(data)
+        assert abs(got[i].score - total.max()) < 1e-3 and total[net.languages.index(got[i].lang_pred)] > total.max() - 1e-3
+
+
+def test_more_languages_than_two_hundred(spark):
+    """Every label is learned, from fewer texts each; the rule for what is kept is the same."""
+    rng = np.random.default_rng(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = ["".join(rng.choice(list(letters), 5)) for _ in range(230)]
+    rows = [(i, " ".join("".join(rng.choice(list(own[i % 230]), 4)) for _ in range(30)), f"l{i % 230:03}") for i in range(230 * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.language_id(docs, most_docs=1).join(docs, "doc_id").where("held_out").collect()
+    assert len({r.lang_pred for r in got}) > 150
+    assert sum(r.lang_pred == r.lang for r in got) > 0.4 * len(got)
+    assert np.isclose(langid.least_score(4, 1 / 15), 0.3) and langid.least_score(1, 0.1) == 1 and langid.least_score(1000, 1 / 15) < 0.07
+
+
 def test_held_out_accuracy(spark):
     docs = table(spark, SF, "documents")
     got = langid.op10_language_id(spark, SF)
