@@ -17,8 +17,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from duelframe.llm.common import materialize, table
+from duelframe.llm.common import materialize, table, text_hash, unit
 
 ABSTAIN, BAD, GOOD = 0, 1, 2
 BUCKETS = 1 << 14
@@ -60,16 +61,17 @@ def votes(text: str | None) -> str:
 HEURISTICS = ("word_after_itself", "words_seen_before", "capitals", "odd_symbols", "exclamations", "repeated_lines", "not_letters", "long_words", "bare_marks")
 
 
-def accuracies(patterns: dict[str, int], rounds: int = 100, smooth: float = 1.0) -> tuple[float, np.ndarray]:
+def accuracies(patterns: dict[str, int], rounds: int = 100, smooth: float = 1e-4) -> tuple[float, np.ndarray]:
     """(share of good texts, P(vote | good or bad)) by expectation maximisation.
 
     patterns counts texts by their votes. The start is the share of good among each
     text's votes; more good than bad texts are assumed only where all is symmetric.
+    smooth is a share of all texts, so that estimates hang on the patterns' shares alone.
     """
     keys = sorted(patterns)
     v = np.array([[int(c) for c in k] for k in keys])
     n = np.array([patterns[k] for k in keys], float)
-    n = n / n.sum() * min(n.sum(), 1e6)  # smoothing stays visible at any size
+    n = n / n.sum()
     cast = np.maximum(1, (v != ABSTAIN).sum(1))
     post = np.clip(((v == GOOD).sum(1) + 1.0) / (cast + 1.5), 0.02, 0.98)
     post = np.where((v == BAD).any(1), np.minimum(post, 0.3 + 0.4 * (v == GOOD).sum(1) / cast), post)
@@ -142,53 +144,63 @@ def fit_scorer(sample: list[tuple[np.ndarray, np.ndarray, float]], epochs: int =
     return total / epochs
 
 
+@F.pandas_udf(StringType())
+def _votes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for texts in batches:
+        yield pd.Series([votes(x) for x in texts], dtype=object)
+
+
+@F.pandas_udf(StructType([StructField("at", BinaryType()), StructField("x", BinaryType())]))
+def _features(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    features = Features()
+    for texts in batches:
+        both = [features(x) for x in texts]
+        yield pd.DataFrame({"at": [a.astype(np.int32).tobytes() for a, _ in both], "x": [x.astype(np.float32).tobytes() for _, x in both]})
+
+
+def _train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The scorer's weights, from a sample in one task."""
+    rows = pd.concat(batches).sort_values("h")
+    sample = [(np.frombuffer(at, np.int32), np.frombuffer(x, np.float32).astype(float), y) for at, x, y in zip(rows["at"], rows["x"], rows["y"], strict=True)]
+    yield pd.DataFrame({"w": [fit_scorer(sample).tobytes()]})
+
+
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sample: int = SAMPLE) -> DataFrame:
     """(id, score, predicted, keep, votes, weak_posterior) for each row of docs.
 
     score is the scorer's probability that the text is good; predicted is 1, and keep
     true, from 0.5 on. A null text and one without words are bad to every heuristic.
     Equal texts get equal scores, repeated rows come back as often as they are; an
-    empty table gives an empty result; other columns aren't read. The driver
-    receives the counts of at most 3 ** 9 vote patterns and sample texts' features.
+    empty table gives an empty result; other columns aren't read. Every text is voted
+    on once. The driver receives the counts of at most 3 ** 9 vote patterns and the
+    weights; the features of about `sample` distinct rows meet in one task.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    text = F.col("text")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumns({"a": text_hash(text, 1), "b": text_hash(text, 2)})
     kind = rows.schema["id"].dataType.simpleString()
-
-    def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"votes": [votes(x) for x in batch["text"]], "h": batch["h"]})
-
-    hashed = rows.withColumn("h", F.xxhash64("id", "text"))
-    cast = materialize(hashed.select("text", "h").mapInPandas(vote, "votes string, h long"))
-    patterns = {r.votes: r.n for r in cast.groupBy("votes").agg(F.count("*").alias("n")).collect()}
-    if not patterns:
+    cast = materialize(rows.select("a", "b", _votes("text").alias("votes")))
+    counts = {r.votes: r.n for r in cast.groupBy("votes").agg(F.count("*").alias("n")).collect()}
+    if not counts:
         return docs.sparkSession.createDataFrame([], f"`{id_col}` {kind}, score double, predicted int, keep boolean, votes string, weak_posterior double")
-    share, rates = accuracies(patterns)
-    weak = {k: posterior(k, share, rates) for k in patterns}
+    share, rates = accuracies(counts)
+    weak = docs.sparkSession.createDataFrame([(k, posterior(k, share, rates)) for k in counts], "votes string, weak_posterior double")
+    told = materialize(cast.groupBy("a", "b").agg(F.first("votes").alias("votes")).join(F.broadcast(weak), "votes"))
 
-    total = sum(patterns.values())
-    unit = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
+    h = F.xxhash64("id", "a", "b")
+    picked = rows.withColumn("h", h).where(unit(F.col("h")) < min(1.0, sample / sum(counts.values()))).select("h", "a", "b", _features("text").alias("f")).dropDuplicates(["h"])
+    learned = picked.join(told, ["a", "b"]).select("h", "f.at", "f.x", F.col("weak_posterior").alias("y")).repartition(1).mapInPandas(_train, "w binary").first()
+    w = np.frombuffer(learned.w, float) if learned else np.zeros(BUCKETS)
 
-    def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         features = Features()
-        for batch in batches:
-            both = [features(x) for x in batch["text"]]
-            yield pd.DataFrame({"h": batch["h"], "at": [a for a, _ in both], "x": [x for _, x in both], "y": [weak[votes(x)] for x in batch["text"]]})
+        for texts in batches:
+            p = np.array([w[at] @ x for at, x in map(features, texts)])
+            yield pd.Series(1 / (1 + np.exp(-np.clip(p, -30, 30))))
 
-    picked = hashed.where(unit < min(1.0, 1.1 * sample / total)).select("h", "text")
-    got = picked.mapInPandas(featured, "h long, at array<long>, x array<double>, y double").orderBy("h").limit(sample).collect()
-    w = fit_scorer([(np.array(r.at), np.array(r.x), r.y) for r in got])
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        features = Features()
-        for batch in batches:
-            p = np.array([w[at] @ x for at, x in map(features, batch["text"])])
-            p = 1 / (1 + np.exp(-np.clip(p, -30, 30)))
-            v = [votes(x) for x in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"].to_numpy(), "score": p, "predicted": (p >= 0.5).astype("int32"), "keep": p >= 0.5, "votes": v, "weak_posterior": [weak[k] for k in v]})
-
-    out = rows.mapInPandas(score, f"id {kind}, score double, predicted int, keep boolean, votes string, weak_posterior double")
-    return out.withColumnRenamed("id", id_col)
+    scored = rows.select("id", "a", "b", score("text").alias("score")).join(told, ["a", "b"])
+    good = F.col("score") >= 0.5
+    return scored.select(F.col("id").alias(id_col), "score", good.cast("int").alias("predicted"), good.alias("keep"), "votes", "weak_posterior")
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,7 @@
+from collections import Counter
+
 import numpy as np
+from pyspark.sql import functions as F
 
 from duelframe.llm import quality
 from duelframe.llm.common import table
@@ -26,6 +29,55 @@ def test_accuracies_are_recovered():
     assert best["22222"] > 0.99 and best["11111"] < 0.05
 
 
+def test_estimates_hang_on_shares_alone():
+    patterns = {"22": 700, "11": 200, "20": 60, "12": 40}
+    small, large = quality.accuracies(patterns), quality.accuracies({k: n * 10_000 for k, n in patterns.items()})
+    assert np.isclose(small[0], large[0]) and np.allclose(small[1], large[1])
+
+
+def test_ties_are_undecided():
+    """Votes that cancel out say nothing; a text of which all heuristics abstain has the share of good texts."""
+    patterns = {"21": 50, "12": 50, "22": 50, "11": 50, "00": 10}
+    share, rates = quality.accuracies(patterns)
+    assert abs(quality.posterior("00", share, rates) - share) < 1e-9
+    assert abs(quality.posterior("21", share, rates) - quality.posterior("12", share, rates)) < 1e-6
+    assert quality.posterior("22", share, rates) > quality.posterior("21", share, rates) > quality.posterior("11", share, rates)
+
+
+def test_query_against_plain_code(spark):
+    """Votes, estimates, features, training and scores of the query, text by text."""
+    sf = "/root/testdata/sf0.001"
+    rows = table(spark, sf, "documents").select("doc_id", "text", F.xxhash64("doc_id", F.xxhash64(F.coalesce("text", F.lit("")), F.lit(1)), F.xxhash64(F.coalesce("text", F.lit("")), F.lit(2))).alias("h")).collect()
+    got = {r.doc_id: r for r in quality.op3_quality_classifier(spark, sf).collect()}
+    cast = {r.doc_id: quality.votes(r.text) for r in rows}
+    v = np.array([[int(c) for c in cast[r.doc_id]] for r in rows])
+    post = {}
+    share, rates = quality.accuracies(dict(Counter(cast.values())))
+    for r, own in zip(rows, v, strict=True):  # Bayes' rule among the votes cast
+        good, bad = share, 1 - share
+        for k, vote in enumerate(own):
+            if vote:
+                good *= rates[1, vote, k] / rates[1, 1:, k].sum()
+                bad *= rates[0, vote, k] / rates[0, 1:, k].sum()
+        post[r.doc_id] = good / (good + bad)
+    features, w, total = quality.Features(), np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
+    order, rng = sorted(rows, key=lambda r: r.h), np.random.default_rng(3)
+    for e in range(12):
+        for k in rng.permutation(len(order)):
+            at, x = features(order[k].text)
+            p = 1 / (1 + np.exp(-np.clip(sum(w[at] * x), -30, 30)))
+            for a, c in zip(at, x, strict=True):
+                w[a] += 2.0 / (1 + e) * (post[order[k].doc_id] - p) * c
+        total += w / 12
+    assert set(got) == set(cast)
+    for r in rows:
+        at, x = features(r.text)
+        p = 1 / (1 + np.exp(-np.clip(total[at] @ x, -30, 30)))
+        g = got[r.doc_id]
+        assert g.votes == cast[r.doc_id] and abs(g.weak_posterior - post[r.doc_id]) < 1e-6
+        assert abs(g.score - p) < 1e-3 and (g.keep == (p >= 0.5) or abs(p - 0.5) < 1e-3)
+
+
 def test_against_held_back_labels(spark):
     got = quality.op3_quality_classifier(spark, SF)
     assert got.columns[:4] == ["doc_id", "score", "predicted", "keep"]
