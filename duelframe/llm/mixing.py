@@ -5,8 +5,11 @@ line is repeated until the source's target is met, and cut in blocks. The blocks
 all sources are then dealt to the output shards: a node of a binary tree of shards
 splits its exact quota of each source's blocks between its two halves as a draw
 without replacement would, a multivariate hypergeometric draw, down to the shards.
-A shard takes its quota of each source from a pseudo-random permutation of the
+A shard takes its quota of each source from a keyed pseudo-random permutation of the
 source's blocks, so shards never share a block, and orders what it has by a hash.
+
+Sources are a table like any other: their targets are found by aggregates, and the
+splitting tree runs in tasks, for groups of sources whose totals were split before.
 """
 
 from __future__ import annotations
@@ -15,15 +18,20 @@ import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import WORD, materialize, table
+from duelframe.llm.common import WORD, lean, materialize, table, text_hash
 
 BLOCK_WORDS = 1024
 #: Weights of the sources by code point, null last, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, MOST_PASSES = 1.5, 2.0
+#: Sources of a group; a group's quotas are split in one task.
+GROUP = 1024
+#: Rounds of the permutation of blocks.
+ROUNDS = 32
 
 
 def n_words(text: Column) -> Column:
@@ -35,62 +43,121 @@ def permuted(id_: Column, seed: int) -> Column:
     return F.md5(F.concat(F.coalesce(id_.cast("string"), F.lit("")), F.lit(f":{seed}")))
 
 
-def targets(sizes: Sequence[int], weights: Sequence[float], total: float, most: float = MOST_PASSES) -> list[float]:
-    """Shares of total by weight, none above most times its size; what a full one can't take goes to the rest by weight."""
-    out, open_ = [0.0] * len(sizes), set(range(len(sizes)))
-    left = total
-    while open_:
-        mass = sum(weights[k] for k in open_)
-        full = [k for k in sorted(open_) if left * weights[k] / mass > most * sizes[k]] if mass > 0 else []
-        if not full:
-            for k in open_:
-                out[k] = left * weights[k] / mass if mass > 0 else 0.0
-            break
-        for k in full:
-            out[k] = most * sizes[k]
-            open_.discard(k)
-        left -= sum(out[k] for k in full)
-    return out
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
+    """How many good ones there are among so many draws without replacement.
 
+    By inversion, at any size: the probabilities follow from their exact ratios, up to
+    12 standard deviations and 20 from the mode, beyond which they don't reach a
+    double's precision.
+    """
+    low, high = max(0, draws - bad), min(good, draws)
+    if low == high:
+        return low
+    n = good + bad
+    deviation = math.sqrt(draws / n * good / n * bad * (n - draws) / max(1, n - 1))
+    mode, reach = (draws + 1) * (good + 1) // (n + 2), int(12 * deviation) + 20
+    low, high = max(low, mode - reach), min(high, mode + reach)
+    x = np.arange(high - low, dtype=float)  # from low, so that differences are exact
+    steps = np.log(good - low - x) + np.log(draws - low - x) - np.log(low + 1 + x) - np.log(bad - draws + low + 1 + x)
+    logs = np.concatenate(([0.0], np.cumsum(steps)))
+    sums = np.cumsum(np.exp(logs - logs.max()))
+    return low + int(np.searchsorted(sums, rng.random() * sums[-1], side="right").clip(0, high - low))
 
-def split_quotas(quotas: Sequence[int], shards: int, rng: np.random.Generator) -> np.ndarray:
-    """shards x sources: how many blocks of each source a shard gets; columns sum to quotas, rows are as even as they can be."""
-    quotas = np.asarray(quotas, np.int64)
+
+def even(total: int, shards: int) -> list[int]:
+    """A total dealt to shards by halves, as evenly as can be."""
     if shards == 1:
-        return quotas[None]
+        return [total]
     half = shards // 2
-    n = int(quotas.sum()) * half // shards
-    left = np.zeros_like(quotas)
-    rest_draws, rest = n, int(quotas.sum())
+    n = total * half // shards
+    return even(n, half) + even(total - n, shards - half)
+
+
+def split_quotas(quotas: Sequence[int], sizes: Sequence[int], rng: np.random.Generator) -> np.ndarray:
+    """shards x sources: how many blocks of each source a shard gets; columns sum to quotas, rows to sizes."""
+    quotas = np.asarray(quotas, np.int64)
+    if len(sizes) == 1:
+        return quotas[None]
+    half = len(sizes) // 2
+    draws, rest, left = int(sum(sizes[:half])), int(quotas.sum()), np.zeros_like(quotas)
     for k, q in enumerate(quotas.tolist()):  # conditional draws, source by source
         rest -= q
-        got = int(_hypergeometric(rng, q, rest, rest_draws))
-        left[k] = got
-        rest_draws -= got
-    return np.concatenate([split_quotas(left, half, rng), split_quotas(quotas - left, shards - half, rng)])
-
-
-def _hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
-    """A hypergeometric draw; beyond numpy's range of counts, its normal limit, kept in the exact bounds."""
-    if not good or not draws:
-        return 0
-    if not bad:
-        return draws
-    if good < 10**9 and bad < 10**9:
-        return int(rng.hypergeometric(good, bad, draws))
-    n, p = good + bad, good / (good + bad)
-    sd = math.sqrt(draws * p * (1 - p) * (n - draws) / max(1, n - 1))
-    return min(good, draws, max(0, draws - bad, round(rng.normal(draws * p, sd))))
-
-
-def _stride(n: int, rng: np.random.Generator) -> int:
-    """A step that visits all of n places: coprime to n, and far from small multiples."""
-    if n < 3:
-        return 1
-    a = int(rng.integers(n // 3 + 1, n))
-    while math.gcd(a, n) != 1:
-        a = a - 1 or n - 1
-    return a
+        left[k] = hypergeometric(rng, q, rest, draws)
+        draws -= int(left[k])
+    return np.concatenate([split_quotas(left, sizes[:half], rng), split_quotas(quotas - left, sizes[half:], rng)])
+
+
+def _ranked(stats: DataFrame) -> DataFrame:
+    """stats with k, the place of its source by code point, null last; sorted in ranges, each by a task."""
+    order = F.col("source").asc_nulls_last()
+    spread = materialize(stats.repartitionByRange(max(1, stats.count() // (4 * GROUP)), order).withColumn("range", F.spark_partition_id()))
+    sizes = spread.groupBy("range").agg(F.count("*").alias("n"))
+    before = sizes.select("range", (F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("range").orderBy(order))
+    return spread.withColumn("place", place).join(F.broadcast(before), "range").withColumn("k", F.col("before") + F.col("place") - 1).drop("range", "place", "before")
+
+
+def with_targets(stats: DataFrame, total: float, most: float = MOST_PASSES) -> DataFrame:
+    """(words, weight, ...) with target: shares of total by weight, none above most times its words.
+
+    What full ones can't take goes to the rest by weight. Each round finds those that
+    are full at the level of the round before; the level only rises, and stays once
+    they are the same, after few rounds.
+    """
+    cap, full, level = F.lit(most) * F.col("words"), None, 0.0
+    while True:
+        is_full = F.lit(level) * F.col("weight") > cap if full is not None else F.lit(False)
+        row = stats.agg(F.count_if(is_full).alias("n"), F.sum(F.when(is_full, cap)).alias("taken"), F.sum(F.when(~is_full, F.col("weight"))).alias("mass")).first()
+        left, mass = total - (row.taken or 0.0), row.mass or 0.0
+        if row.n == full or not mass:
+            break
+        full, level = row.n, left / mass
+    share = F.lit(left) * F.col("weight") / F.lit(mass) if mass else F.lit(0.0)
+    return stats.withColumn("target", F.when(is_full, cap).otherwise(share))
+
+
+def _permuted_block(block: Column, n: Column, key: Column) -> Column:
+    """The place of a block among n, by the keyed permutation of swaps or not (Hoang, Morris and Rogaway 2012).
+
+    In each round a place is paired with another, and a hash of the larger of the two
+    decides for both whether they are swapped; so every round is a permutation.
+    """
+
+    def swapped(x: Column, r: Column) -> Column:
+        other = F.pmod(F.xxhash64(key, r) - x, n)
+        return F.when(F.xxhash64(key, r, F.greatest(x, other)).bitwiseAND(F.lit(1).cast("long")) == 1, other).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.pmod(block, n), swapped)
+
+
+def _plan(rows: DataFrame, weights: Mapping[str | None, float] | Sequence[float], share: float, most_passes: float, shards: int, block_words: int, seed: int) -> DataFrame:
+    """(k, source, source_size, target, draws, blocks, buckets, ends) of each source; ends are its quotas' running sums over the shards."""
+    spark = rows.sparkSession
+    stats = materialize(rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("words")))
+    ranked = _ranked(stats)
+    if isinstance(weights, Mapping):
+        given = spark.createDataFrame([(k, float(v)) for k, v in weights.items()], "name string, weight double")
+        ranked = ranked.join(F.broadcast(given), F.col("source").eqNullSafe(F.col("name")), "left").drop("name").fillna(0.0, ["weight"])
+    else:
+        ranked = ranked.withColumn("weight", F.array(*[F.lit(float(w)) for w in weights])[F.pmod("k", F.lit(len(weights))).cast("int")])
+    ranked = materialize(ranked)
+    sums = ranked.agg(F.sum("n").alias("n"), F.sum("words").alias("words"), F.max("k").alias("k")).first()
+    draws = F.least(F.floor(F.col("target") + 0.5), F.floor(F.lit(most_passes) * F.col("words")))
+    goals = with_targets(ranked, share * (sums.words or 0), most_passes).withColumn("draws", draws).withColumn("blocks", F.ceil(F.col("draws") / block_words))
+    goals = materialize(goals.withColumn("group", F.floor(F.col("k") / GROUP)))
+    groups = goals.groupBy("group").agg(F.sum("blocks").alias("blocks")).orderBy("group").collect()
+    sizes = even(sum(r.blocks for r in groups), shards)
+    shares = split_quotas([r.blocks for r in groups], sizes, np.random.default_rng(seed)) if groups else np.zeros((shards, 0), np.int64)
+    dealt = spark.createDataFrame([(r.group, shares[:, g].tolist()) for g, r in enumerate(groups)], "group long, shares array<long>")
+
+    def deal(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("k")
+        quotas = split_quotas(group["blocks"].to_numpy(), group["shares"].iloc[0].tolist(), np.random.default_rng([seed, int(group["group"].iloc[0])]))
+        return pd.DataFrame({"k": group["k"].to_numpy(), "ends": list(np.cumsum(quotas, axis=0).T)})
+
+    ends = goals.select("group", "k", "blocks").join(F.broadcast(dealt), "group").groupBy("group").applyInPandas(deal, "k long, ends array<long>")
+    bucket = max(256, math.isqrt(sums.n or 0))
+    return materialize(goals.join(ends, "k").select("k", "source", F.col("words").alias("source_size"), "target", "draws", F.greatest(F.col("blocks"), F.lit(1)).alias("blocks"), F.ceil(F.col("n") / bucket).alias("buckets"), "ends"))
 
 
 def mix(docs: DataFrame, weights: Mapping[str | None, float] | Sequence[float] = WEIGHTS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, share: float = SHARE, most_passes: float = MOST_PASSES, shards: int = 64, block_words: int = BLOCK_WORDS, seed: int = 2) -> DataFrame:
@@ -98,57 +165,70 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | Sequence[float] =
 
     size counts the text's words, 0 for a null or empty one. weights are by source,
     or repeat along the sources in code-point order with null last, which is a
-    source like any other. pieces are the (shard, place, pass, start, words) that
-    the mix takes: words from the start-th of the document go to a shard, at a place
-    in its shuffled order. taken is their words' sum; a source's sum is its target
-    rounded. An empty table gives an empty result; rows of no words have no pieces.
-    A repeated row is a document of its own. The same rows give the same mix.
-
-    The sources' sizes and quotas, a few numbers for each source and shard, are
-    planned on the driver; rows are ranked in buckets of even size, so a source that
-    holds most rows is spread over many tasks.
+    source like any other. pieces are the (shard, place, block, offset, pass, start,
+    words) that the mix takes: words from the start-th of the document go to a shard,
+    at an offset in a block that has a place in the shard's shuffled order. taken is
+    their words' sum; a source's sum is its target rounded. An empty table gives an
+    empty result; rows of no words have no pieces. A repeated row is a document of its
+    own. The same rows give the same mix.
+
+    The driver receives totals of groups of GROUP sources; rows are ranked in buckets
+    of even size, so a source that holds most rows is spread over many tasks.
     """
-    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size")).withColumn("h", permuted(F.col("id"), seed)))
-    stats = sorted(rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("words")).collect(), key=lambda r: (r.source is None, r.source or ""))
-    names, sizes = [r.source for r in stats], [r.words for r in stats]
-    by_source = [float(weights.get(k, 0.0)) for k in names] if isinstance(weights, Mapping) else [float(weights[k % len(weights)]) for k in range(len(names))]
-    goals = targets(sizes, by_source, share * sum(sizes), most_passes)
-    draws = [min(math.floor(t + 0.5), math.floor(most_passes * s)) for t, s in zip(goals, sizes, strict=True)]
-    blocks = [-(-d // block_words) for d in draws]
-    rng = np.random.default_rng(seed)
-    dealt = split_quotas(blocks, shards, rng) if names else np.zeros((shards, 0), np.int64)
-    bucket = max(256, math.isqrt(sum(r.n for r in stats)))
-    plan = []
-    for k, r in enumerate(stats):
-        n = max(1, blocks[k])
-        plan.append((k, r.source, r.words, goals[k], draws[k], n, _stride(n, rng), int(rng.integers(n)), -(-r.n // bucket), np.cumsum(dealt[:, k]).tolist()))
-    shape = "k int, source string, source_size long, target double, draws long, blocks long, stride long, turn long, buckets long, ends array<long>"
-    plan = docs.sparkSession.createDataFrame(plan, shape)
-
-    keyed = rows.join(plan.select("k", "source", "buckets"), rows["source"].eqNullSafe(plan["source"])).select("k", "id", "size", "h", F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32)) * F.col("buckets")).alias("bucket"))
+    return _mix(docs, weights, id_col, text_col, source_col, share, most_passes, shards, block_words, seed).drop("k", "t")
+
+
+def _mix(docs: DataFrame, weights, id_col: str, text_col: str, source_col: str, share: float, most_passes: float, shards: int, block_words: int, seed: int) -> DataFrame:
+    """mix with k, the source's place, and t, a hash of the text."""
+    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"), text_hash(F.col(text_col), 2).alias("t")).withColumn("h", permuted(F.col("id"), seed)))
+    plan = _plan(rows, weights, share, most_passes, shards, block_words, seed)
+    few = lean(plan.select("k", F.col("source").alias("name"), "buckets"))
+    bucket = F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32)) * F.col("buckets"))
+    keyed = rows.join(few, rows["source"].eqNullSafe(few["name"])).select("k", "id", "size", "t", "h", bucket.alias("bucket"))
     heads = keyed.groupBy("k", "bucket").agg(F.sum("size").alias("words"))
     heads = heads.select("k", "bucket", F.expr("sum(words) over (partition by k order by bucket rows between unbounded preceding and current row) - words").alias("before"))
-    inside = keyed.withColumn("upto", F.expr("sum(size) over (partition by k, bucket order by h, id, size rows between unbounded preceding and current row)"))
-    line = inside.join(heads, ["k", "bucket"]).select("k", "id", "size", (F.col("before") + F.col("upto") - F.col("size")).alias("at"))
-    full = line.join(plan, "k")
+    inside = keyed.withColumn("upto", F.expr("sum(size) over (partition by k, bucket order by h, id, size, t rows between unbounded preceding and current row)"))
+    line = inside.join(heads, ["k", "bucket"]).select("k", "id", "size", "t", (F.col("before") + F.col("upto") - F.col("size")).alias("at"))
+    full = line.join(lean(plan, 1 << 14), "k")
 
     passes = F.sequence(F.lit(0), F.lit(math.ceil(most_passes) - 1))
 
     def of_pass(p: Column) -> Column:
         first = F.col("at") + p * F.col("source_size")
         last = F.least(first + F.col("size"), F.col("draws"))  # past the last word
-        of_block = lambda b: F.struct(p.cast("int").alias("pass"), b.alias("block"), (F.greatest(first, b * block_words) - first).alias("start"), (F.least(last, (b + 1) * block_words) - F.greatest(first, b * block_words)).alias("words"))
+
+        def of_block(b: Column) -> Column:
+            start = F.greatest(first, b * block_words)
+            return F.struct(p.cast("int").alias("pass"), b.alias("block"), (start - b * block_words).alias("offset"), (start - first).alias("start"), (F.least(last, (b + 1) * block_words) - start).alias("words"))
+
         return F.when((F.col("size") > 0) & (last > first), F.transform(F.sequence(F.floor(first / block_words), F.floor((last - 1) / block_words)), of_block)).otherwise(F.array())
 
     def placed(x: Column) -> Column:
-        turned = F.pmod(x["block"] * F.col("stride") + F.col("turn"), F.col("blocks"))
+        turned = _permuted_block(x["block"], F.col("blocks"), F.xxhash64("k", F.lit(seed)))
         shard = F.size(F.filter("ends", lambda end: end <= turned))
-        return F.struct(shard.alias("shard"), F.xxhash64(F.col("k"), x["block"], F.lit(seed)).alias("place"), x["pass"].alias("pass"), x["start"].alias("start"), x["words"].alias("words"))
+        return F.struct(shard.alias("shard"), F.xxhash64("k", x["block"], F.lit(seed)).alias("place"), x["block"].alias("block"), x["offset"].alias("offset"), x["pass"].alias("pass"), x["start"].alias("start"), x["words"].alias("words"))
 
     pieces = F.transform(F.flatten(F.transform(passes, of_pass)), placed)
-    out = full.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", pieces.alias("pieces"))
+    out = full.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "k", "t", pieces.alias("pieces"))
     taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, x: n + x["words"])
-    return out.select(id_col, source_col, "size", "source_size", "target", taken.alias("taken"), "pieces")
+    return out.select(id_col, source_col, "size", "source_size", "target", taken.alias("taken"), "pieces", "k", "t")
+
+
+def draw_shards(docs: DataFrame, weights: Mapping[str | None, float] | Sequence[float] = WEIGHTS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, share: float = SHARE, most_passes: float = MOST_PASSES, shards: int = 64, block_words: int = BLOCK_WORDS, seed: int = 2) -> DataFrame:
+    """(shard, place, source, block, offset, id, pass, start, words, text): the mix itself, in the order of its shards.
+
+    Rows are dealt by ranges of shard and place and sorted within, so that a writer's
+    files follow each other and a large shard is several tasks. Blocks come in their
+    shuffled places, the words of a block in their line's order; a row's text is the
+    piece of the document, its words joined by spaces.
+    """
+    mixed = _mix(docs, weights, id_col, text_col, source_col, share, most_passes, shards, block_words, seed)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("whole"), text_hash(F.col(text_col), 2).alias("t")).where("whole is not null").dropDuplicates(["id", "t"])
+    taken = mixed.where("taken > 0").select(F.col(id_col).alias("own"), F.col(source_col).alias("source"), F.col("t").alias("own_t"), "pieces")
+    cut = taken.join(texts, F.col("own").eqNullSafe(F.col("id")) & (F.col("own_t") == F.col("t"))).select("id", "source", "pieces", F.regexp_extract_all("whole", F.lit(WORD), F.lit(0)).alias("all"))
+    piece = cut.select("id", "source", "all", F.explode("pieces").alias("p"))
+    out = piece.select("p.shard", "p.place", "source", "p.block", "p.offset", F.col("id").alias(id_col), "p.pass", "p.start", "p.words", F.array_join(F.slice("all", (F.col("p.start") + 1).cast("int"), F.col("p.words").cast("int")), " ").alias("text"))
+    return out.repartitionByRange("shard", "place", "source", "block", "offset").sortWithinPartitions("shard", "place", "source", "block", "offset")
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import materialize, scratch, table, unit
+from duelframe.llm.common import lean, materialize, scratch, table, unit
 from duelframe.llm.components import connected_components
 
 COSINE = 0.98
@@ -249,9 +249,10 @@ def similar_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     parts = connected_components(found.where("id <> least").select(F.col("id").alias("src"), F.col("least").alias("dst")).unionByName(joined))
     told = classes.select("id", "head", "size").join(linked, "id", "left").join(parts.withColumnRenamed("node", "id"), "id", "left").select("id", "head", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"), F.coalesce("component", "id").alias("component"))
     told = materialize(told)
-    least = told.groupBy("component").agg(F.min("head").alias("component_id"))
-    each = named.select("vec", "id").join(told.select("id", "links", "component"), "id").groupBy("vec").agg(F.sum("links").alias("links"), F.first("component").alias("component"))
-    out = rows.select(F.col(id_col).alias("id")).join(each.join(least, "component").withColumnRenamed("vec", "id"), "id", "left")
+    least = lean(told.groupBy("component").agg(F.min("head").alias("component_id")))
+    placed = materialize(told.join(least, "component").select("id", "links", "component_id"))
+    each = named.select("vec", "id").join(placed, "id").groupBy(F.col("vec").alias("id")).agg(F.sum("links").alias("links"), F.min("component_id").alias("component_id"))
+    out = rows.select(F.col(id_col).alias("id")).join(each, "id", "left")
     component = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
 

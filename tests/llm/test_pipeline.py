@@ -6,10 +6,11 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 from test_decontam import brute_tiles
+from test_mixing import targets
 from test_simhash import brute_components, brute_print
 
 import corpus_pipeline
-from duelframe.llm import decontam, langid, mixing, toxicity
+from duelframe.llm import decontam, langid, toxicity
 from duelframe.llm.common import materialize, table
 
 SF = "/root/testdata/sf0.001"
@@ -80,7 +81,7 @@ def test_mix(kept):
     for r in docs.values():
         size[r.source] += len((r.text or "").encode().split())
     names = sorted(size)
-    goals = dict(zip(names, mixing.targets([size[k] for k in names], [(3, 1, 2)[k % 3] for k in range(len(names))], 1.5 * sum(size.values())), strict=True))
+    goals = dict(zip(names, targets([size[k] for k in names], [(3, 1, 2)[k % 3] for k in range(len(names))], 1.5 * sum(size.values())), strict=True))
     for i, r in got.items():
         assert r.source == docs[i].source and 0 < r.taken <= 2 * r.size and r.source_size == size[r.source] and r.target == pytest.approx(goals[r.source])
         taken[r.source] += r.taken
