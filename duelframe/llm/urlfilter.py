@@ -11,11 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import table
+from duelframe.llm.common import lean, table
 
 #: Hexadecimal digits of a digest that the join compares.
 PREFIX_DIGITS = 8
 DEFAULT_VERDICT = "allow"
+#: Distinct URLs with their verdicts that every task may be given; more are joined by shuffles, which AQE splits where a URL is hot.
+MOST_URLS = 1 << 15
 
 #: (verdict, host, path): the rules of the query.
 RULES = [
@@ -39,9 +41,10 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host and each domain above it: a.b.c, b.c, c. An empty host has none."""
-    labels = F.split(host, r"\.", -1)
+def host_suffixes(host: Column, most: int) -> Column:
+    """The host and each domain above it, of those with at most so many labels: a.b.c, b.c, c. An empty host has none."""
+    known = F.substring_index(host, ".", -most)  # no more of a long host is ever joined
+    labels = F.split(known, r"\.", -1)
     return F.when(host != "", F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))).otherwise(F.array().cast("array<string>"))
 
 
@@ -71,15 +74,17 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url") -> Data
     Without one, rule is null and the verdict is allow. A null or relative URL has
     an empty host, which no rule fits. Without rules all is allowed.
 
-    A path is cut at the lengths that rules' paths have, so the expressions of a URL
-    are as many as its domains times these lengths. The driver receives the distinct
-    lengths, no more than the longest rule's path has characters.
+    A path is cut at the lengths that rules' paths have, and a host at the most labels
+    that a rule's has, so the expressions of a URL are as many as these labels times
+    these lengths, however long it is. The driver receives the distinct lengths, no
+    more than the longest rule's path has characters.
     """
     known = rule_table(rules)
-    lengths = sorted(r.n for r in known.select(F.length("rule_path").alias("n")).distinct().collect())
+    seen = known.groupBy(F.length("rule_path").alias("n")).agg(F.max(F.size(F.split("rule_host", r"\.", -1))).alias("labels")).collect()
+    lengths, labels = sorted(r.n for r in seen), max([1, *(r.labels for r in seen)])
     urls = pages.select(F.col(url_col).alias("url")).distinct().select("url", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     fits = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("path"))
-    spread = urls.select("url", "path", F.explode(host_suffixes(F.col("host"))).alias("suffix"), fits.alias("fits")).select("url", "path", "suffix", F.explode("fits").alias("n"))
+    spread = urls.select("url", "path", F.explode(host_suffixes(F.col("host"), labels)).alias("suffix"), fits.alias("fits")).select("url", "path", "suffix", F.explode("fits").alias("n"))
     digest = F.sha2(_expression(F.col("suffix"), F.substring(F.col("path"), F.lit(1), F.col("n"))), 256)
     asked = spread.select("url", digest.alias("asked")).withColumn("prefix", F.substring("asked", 1, PREFIX_DIGITS))
     hits = asked.join(known, "prefix").where(F.col("asked") == F.col("digest"))
@@ -95,9 +100,11 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     ids too; an empty table gives an empty result; other columns aren't read.
     """
     named = pages.select(F.col(id_col), F.col(url_col).alias("url"))
-    judged = judge_urls(named.where("url is not null"), rules).withColumnRenamed("url", "judged")
-    out = named.join(judged, F.col("url") == F.col("judged"), "left")
-    return out.select(F.col(id_col), F.coalesce("host", F.lit("")).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "rule", F.coalesce("verdict", F.lit(DEFAULT_VERDICT)).alias("verdict"))
+    given, none = named.where("url is not null"), named.where("url is null")
+    judged = lean(judge_urls(given, rules).withColumnRenamed("url", "judged"), MOST_URLS)
+    out = given.join(judged, F.col("url") == F.col("judged")).select(id_col, "host", "path", "rule", "verdict")
+    empty = F.lit("")
+    return out.unionByName(none.select(id_col, empty.alias("host"), empty.alias("path"), F.lit(None).cast("string").alias("rule"), F.lit(DEFAULT_VERDICT).alias("verdict")))
 
 
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,9 @@ ARCHIVE_BYTES = 64 << 20
 DICTIONARY_BYTES, SAMPLE_BYTES, SAMPLE_RECORDS = 16 << 10, 2 << 20, 256
 LEVEL = 3
 DATE = "2000-01-01T00:00:00Z"
-_SKIPPABLE, _FRAME, _READ = 0x184D2A5D, 0xFD2FB528, 1 << 20
+_SKIPPABLE, _FRAME = 0x184D2A5D, 0xFD2FB528
+#: Bytes read ahead, and given to the decompressor at a time.
+_READ, _SLICE = 1 << 20, 16 << 10
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -148,50 +150,57 @@ class ArchiveWriter:
         self.stream.close()
 
 
+class _Input:
+    """A stream read ahead in blocks, and taken from in slices."""
+
+    def __init__(self, stream):
+        self.stream, self.held, self.at = stream, b"", 0
+
+    def have(self, n: int) -> bool:
+        """Whether n bytes are left; they are held then."""
+        while len(self.held) - self.at < n:
+            got = self.stream.read(max(_READ, n))
+            if not got:
+                return False
+            self.held, self.at = self.held[self.at :] + got, 0
+        return True
+
+    def left(self) -> int:
+        return len(self.held) - self.at
+
+    def take(self, n: int) -> bytes:
+        self.at += n
+        return self.held[self.at - n : self.at]
+
+
 def frames(stream) -> Iterator[bytes]:
     """The records of an archive, one for each frame; skippable frames after the first are passed over."""
-    held, learned, first = b"", None, True
-
-    def more() -> bool:
-        nonlocal held
-        got = stream.read(_READ)
-        held += got
-        return bool(got)
-
-    while True:
-        while len(held) < 8 and more():
-            pass
-        if not held:
-            return
-        if len(held) < 8:
+    source, decompressor, first = _Input(stream), zstandard.ZstdDecompressor(), True
+    while source.have(1):
+        if not source.have(8):
             raise WarcError("the archive ends within a frame")
-        magic, size = struct.unpack("<II", held[:8])
+        magic, size = struct.unpack("<II", source.held[source.at : source.at + 8])
         if magic & 0xFFFFFFF0 == 0x184D2A50:
-            while len(held) < 8 + size and more():
-                pass
-            if len(held) < 8 + size:
+            if not source.have(8 + size):
                 raise WarcError("the archive ends within a skippable frame")
-            raw, held = held[8 : 8 + size], held[8 + size :]
+            raw = source.take(8 + size)[8:]
             if first and magic == _SKIPPABLE:
                 if raw[:4] == struct.pack("<I", _FRAME):
-                    raw = zstandard.ZstdDecompressor().decompressobj().decompress(raw)
-                learned = zstandard.ZstdCompressionDict(raw)
+                    raw = decompressor.decompressobj().decompress(raw)
+                decompressor = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw))
         elif magic == _FRAME:
-            out = zstandard.ZstdDecompressor(dict_data=learned).decompressobj() if learned else zstandard.ZstdDecompressor().decompressobj()
-            parts = []
+            out, parts = decompressor.decompressobj(), []
             try:
-                parts.append(out.decompress(held))
                 while not out.eof:
-                    got = stream.read(_READ)
-                    if not got:
+                    if not source.have(1):
                         raise WarcError("the archive ends within a record")
-                    parts.append(out.decompress(got))
+                    parts.append(out.decompress(source.take(min(_SLICE, source.left()))))
             except zstandard.ZstdError as e:
                 raise WarcError(f"a frame can't be decompressed: {e}") from e
-            held = out.unused_data
+            source.at -= len(out.unused_data)
             yield b"".join(parts)
         else:
-            raise WarcError(f"no frame begins with {held[:4].hex()}")
+            raise WarcError(f"no frame begins with {magic:08x}")
         first = False
 
 

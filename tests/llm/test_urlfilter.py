@@ -40,6 +40,23 @@ def test_rules_that_clash_and_empty_tables(spark):
     assert urlfilter.filter_urls(pages.limit(0), rules).count() == 0
 
 
+def test_hosts_of_thousands_of_labels(spark):
+    deep = "a." * 5000
+    urls = [f"http://{deep}example.com/en/7", f"http://{deep}com/en/", f"http://{deep}net", f"http://{deep}co.uk/x/y", f"http://{'b.' * 3}x.co.uk/x/y"]
+    rules = [*urlfilter.RULES, ("block", "x.co.uk", "/x"), ("allow", "a.a.a.co.uk", "/x/y")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = urlfilter.filter_urls(pages, spark.createDataFrame(rules, "verdict string, host string, path string")).collect()
+    assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got} == {i: brute(u, rules) for i, u in enumerate(urls)}
+
+
+def test_hot_and_many_urls_without_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(urlfilter, "MOST_URLS", 0)
+    urls = ["http://example.com/en/7"] * 200 + [None] * 50 + [f"http://x{i}.org/es/{i}" for i in range(40)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = urlfilter.filter_urls(pages, spark.createDataFrame(urlfilter.RULES, "verdict string, host string, path string")).collect()
+    assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got} == {i: brute(u, urlfilter.RULES) for i, u in enumerate(urls)}
+
+
 def test_no_python_in_the_plan(spark):
     plan = urlfilter.op8_url_filters(spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
