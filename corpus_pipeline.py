@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from duelframe.llm import decontam, langid, mixing, simhash, toxicity
-from duelframe.llm.common import materialize, table
+from duelframe.llm.common import discard, materialize, scratch, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +51,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = materialize(docs)
-    return docs
+    """Each stage's result is a table in the shared folder until the next one's is; what a stage writes besides goes with it."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        with scratch(spark) as made:
+            now = materialize(stage(spark, docs, sf_dir))
+            made.remove(now.folder)
+        discard(before)
+        docs = before = now
+    return STAGES[-1][1](spark, docs, sf_dir)
