@@ -40,7 +40,7 @@ BITS_EACH, MOST_BITS = 5, 28
 #: Bytes of items' texts that meet a document's text in one row; more items make more rows.
 ROW_BYTES = 16 << 10
 #: Hashes of tokens that a task remembers.
-HELD = 200_000
+HELD = 50_000
 _TOKEN = re.compile(r"[^\W_]+")
 _UNSPACED = re.compile(f"[{UNSPACED}]")
 _BOTH = re.compile(rf"[^\W_{UNSPACED}]+|(?=[^\W_])[{UNSPACED}]")

@@ -31,7 +31,7 @@ TOKEN = re.compile(r"[^\W_]+")
 #: Leading characters of a word that count as a feature of their own, for words too rare to be known.
 STEM = 5
 #: Distinct tokens that a counting task holds before it hands on partial counts.
-HELD = 100_000
+HELD = 50_000
 #: Labelled ids that are learned from; every task gets them, about 20 MB.
 MOST_LABELS = BROADCAST_ROWS
 #: The evidence of a text without a segment, and the most that any has.
@@ -39,7 +39,7 @@ NONE, MOST = -12.0, 40.0
 
 
 #: Terms that the driver and the tasks hold; the others are joined.
-IN_PLACE = 131_072
+IN_PLACE = 32_768
 #: Rates that the extreme-value law is fitted over, and the clean texts with a segment that it takes at least.
 RATES, LEAST_TEXTS = [0.05 * 400 ** (k / 59) for k in range(60)], 10
 
