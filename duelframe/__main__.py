@@ -58,8 +58,10 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
             print(f"{rest.fetch_channel_uploads(spark, a.channel, a.output, a.api, a.secret)} new uploads in {a.output}")
         elif a.what == "events":
             names = files.load_names(spark, a.rename_map)
-            rows = web.scrape_years(spark, a.start, a.end, a.base, names, sleep=a.sleep, retries=a.retries, request_sleep=a.request_sleep, timeout=a.timeout, agent=a.user_agent)
+            rows, failed = web.scrape_years(spark, a.start, a.end, a.base, names, sleep=a.sleep, retries=a.retries, request_sleep=a.request_sleep, timeout=a.timeout, agent=a.user_agent)
             files.write_events(rows, a.output)
+            for r in failed.toLocalIterator():
+                print(f"failed: {r.url}: {r.error}", file=sys.stderr)
             if not a.quiet:
                 print(f"{files.load_event_metadata(spark, a.output).count()} matchups in {a.output}")
         elif a.what == "battles":

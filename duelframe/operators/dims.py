@@ -76,17 +76,23 @@ def distinct_names(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(F.explode(F.array(*cols)).alias("name")).where("name is not null").distinct()
 
 
-def dense_ids(names: DataFrame, col: str = "name", id_col: str = "id") -> DataFrame:
+def dense_ids(names: DataFrame, col: str = "name", id_col: str = "id", lengths: tuple[int, ...] = (2, 4, 8)) -> DataFrame:
     """Distinct names numbered from 1 in code-point order.
 
-    Names are ranked within their first two characters, and these buckets are
-    counted and summed up; so only the buckets, not the names, meet in one task.
+    Names are ranked within their first eight characters, these within their first
+    four, and these within two: where many names begin alike, only their next
+    characters meet in one task.
     """
-    keyed = names.withColumn("_bucket", F.substring(col, 1, 2))
-    counts = keyed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    before = counts.select("_bucket", (F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
-    ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy("_bucket").orderBy(col)))
-    return ranked.join(before, "_bucket").select((F.col("_before") + F.col("_rank")).cast("int").alias(id_col), col)
+    keys = [f"_key{k}" for k in range(len(lengths))]
+    keyed = names.withColumns({key: F.substring(col, 1, n) for key, n in zip(keys, lengths, strict=True)})
+    ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(col)))
+    for k, key in enumerate(keys):
+        sizes = keyed.groupBy(*keys[: k + 1]).agg(F.count("*").alias("_n"))
+        span = (Window.partitionBy(*keys[:k]) if k else Window).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+        before = sizes.select(*keys[: k + 1], (F.sum("_n").over(span) - F.col("_n")).alias(f"_before{k}"))
+        ranked = ranked.join(before, keys[: k + 1])
+    place = sum((F.col(f"_before{k}") for k in range(len(keys))), F.col("_rank"))
+    return ranked.select(place.cast("int").alias(id_col), col)
 
 
 def build_emcees(battles: DataFrame) -> DataFrame:

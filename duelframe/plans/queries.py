@@ -9,7 +9,7 @@ from duelframe.functions import titles
 from duelframe.operators import consolidate, dims, events, incremental, review, uploads
 from duelframe.plans import battles as B
 from duelframe.plans import fixtures
-from duelframe.sources import web
+from duelframe.sources import files, web
 
 ID = ["id"]
 
@@ -125,13 +125,81 @@ def latest_battles(spark, sf_dir):
 
 
 def incremental_new_ids(spark, sf_dir):
-    rows = fixtures.uploads(spark, sf_dir).select("id", "title", F.expr("cast(substring(id, 2) as bigint)").alias("k"))
-    return incremental.new_rows(rows.where("k % 2 = 0"), rows.where("k % 3 = 0")).select("id", "title")
+    """All uploads as what comes in, all ids of events as what is there."""
+    have = fixtures.events(spark, sf_dir).select(F.col("video_id").alias("id"))
+    return incremental.new_rows(fixtures.uploads(spark, sf_dir), have).select("id", "title")
 
 
 def incremental_append(spark, sf_dir):
-    rows = fixtures.uploads(spark, sf_dir).select("id", "title", F.expr("cast(substring(id, 2) as bigint)").alias("k"))
-    return incremental.append_new(rows.where("k % 3 = 0"), rows.where("k % 2 = 0")).select("id", "title")
+    """All uploads as what is there, all events with an id as what comes in; the first event of an id counts."""
+    first = events.first_of_each(fixtures.events(spark, sf_dir), "video_id", ["event_name"])
+    fresh = first.select(F.concat(F.lit("e"), "video_id").alias("id"), F.col("event_name").alias("title")).unionByName(first.select(F.col("video_id").alias("id"), F.col("event_name").alias("title")))
+    return incremental.append_new(fixtures.uploads(spark, sf_dir).select("id", "title"), fresh).select("id", "title")
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the two raw files, written by the library's own writers."""
+    folder = files.scratch_folder(spark)
+    files.save_uploads(fixtures.uploads(spark, sf_dir), f"{folder}/youtube_videos.json")
+    files.write_events(fixtures.events(spark, sf_dir).orderBy("_ord").drop("_ord"), f"{folder}/matchup_events_metadata.csv")
+    return folder
+
+
+def load_uploads(spark, sf_dir):
+    return files.load_uploads(spark, f"{_raw(spark, sf_dir)}/youtube_videos.json").drop("tags")
+
+
+def load_existing(spark, sf_dir):
+    return files.load_existing(spark, f"{_raw(spark, sf_dir)}/youtube_videos.json").select("id", "title", "url")
+
+
+def load_event_metadata(spark, sf_dir):
+    return files.load_event_metadata(spark, f"{_raw(spark, sf_dir)}/matchup_events_metadata.csv").drop("_ord")
+
+
+def build_battles(spark, sf_dir):
+    """The battle table from the raw files."""
+    return _flat(B.build_battles(spark, _raw(spark, sf_dir), ordered=False))
+
+
+def battles_csv(spark, sf_dir):
+    """What the CSV holds, as text."""
+    folder = _raw(spark, sf_dir)
+    out = B.write_battles(spark, f"{folder}/battles.csv", folder, "csv", ordered=False)
+    return spark.read.csv(out, header=True, multiLine=True, escape='"')
+
+
+def battles_ndjson(spark, sf_dir):
+    """What the NDJSON holds: times as milliseconds, ids and urls as single texts or lists."""
+    folder = _raw(spark, sf_dir)
+    out = B.write_battles(spark, f"{folder}/battles.json", folder, "json", ordered=False)
+    return spark.read.schema("id string, title string, upload_date long, duration_seconds double, event_date long, url string").json(out)
+
+
+def emcees_csv(spark, sf_dir):
+    folder = files.scratch_folder(spark)
+    files.write_emcees(emcees(spark, sf_dir), folder)
+    return spark.read.csv(folder, header=True)
+
+
+def battles_without_events(spark, sf_dir):
+    return _flat(B.battles(fixtures.uploads(spark, sf_dir), None, ordered=False))
+
+
+def battles_of_named_events(spark, sf_dir):
+    """Events without descriptions have no dates, so nothing is cleared or filled."""
+    return _flat(B.battles(fixtures.uploads(spark, sf_dir), fixtures.events(spark, sf_dir).select("video_id", "event_name", "_ord"), ordered=False))
+
+
+def consolidate_few_columns(spark, sf_dir):
+    """Parts without dates, durations and urls."""
+    return _flat(consolidate.consolidate_parts(_titled(spark, sf_dir).select("id", "title", "yt_raw_title")))
+
+
+def parse_event_date(spark, sf_dir):
+    """Dates as texts of several forms."""
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.expr("case o_orderkey % 4 when 0 then cast(o_orderdate as string) when 1 then '2020-01-02' when 2 then 'soon' end").alias("event_date"))
+    return events.parse_event_date(rows)
 
 
 def page_links(spark, sf_dir):
@@ -159,6 +227,24 @@ def scrape_match_rows(spark, sf_dir):
     return web.scrape_pages(pages, dims.ALIASES)
 
 
+def pages_of_all_kinds(spark, sf_dir):
+    """Pages whose row is another than the first, with fewer headings than ids, with neither, with a name, with nothing, and 5 or 5,000 elements deep."""
+    box = lambda k, n: f"<div class=\"col-md-5 my-3\"><div class=\"youtube-player\" data-id=\"v{k}-' || o_orderkey || '\"></div></div>" * (n > 0) + f"<div class=\"col-md-7 my-3\"><h4>A{k} vs B{k}</h4></div>" * (n > 1)
+    row = lambda body: f"<div class=\"row my-4\">{body}</div>"
+    kinds = [
+        f"<div class=\"container-xxl\">{row(box(1, 2))}</div>{row(box(2, 2))}",  # the first row
+        f"{row(box(3, 2))}<div class=\"container-xxl\">{row(box(4, 2))}</div>",  # the row in the container
+        f"<p>x</p>{row(box(5, 2))}{row(box(6, 2))}",  # no container: the first row of all
+        f"<div class=\"container-xxl\">{row(box(7, 2) + box(8, 1))}</div>",  # an id without a heading
+        f"<h2 class=\"display-7\">Named</h2>{row(box(9, 2))}",
+        "nothing",
+    ]
+    texts = " ".join(f"when {k} then '{x}'" for k, x in enumerate(kinds))
+    html = f"case o_orderkey % 7 {texts} else repeat('<div>', case when o_orderkey % 700 = 6 then 5000 else 5 end) || '{row(box(10, 2))}' end"
+    pages = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.expr("concat('http://x.test/videos/battle/ahon-', o_orderkey, '/')").alias("url"), F.expr(html).alias("html"))
+    return web.scrape_pages(pages)
+
+
 def any_case_alias(spark, sf_dir):
     names = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.expr("case o_orderkey % 5 when 0 then ' FLIP ' when 1 then 'flip' when 2 then 'M-ZHAYT' when 3 then null else 'Other' end").alias("raw"))
     return names.select("o_orderkey", titles.canonical_any_case(F.col("raw"), dims.ALIASES).alias("name"))
@@ -169,4 +255,6 @@ QUERIES = {f.__name__: f for f in (
     filter_one_on_one, extract_matchup, split_emcees, rename_emcees, uploads_1v1, event_descriptions, event_name_from_description,
     attach_events, consolidate_parts, battles, emcees, quarantine_battles, quarantined_events, winner_review, latest_battles,
     incremental_new_ids, incremental_append, page_links, first_links, event_links, scrape_match_rows, any_case_alias,
+    load_uploads, load_existing, load_event_metadata, build_battles, battles_csv, battles_ndjson, emcees_csv, battles_without_events,
+    battles_of_named_events, consolidate_few_columns, parse_event_date, pages_of_all_kinds,
 )}

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import json
+import shutil
+import tempfile
 import uuid
 from collections.abc import Mapping
 
@@ -11,9 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelframe.functions.patterns import NA_TOKENS
+from duelframe.operators.incremental import append_new
 
 UPLOADS = "id string, title string, description string, upload_date string, view_count string, duration string, url string, likeCount string, commentCount string, tags array<string>"
 EVENTS = "matchup string, event_name string, event_description string, video_id string"
+#: What stands between the rows of an array.
+_BETWEEN = ",\n"
 EVENT_COLUMNS = ("matchup", "event_name", "event_description", "video_id")
 
 
@@ -26,9 +32,20 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share, under spark.checkpoint.dir; a temporary one where a local session has none."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="duelframe-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return f"{base.rstrip('/')}/duelframe-{uuid.uuid4().hex}"
+
+
 def load_uploads(spark: SparkSession, path: str) -> DataFrame:
-    """An indented JSON array of uploads."""
-    return spread(spark.read.schema(UPLOADS).json(path, multiLine=True))
+    """The uploads of an indented JSON array, or of a folder of NDJSON."""
+    return spread(spark.read.schema(UPLOADS).json(path, multiLine=is_array(path)))
 
 
 def load_event_metadata(spark: SparkSession, path: str) -> DataFrame:
@@ -48,16 +65,22 @@ def load_names(spark: SparkSession, path: str | None) -> dict[str, str] | None:
     return dict(said)
 
 
+def is_array(path: str) -> bool:
+    """Whether path names a JSON array; any other name is a folder of NDJSON."""
+    return path.endswith(".json")
+
+
 def load_existing(spark: SparkSession, path: str) -> DataFrame:
-    """The uploads saved so far; none if the file is missing or isn't a JSON array."""
-    empty = spark.createDataFrame([], UPLOADS)
+    """The uploads saved so far; none if the path is missing, or a file that isn't a JSON array."""
     try:
+        if not is_array(path):
+            return spark.read.schema(UPLOADS).json(path)
         text = spark.read.text(path, wholetext=True)
         array = F.when(F.col("value").rlike(r"^\s*\["), F.col("value"))
         whole = text.select(F.from_json(array, f"array<struct<{_typed(UPLOADS)}>>").alias("a"))
-        return empty if text.isEmpty() else whole.select(F.inline("a"))
+        return spark.createDataFrame([], UPLOADS) if text.isEmpty() else whole.select(F.inline("a"))
     except AnalysisException:
-        return empty
+        return spark.createDataFrame([], UPLOADS)
 
 
 def _typed(schema: str) -> str:
@@ -67,28 +90,38 @@ def _typed(schema: str) -> str:
 def save_uploads(df: DataFrame, path: str) -> None:
     """Replace path by a JSON array of df's rows, even if df reads path.
 
-    A JSON array is one value, so it is one file by one task; keep larger tables in
-    NDJSON or Parquet. Written beside path first, then put in its place.
+    Tasks write the rows, each its own part; the parts are then strung together as
+    bytes beside path, and put in its place. Readers need a task for the whole array,
+    so larger tables are better kept in a folder, which add_uploads makes longer.
     """
-    spark = df.sparkSession
+    spark, folder = df.sparkSession, f"{path}.{uuid.uuid4().hex}"
     rows = df.select(F.concat(F.lit("  "), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})).alias("value"))
-    array = rows.agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("\n]")).alias("value"))
-    _replace(spark, array, path)
-
-
-def _replace(spark: SparkSession, text: DataFrame, path: str) -> None:
-    """Write one text value as the file path, through a temporary folder beside it."""
-    folder = f"{path}.{uuid.uuid4().hex}"
-    text.coalesce(1).write.text(folder)
-    jvm = spark.sparkContext._jvm
-    path_of = jvm.org.apache.hadoop.fs.Path
-    fs = path_of(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    part = next(s.getPath() for s in fs.listStatus(path_of(folder)) if s.getPath().getName().startswith("part-"))
+    rows.write.option("lineSep", _BETWEEN).text(f"{folder}/rows")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path_of, copy = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.commons.io.IOUtils.copyLarge
+    fs = path_of(folder).getFileSystem(conf)
+    found = [x for x in fs.listStatus(path_of(f"{folder}/rows")) if x.getPath().getName().startswith("part-") and x.getLen()]
+    out = fs.create(path_of(f"{folder}/array"))
+    out.write(bytearray(b"[\n"))
+    for k, part in enumerate(sorted(found, key=lambda x: x.getPath().getName())):
+        stream = fs.open(part.getPath())
+        copy(stream, out, 0, part.getLen() - len(_BETWEEN) * (k + 1 == len(found)))
+        stream.close()
+    out.write(bytearray(b"\n]"))
+    out.close()
     fs.delete(path_of(path), True)
-    fs.rename(part, path_of(path))
+    fs.rename(path_of(f"{folder}/array"), path_of(path))
     fs.delete(path_of(folder), True)
 
 
+def add_uploads(existing: DataFrame, fresh: DataFrame, path: str) -> None:
+    """Add fresh rows to the uploads at path: parts of NDJSON to a folder, without touching what is there; an array is written anew."""
+    if is_array(path):
+        save_uploads(append_new(existing, fresh), path)
+    else:
+        fresh.write.mode("append").json(path, ignoreNullFields=False)
+
+
 def checked_format(fmt: str) -> str:
     kind = fmt.lower()
     if kind not in ("csv", "json"):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from duelframe.operators.incremental import append_new, new_rows
+from duelframe.operators.incremental import new_rows
 from duelframe.sources import files
 
 # Fixed values of the service's interface.
@@ -110,7 +110,7 @@ def fetch_metadata(ids: DataFrame, api: str = API, secret: str | None = None, pa
                 time.sleep(pace)
 
     items = ids.where("id is not null").select("id").repartition(tasks).mapInPandas(fetch, "item string")
-    return flatten_items(items)
+    return flatten_items(items.repartition(ids.sparkSession.sparkContext.defaultParallelism))
 
 
 def flatten_items(items: DataFrame) -> DataFrame:
@@ -132,7 +132,7 @@ def flatten_items(items: DataFrame) -> DataFrame:
 
 
 def fetch_channel_uploads(spark: SparkSession, channel: str, path: str, api: str = API, secret: str | None = None, pace: float = PACE) -> int:
-    """Add a channel's new uploads to the JSON array at path; how many there were. Nothing new leaves the file alone."""
+    """Add a channel's new uploads to the JSON array or folder of NDJSON at path; how many there were. Nothing new leaves it alone."""
     spark.dataSource.register(ChannelUploads)
     reader = spark.read.format("channel_uploads").options(channel=channel, api=api, pace=pace)
     ids = (reader.option("secret", secret) if secret else reader).load()
@@ -141,7 +141,7 @@ def fetch_channel_uploads(spark: SparkSession, channel: str, path: str, api: str
     try:
         n = fresh.count()
         if n:
-            files.save_uploads(append_new(existing, fresh), path)
+            files.add_uploads(existing, fresh, path)
         return n
     finally:
         fresh.unpersist()

@@ -10,11 +10,14 @@ from __future__ import annotations
 import time
 import urllib.error
 import urllib.request
+from collections import Counter
 from collections.abc import Iterator, Mapping
+from functools import reduce
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,53 +33,71 @@ AGENT = "Mozilla/5.0 (compatible; battle catalogue)"
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
 
 
+#: Elements that end where one like them begins, and what may stand open between the two.
+_ENDED_BY = {"li": {"li"}, "p": {"p"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}}
+_INLINE = set("a abbr b big cite code em font i mark q s small span strong sub sup u".split())
+
+
 class Element:
     def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None):
         self.tag, self.attrs, self.parent, self.parts = tag, attrs, parent, []
         self.classes = set(attrs.get("class", "").split())
 
-    def walk(self) -> Iterator[Element]:
-        for x in self.parts:
+    def walk(self) -> Iterator[Element | str]:
+        """All elements and texts inside, in the order of the page, however deep they are."""
+        stack = self.parts[::-1]
+        while stack:
+            x = stack.pop()
+            yield x
             if isinstance(x, Element):
-                yield x
-                yield from x.walk()
+                stack += x.parts[::-1]
 
     def all(self, tag: str | None = None, *classes: str) -> Iterator[Element]:
-        return (x for x in self.walk() if tag in (None, x.tag) and x.classes.issuperset(classes))
+        return (x for x in self.walk() if isinstance(x, Element) and tag in (None, x.tag) and x.classes.issuperset(classes))
 
     def first(self, tag: str | None = None, *classes: str) -> Element | None:
         return next(self.all(tag, *classes), None)
 
     def texts(self) -> Iterator[str]:
-        for x in self.parts:
-            if isinstance(x, Element):
-                yield from x.texts()
-            elif x.strip():
-                yield x.strip()
+        return (x.strip() for x in self.walk() if isinstance(x, str) and x.strip())
 
 
 class _Tree(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Element("", {}, None)
+        self.open: Counter = Counter()
         self.feed(html)
         self.close()
 
+    def _end(self, x: Element) -> None:
+        while self.at is not x.parent:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
+
     def handle_starttag(self, tag, attrs):
+        if ended := _ENDED_BY.get(tag):
+            x = self.at
+            while x.tag in _INLINE:
+                x = x.parent
+            while x.tag in ended:  # of a row, its cell and then the row
+                self._end(x)
+                x = self.at
         new = Element(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.parts.append(new)
         if tag not in _VOID:
             self.at = new
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.at.parts.append(Element(tag, {k: v or "" for k, v in attrs}, self.at))
 
     def handle_endtag(self, tag):
-        x = self.at
-        while x.parent is not None and x.tag != tag:
-            x = x.parent
-        if x.parent is not None:
-            self.at = x.parent
+        if self.open[tag]:
+            x = self.at
+            while x.tag != tag:
+                x = x.parent
+            self._end(x)
 
     def handle_data(self, data):
         self.at.parts.append(data)
@@ -115,30 +136,49 @@ def page_matches(url: str, html: str) -> Iterator[tuple[int, str, str, str | Non
         yield k, name, description, video.attrs.get("data-id") or None, " ".join(h4.texts())
 
 
-@F.udtf(returnType="place int, event_name string, href string")
+@F.udtf(returnType="place int, event_name string, href string, error string")
 class ListingLinks:
     def eval(self, html: str):
-        yield from listing_links(html or "")
+        try:
+            for row in list(listing_links(html or "")):
+                yield *row, None
+        except Exception as e:  # a listing that can't be read is told of, and the others go on
+            yield None, None, None, f"{type(e).__name__}: {e}"
 
 
 @F.udtf(returnType="place int, event_name string, event_description string, video_id string, heading string, error string")
 class PageMatches:
     def eval(self, url: str, html: str):
         try:
-            for row in page_matches(url or "", html or ""):
+            for row in list(page_matches(url or "", html or "")):
                 yield *row, None
         except Exception as e:  # a page that can't be read is told of, and the others go on
-            yield None, None, None, None, None, str(e)
+            yield None, None, None, None, None, f"{type(e).__name__}: {e}"
+
+
+def listing_rows(listings: DataFrame) -> DataFrame:
+    """(listing, place, event_name, href, error) of listings (url, html): every titled link, or why a listing can't be read."""
+    return listings.select("url", "html").lateralJoin(ListingLinks(F.col("html").outer())).select(F.col("url").alias("listing"), "place", "event_name", "href", "error")
+
+
+def page_rows(pages: DataFrame) -> DataFrame:
+    """(url, place, event_name, event_description, video_id, heading, error) of pages (url, html): every matchup's heading, or why a page can't be read."""
+    found = pages.select("url", "html").lateralJoin(PageMatches(F.col("url").outer(), F.col("html").outer()))
+    return found.select("url", "place", "event_name", "event_description", "video_id", "heading", "error")
 
 
 def event_links(listings: DataFrame, base: str) -> DataFrame:
-    """(listing, event_name, url) of listings (url, html): single-slug pages only, in order, the first of each url in a listing."""
-    listings.createOrReplaceTempView("_listings")
-    spark = listings.sparkSession
-    spark.udtf.register("listing_links", ListingLinks)
-    links = spark.sql("select url as listing, t.* from _listings, lateral listing_links(html) t").where(F.col("href").rlike(LINK))
-    first = links.groupBy("listing", "href").agg(F.min_by("event_name", "place").alias("event_name"), F.min("place").alias("place"))
-    return first.orderBy("listing", "place").select("listing", "event_name", F.concat(F.lit(base.rstrip("/")), "href").alias("url"))
+    """(listing, event_name, url) of listings (url, html): single-slug pages only, the first of each url in a listing.
+
+    Links begin at the root of the site, so only the scheme and host of base count.
+    """
+    return _links(listing_rows(listings), base)
+
+
+def _links(rows: DataFrame, base: str) -> DataFrame:
+    links = rows.where(F.col("href").rlike(LINK))
+    first = links.groupBy("listing", "href").agg(F.min_by("event_name", "place").alias("event_name"))
+    return first.select("listing", "event_name", F.concat(F.lit(urljoin(base, "/").rstrip("/")), "href").alias("url"))
 
 
 def hrefs(pages: DataFrame, html_col: str = "html") -> DataFrame:
@@ -153,6 +193,7 @@ def matchups(rows: DataFrame, names: Mapping[str, str] | None = None) -> DataFra
     Names are made canonical before the right side loses what follows @, |, ( or *,
     and a number at its end.
     """
+    rows = rows.where("heading is not null")
     ok = holds(F.col("heading"), P.VERSUS) & F.length("heading").between(3, 100)
     sides = split_first(F.col("heading"), P.VERSUS)
     one = canonical_any_case(F.get(sides, F.lit(0)), names or {})
@@ -162,12 +203,8 @@ def matchups(rows: DataFrame, names: Mapping[str, str] | None = None) -> DataFra
 
 
 def scrape_pages(pages: DataFrame, names: Mapping[str, str] | None = None) -> DataFrame:
-    """The matchups of pages (url, html)."""
-    pages.createOrReplaceTempView("_event_pages")
-    spark = pages.sparkSession
-    spark.udtf.register("page_matches", PageMatches)
-    rows = spark.sql("select t.* from _event_pages, lateral page_matches(url, html) t")
-    return matchups(rows.where("error is null"), names)
+    """The matchups of pages (url, html). Pages that can't be read have none; page_rows tells why."""
+    return matchups(page_rows(pages), names)
 
 
 def get_page(url: str, retries: int = 2, sleep: float = 0.7, timeout: float = 30, agent: str = AGENT) -> str:
@@ -199,9 +236,21 @@ def fetch_pages(urls: DataFrame, sleep: float = 0.6, retries: int = 2, request_s
     return urls.select("url").repartition(tasks).mapInPandas(fetch, "url string, html string, error string")
 
 
-def scrape_years(spark: SparkSession, start: int, end: int, base: str, names: Mapping[str, str] | None = None, **fetching) -> DataFrame:
-    """The matchups of all events of the years from start to end, both included; none if end is before start."""
-    years = spark.range(start, end + 1).select(F.concat(F.lit(urljoin(base, LISTING) + "?year="), F.col("id").cast("string")).alias("url"))
-    listings = fetch_pages(years, **fetching).where("html is not null")
-    pages = fetch_pages(event_links(listings, base), **fetching).where("html is not null")
-    return scrape_pages(pages, names)
+def scrape_years(spark: SparkSession, start: int, end: int, base: str, names: Mapping[str, str] | None = None, **fetching) -> tuple[DataFrame, DataFrame]:
+    """The matchups of all events of the years from start to end, both included, none if end is before start; and (url, error) of all that failed.
+
+    What is fetched and parsed is kept on disk (persist), so that reading both results,
+    or either twice, fetches nothing again.
+    """
+    def kept(df: DataFrame) -> DataFrame:
+        return df.persist(StorageLevel.DISK_ONLY_2)
+
+    spread = spark.sparkContext.defaultParallelism
+    years = spark.range(start, end + 1).select(F.concat(F.lit(base.rstrip("/") + LISTING + "?year="), F.col("id").cast("string")).alias("url"))
+    listings = kept(fetch_pages(years, **fetching))
+    links = kept(listing_rows(listings.where("html is not null")))
+    pages = kept(fetch_pages(_links(links, base), **fetching))
+    rows = kept(page_rows(pages.where("html is not null").repartition(spread)))
+    failed = [listings, pages, links.withColumnRenamed("listing", "url"), rows]
+    errors = reduce(DataFrame.unionByName, [x.where("error is not null").select("url", "error") for x in failed])
+    return matchups(rows, names), errors

@@ -151,10 +151,57 @@ def test_channel_uploads(spark, server, tmp_path, monkeypatch):
 
 
 def test_scraping(spark, server):
-    got = web.scrape_years(spark, 2020, 2021, server, {"Flip 12 (x)": "Flipzydot1 7", "no": "x"}, sleep=0, request_sleep=0)
+    got, failed = web.scrape_years(spark, 2020, 2021, server, {"Flip 12 (x)": "Flipzydot1 7", "no": "x"}, sleep=0, request_sleep=0)
     want = [("Hespero vs Flipzydot1", "Ahon & 1", "Bar League presents : x @ Manila.", "v1"), ("A vs B C", "Ahon & 1", "Bar League presents : x @ Manila.", None)]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want * 2, key=str)  # both years list the page
-    assert web.scrape_years(spark, 2021, 2020, server, sleep=0).count() == 0
+    assert failed.count() == 0 and web.scrape_years(spark, 2021, 2020, server, sleep=0)[0].count() == 0
+
+
+def test_scraping_tells_what_failed(spark, server, monkeypatch):
+    monkeypatch.setattr(web, "LISTING", "/gone")
+    rows, failed = web.scrape_years(spark, 2020, 2020, server, sleep=0, retries=0, request_sleep=0)
+    assert rows.count() == 0 and [(r.url, "404" in r.error) for r in failed.collect()] == [(f"{server}/gone?year=2020", True)]
+
+
+def test_deep_and_unclosed_pages(spark):
+    box = '<a href="/videos/battle/e"><div class="ft-article"><h4>E</h4></div></a>'
+    listing = web.event_links(spark.createDataFrame([("l", "<div>" * 5000 + box), ("m", "<ul>" + "<li>x" * 3000 + box)], "url string, html string"), "http://h/some/path")
+    assert sorted(map(tuple, listing.collect())) == [("l", "E", "http://h/videos/battle/e"), ("m", "E", "http://h/videos/battle/e")]
+    match = "<div class='row my-4'><div class='col-md-5 my-3'><div class='youtube-player' data-id='i'></div></div><div class='col-md-7 my-3'><h4>A vs B</h4></div></div>"
+    pages = [("u/deep", "<div>" * 5000 + match), ("u/li", "<ul>" + "<li>y" * 2000 + "</ul>" + match), ("u/spans", "<span>" * 3000 + match)]
+    assert sorted(r.event_name for r in web.scrape_pages(spark.createDataFrame(pages, "url string, html string")).collect()) == ["Deep", "Li", "Spans"]
+    tree = web._Tree("<ul><li>a<li>b <b>c</b><ul><li>d</ul><li>e</ul><p>f<p>g<table><tr><td>1<td>2<tr><th>3</table>").root
+    assert [[t for t in x.texts()] for x in tree.all("li")] == [["a"], ["b", "c", "d"], ["d"], ["e"]]
+    assert [[*x.texts()] for x in tree.all("tr")] == [["1", "2"], ["3"]] and len([*tree.all("p")]) == 2
+
+
+def test_pages_that_cannot_be_read_are_told_of(spark, monkeypatch):
+    def broken(url, html):
+        if html == "bad":
+            raise ValueError("no")
+        yield 0, "n", "d", None, "A vs B"
+
+    monkeypatch.setattr(web, "page_matches", broken)
+    assert [*web.PageMatches.func().eval("u", "bad")] == [(None, None, None, None, None, "ValueError: no")]
+    assert [*web.PageMatches.func().eval("u", "good")] == [(0, "n", "d", None, "A vs B", None)]
+
+
+def test_folders_of_uploads_grow_by_parts(spark, server, tmp_path):
+    secret, path = tmp_path / "secret.json", f"{tmp_path}/uploads"
+    secret.write_text('{"YT_API_KEY": "k"}')
+    assert rest.fetch_channel_uploads(spark, "ch", path, server, str(secret), pace=0) == 120
+    first = sorted(p.name for p in (tmp_path / "uploads").glob("part-*"))
+    assert rest.fetch_channel_uploads(spark, "ch", path, server, str(secret), pace=0) == 0
+    assert sorted(p.name for p in (tmp_path / "uploads").glob("part-*")) == first
+    assert files.load_uploads(spark, path).count() == files.load_existing(spark, path).count() == 120
+
+
+def test_arrays_of_none_and_of_many_parts(spark, tmp_path):
+    for n, parts in ((0, 3), (1, 4), (50, 7)):
+        df = spark.range(n).selectExpr("cast(id as string) as id", "'é \"q\"' as title").repartition(parts)
+        files.save_uploads(df, f"{tmp_path}/a.json")
+        assert sorted(int(r["id"]) for r in json.loads((tmp_path / "a.json").read_text(encoding="utf-8"))) == list(range(n))
+        assert [p.name for p in tmp_path.iterdir() if p.name != "_x" and not p.name.startswith(".")] == ["a.json"]
 
 
 def test_fetching_retries_and_skips(spark, server):
