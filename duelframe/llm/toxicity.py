@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import BROADCAST_ROWS, id_bucket, materialize, table, unit, unused
+from duelframe.llm.common import BROADCAST_ROWS, id_bucket, lean, materialize, table, text_hash, unit, unused
 
 TOKEN = re.compile(r"[^\W_]+")
 #: Leading characters of a word that count as a feature of their own, for words too rare to be known.
@@ -204,7 +204,7 @@ def fit_lexicon(labelled: DataFrame, *, in_place: int = IN_PLACE, **scoring) ->
     lexicon = Lexicon(*found, -drift, 0.3)
     if not whole:
         lexicon.top, lexicon.rest = max(-drift, highest[-1].score), scores
-    lexicon.rate, lexicon.k = fit_law(_found(labelled.where("toxic <= 0").select("text"), lexicon, keep=False).select("found.best", "found.tokens"))
+    lexicon.rate, lexicon.k = fit_law(_found(labelled.where("toxic <= 0").select("text"), lexicon).select("found.best", "found.tokens"))
     return lexicon
 
 
@@ -270,8 +270,8 @@ def _row(words: list[str], weights: np.ndarray, lexicon: Lexicon, resolved: bool
     return (*_judge(found, len(words), lexicon, 0.05), len(words), need)
 
 
-def _found(rows: DataFrame, lexicon: Lexicon, text_col: str = "text", name: str = "found", keep: bool = True) -> DataFrame:
-    """rows with a struct of what the scan of their text finds, whole texts; without `keep` the texts may become null.
+def _found(rows: DataFrame, lexicon: Lexicon, text_col: str = "text", name: str = "found") -> DataFrame:
+    """rows with a struct of what the scan of their text finds, whole texts; the texts become null where they have been read for good.
 
     A first scan gives words that aren't held the most they can score. Any run whose
     prefixes and suffixes are all positive under the true scores is so under these, so
@@ -307,9 +307,7 @@ def _found(rows: DataFrame, lexicon: Lexicon, text_col: str = "text", name: str
     if lexicon.top is None:
         return marked
     open_ = F.col(name)["need"].isNotNull()
-    if not keep:
-        marked = marked.withColumn(text_col, F.when(open_, F.col(text_col)))
-    marked = materialize(marked)
+    marked = materialize(marked.withColumn(text_col, F.when(open_, F.col(text_col))))
     a, b, terms = (unused(marked, x) for x in ("key_a", "key_b", "terms"))
     rest = marked.where(open_).withColumns({a: F.xxhash64(text_col, F.lit(1)), b: F.xxhash64(text_col, F.lit(2))})
     needs = rest.select(F.col(a).alias("a"), F.col(b).alias("b"), F.explode(F.col(name)["need"]).alias("word")).distinct()
@@ -325,7 +323,7 @@ def _found(rows: DataFrame, lexicon: Lexicon, text_col: str = "text", name: str
 def scan_documents(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, evidence, best, passages, first_token, last_token) of every row, whole texts."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return _found(rows, lexicon, keep=False).select("id", *[f"found.{c}" for c in ("evidence", "best", "passages", "first_token", "last_token")])
+    return _found(rows, lexicon).select("id", *[f"found.{c}" for c in ("evidence", "best", "passages", "first_token", "last_token")])
 
 
 def fit_calibration(evidence: DataFrame) -> tuple[float, float]:
@@ -377,9 +375,11 @@ def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     found = scan_documents(train.select("toxic", "text", F.col("toxic").alias("id")), lexicon, "id", "text")
     slope, offset = fit_calibration(found.select("evidence", F.col("id").alias("toxic")))
 
-    name = unused(docs, "found")
-    score = 1 / (1 + F.exp(-(F.lit(slope) * F.col(name)["evidence"] + F.lit(offset))))
-    return _found(docs, lexicon, text_col, name).where(score < 0.5).drop(name)
+    a, b = unused(docs, "a"), unused(docs, "b")
+    hashes = {a: text_hash(F.col(text_col), 3), b: text_hash(F.col(text_col), 4)}
+    found = _found(docs.select(F.col(text_col).alias("text"), *[v.alias(k) for k, v in hashes.items()]), lexicon)
+    rejected = found.where(F.lit(slope) * F.col("found")["evidence"] + F.lit(offset) >= 0).select(a, b).distinct()
+    return docs.withColumns(hashes).join(lean(rejected), [a, b], "left_anti").select(*docs.columns)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -166,7 +166,7 @@ def test_terms_that_are_not_held_change_nothing(spark):
     docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
     docs = docs.unionByName(docs.limit(20)).withColumns({"found": F.lit("x"), "key_a": F.lit(1)})
     train = tox.materialize(tox._labelled(docs, tox._marks(labels, "doc_id", "toxic", F.lit(True), 1000), "doc_id", "text"))
-    whole, part = tox.fit_lexicon(train), tox.fit_lexicon(train, in_place=60)
+    whole, part = tox.fit_lexicon(train, in_place=1 << 20), tox.fit_lexicon(train, in_place=60)
     assert whole.top is None and len(whole.words) > 10_000
     assert part.top is not None and len(part.words) + len(part.stems) <= 60
     assert part.rate == whole.rate and np.isclose(part.k, whole.k)
