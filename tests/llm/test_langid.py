@@ -48,7 +48,7 @@ def test_query_against_plain_code(spark):
         for at in range(0, len(data), 256):
             part = data[at : at + 256]
             x = net.embed[list(part.ljust(256, b"\0"))]
-            tops = [max((x[k : k + len(c)].reshape(-1) @ c.reshape(-1, c.shape[2]) for k in range(257 - len(c))), key=lambda y, f=f: y[f])[f] for c in net.convs for f in range(c.shape[2])] if at < 2048 else net.pooled(np.array([list(part.ljust(256, b"\0"))], np.uint8))[0][0]
+            tops = [max((x[k : k + len(c)].reshape(-1) @ c.reshape(-1, c.shape[2]) for k in range(257 - len(c))), key=lambda y, f=f: y[f])[f] for c in net.convs for f in range(c.shape[2])] if at < 512 else net.pooled(np.array([list(part.ljust(256, b"\0"))], np.uint8))[0][0]
             z = np.maximum(np.array(tops) + net.bias, 0) @ net.dense + net.offset
             total += len(part) * np.exp(z - z.max()) / np.exp(z - z.max()).sum()
         total /= len(data)

