@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a few numbers that every task may be given, about 20 MB.
 BROADCAST_ROWS = 1 << 18
+#: Rows of a batch that goes to Python while a table is written.
+BATCH_ROWS = 1000
 
 _local: dict[str, str] = {}
 _scopes: list[list[str]] = []
@@ -39,6 +41,18 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/duelframe-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """While a table is written, Python gets at most BATCH_ROWS rows at once: whole texts are long, and a task holds a batch several times over."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = int(spark.conf.get(name))
+    spark.conf.set(name, min(own, BATCH_ROWS) if own > 0 else BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it again.
 
@@ -48,7 +62,8 @@ def materialize(df: DataFrame) -> DataFrame:
     to the application and goes with it.
     """
     path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
+    with _small_batches(df.sparkSession):
+        df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.folder = path
     if _scopes:

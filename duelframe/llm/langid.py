@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from duelframe.llm.common import id_bucket, lean, materialize, table, unit
+from duelframe.llm.common import id_bucket, lean, materialize, table, text_hash, unit, unused
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -232,8 +232,13 @@ def keep_identified(docs: DataFrame, text_col: str = "text", label_col: str = "l
     languages; texts between two languages or more stay, and what resembles none goes.
     """
     net = fit(docs.where(id_bucket(F.col(id_col), 3) != 1), text_col, label_col, key_col=id_col, **fitting)
-    found = identify(docs, net, text_col)
-    return docs.where((found["lang_pred"] != UNDETERMINED) & (found["score"] >= least_score(len(net.languages) if net else 0, confidence)))
+    a, b = unused(docs, "a"), unused(docs, "b")
+    hashes = {a: text_hash(F.col(text_col), 5), b: text_hash(F.col(text_col), 6)}
+    texts = docs.select(F.col(text_col).alias("text"), *[v.alias(k) for k, v in hashes.items()])
+    found = identify(texts, net, "text")
+    least = least_score(len(net.languages) if net else 0, confidence)
+    rejected = texts.select(a, b, found.alias("found")).where((F.col("found.lang_pred") == UNDETERMINED) | (F.col("found.score") < least)).select(a, b).distinct()
+    return docs.withColumns(hashes).join(lean(rejected), [a, b], "left_anti").select(*docs.columns)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
