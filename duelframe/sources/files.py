@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from duelframe.functions.patterns import NA_TOKENS
 from duelframe.operators.incremental import append_new
+from duelframe.sources.sheet import write_sheet
 
 UPLOADS = "id string, title string, description string, upload_date string, view_count string, duration string, url string, likeCount string, commentCount string, tags array<string>"
 EVENTS = "matchup string, event_name string, event_description string, video_id string"
@@ -169,5 +170,8 @@ def write_events(df: DataFrame, path: str) -> None:
 
 
 def write_review(df: DataFrame, path: str) -> None:
-    """The worksheet as CSV, one file, since people fill it in by hand."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"')
+    """The worksheet for people to fill in: a workbook if path ends in .xlsx, else a folder with one CSV file."""
+    if path.endswith(".xlsx"):
+        write_sheet(df, path)
+    else:
+        df.coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"')

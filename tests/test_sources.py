@@ -1,13 +1,15 @@
 import json
 import threading
+import zipfile
 from http.server import BaseHTTPRequestHandler, HTTPServer
 from urllib.parse import parse_qs, urlparse
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
 
 from duelframe.plans import battles as B
-from duelframe.sources import files, rest, web
+from duelframe.sources import files, rest, sheet, web
 from duelframe.streaming import uploads as stream
 
 UPLOADS = [
@@ -65,6 +67,23 @@ def test_aliases_and_existing(spark, tmp_path):
     assert [r.id for r in files.load_existing(spark, f"{tmp_path}/good.json").orderBy("id").collect()] == list("abcd")
 
 
+def test_worksheet(spark, tmp_path, monkeypatch):
+    rows = [("T <&> \"é\"", "A vs B", "u1 | u2", None, 3), (" two\nlines\x01", None, "", "x", 2)]
+    df = spark.createDataFrame(rows, "title string, matchup string, url string, emcee1 string, n int").coalesce(1)
+    files.write_review(df, f"{tmp_path}/w.xlsx")
+    with zipfile.ZipFile(tmp_path / "w.xlsx") as book:
+        assert book.testzip() is None
+        trees = {n: ElementTree.fromstring(book.read(n)) for n in book.namelist()}
+    main = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    cells = [["".join(c.itertext()) for c in r] for r in trees["xl/worksheets/sheet1.xml"].iter(f"{main}row")]
+    assert cells == [["title", "matchup", "url", "emcee1", "n"], ['T <&> "é"', "A vs B", "u1 | u2", "", "3"], [" two\nlines", "", "", "x", "2"]]
+    files.write_review(df, f"{tmp_path}/w")
+    assert spark.read.csv(f"{tmp_path}/w", header=True, multiLine=True, escape='"').count() == 2
+    monkeypatch.setattr(sheet, "MOST_ROWS", 2)
+    with pytest.raises(ValueError, match="sheet"):
+        files.write_review(df, f"{tmp_path}/no.xlsx")
+
+
 def test_event_csv_keeps_extra_columns(spark, tmp_path):
     df = spark.createDataFrame([("x", "v", "m", "n", "y")], "extra string, video_id string, matchup string, event_name string, more string")
     files.write_events(df, f"{tmp_path}/e")
