@@ -25,7 +25,7 @@ def test_queries_without_the_corpus_operators(tmp_path, pipeline_stays):
     said = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, capture_output=True, text=True, env=env)
     assert said.returncode == 0, said.stderr
     if not pipeline_stays:  # and its other tests pass there
-        run = [sys.executable, "-B", "-m", "pytest", "-x", "-q", "-p", "no:cacheprovider", "tests/test_functions.py", "tests/test_battles.py"]
+        run = [sys.executable, "-B", "-m", "pytest", "-x", "-q", "-p", "no:cacheprovider", "tests/test_functions.py"]
         said = subprocess.run(run, cwd=tmp_path, capture_output=True, text=True, env=env)
         assert said.returncode == 0, said.stdout[-2000:]
 
