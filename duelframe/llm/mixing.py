@@ -203,12 +203,14 @@ def _mix(docs: DataFrame, weights, id_col: str, text_col: str, source_col: str,
 
         return F.when((F.col("size") > 0) & (last > first), F.transform(F.sequence(F.floor(first / block_words), F.floor((last - 1) / block_words)), of_block)).otherwise(F.array())
 
-    def placed(x: Column) -> Column:
-        turned = _permuted_block(x["block"], F.col("blocks"), F.xxhash64("k", F.lit(seed)))
-        shard = F.size(F.filter("ends", lambda end: end <= turned))
+    def turned(x: Column) -> Column:  # once for each piece, before the places are looked up among all ends
+        return F.struct(x.alias("x"), _permuted_block(x["block"], F.col("blocks"), F.xxhash64("k", F.lit(seed))).alias("at"))
+
+    def placed(y: Column) -> Column:
+        x, shard = y["x"], F.size(F.filter("ends", lambda end: end <= y["at"]))
         return F.struct(shard.alias("shard"), F.xxhash64("k", x["block"], F.lit(seed)).alias("place"), x["block"].alias("block"), x["offset"].alias("offset"), x["pass"].alias("pass"), x["start"].alias("start"), x["words"].alias("words"))
 
-    pieces = F.transform(F.flatten(F.transform(passes, of_pass)), placed)
+    pieces = F.transform(F.transform(F.flatten(F.transform(passes, of_pass)), turned), placed)
     out = full.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "k", "t", pieces.alias("pieces"))
     taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, x: n + x["words"])
     return out.select(id_col, source_col, "size", "source_size", "target", taken.alias("taken"), "pieces", "k", "t")

@@ -170,8 +170,9 @@ def _compare(cell: pd.DataFrame, cosine: float) -> pd.DataFrame:
     cell = cell.sort_values("id", ignore_index=True)
     x = unit_vectors(cell["v"])
     sizes, block = cell["size"].to_numpy(), cell["block"].to_numpy()
-    width = max(map(len, cell["leaves"]))
-    leaves = np.stack([np.pad(v, (0, width - len(v)), mode="edge") for v in cell["leaves"]])
+    count = np.fromiter(map(len, cell["leaves"]), np.int64, len(cell))
+    at = np.cumsum(count) - count
+    leaves = np.concatenate(cell["leaves"].to_list())[at[:, None] + np.minimum(np.arange(count.max()), count[:, None] - 1)]
     here, same = cell["leaf"].iloc[0], cell["a"].iloc[0] == cell["b"].iloc[0]
     links, least = np.zeros(len(x), np.int64), np.arange(len(x))  # ids are in order, so places stand for them
 
