@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from duelframe.llm import collocations, divergence, mixing, rpforest, urlfilter, warc
+from duelframe.llm import collocations, divergence, mixing, rpforest, topk, urlfilter, warc
 from duelframe.llm.decontam import op6_decontamination
 from duelframe.llm.langid import op10_language_id
 from duelframe.llm.quality import op3_quality_classifier
@@ -21,8 +21,9 @@ QUERIES = {
     "op8_url_filters": urlfilter.op8_url_filters,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_language_id": op10_language_id,
+    "op11_top_k": topk.op11_top_k,
     "op12_phrase_collocations": collocations.op12_phrase_collocations,
     "op13_source_divergence": divergence.op13_source_divergence,
 }
 
-ORACLE_SQL = {"op1_warc": warc.SQL, "op2_source_mixing": mixing.SQL, "op7_embedding_near_dedup": rpforest.SQL, "op8_url_filters": urlfilter.SQL, "op12_phrase_collocations": collocations.SQL, "op13_source_divergence": divergence.SQL}
+ORACLE_SQL = {"op1_warc": warc.SQL, "op2_source_mixing": mixing.SQL, "op7_embedding_near_dedup": rpforest.SQL, "op8_url_filters": urlfilter.SQL, "op11_top_k": topk.SQL, "op12_phrase_collocations": collocations.SQL, "op13_source_divergence": divergence.SQL}
