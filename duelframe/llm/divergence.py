@@ -12,9 +12,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ ONE = 1_000_000_000
 #: Rows of a sketch, and the cells of a row as a power of two: 384 KB of bits for every task.
 DEPTH, BITS = 3, 20
 #: Terms that a task holds before it hands them on.
-HELD = 200_000
+HELD = 400_000
 #: Letters of ASCII in lower case, all bytes beyond ASCII as they are, and spaces.
 _TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -66,29 +68,35 @@ def _fill(bits: int, min_docs: int):
     return fill
 
 
-def _count(reached, step: int = 10_000):
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _count(reached, step: int = 20_000):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(lang, source, term, n, docs) of the terms that the sketch lets pass, several times if a task has many."""
-        words, docs = {}, {}
+        words, docs, held = {}, {}, 0
 
-        def told() -> Iterator[pd.DataFrame]:
+        def told() -> Iterator[pa.RecordBatch]:
             for (lang, source), ns in words.items():
-                may = reached.value(0, _hashes(lang, ns))
-                ds = docs[lang, source]
-                rows = [(t, n, ds[t]) for (t, n), ok in zip(ns.items(), may, strict=True) if ok]
-                for at in range(0, len(rows), step):
-                    some = pd.DataFrame(rows[at : at + step], columns=["term", "n", "docs"])
-                    yield some.assign(lang=lang, source=source)[["lang", "source", "term", "n", "docs"]]
+                may = reached.value(0, _hashes(lang, ns)).tolist()
+                ts, ds = list(compress(ns, may)), docs[lang, source]
+                for at in range(0, len(ts), step):
+                    some = ts[at : at + step]
+                    columns = [pa.repeat(lang, len(some)), pa.repeat(source, len(some)), pa.array(some, pa.binary())]
+                    columns += [pa.array(list(map(of.__getitem__, some)), pa.int64()) for of in (ns, ds)]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
             words.clear()
             docs.clear()
 
         for batch in batches:
-            for lang, source, text in zip(batch["lang"], batch["source"], batch["text"], strict=True):
-                said = terms(text)
-                words.setdefault((lang, source), Counter()).update(said)
-                docs.setdefault((lang, source), Counter()).update(set(said))
-            if sum(map(len, words.values())) > HELD:
-                yield from told()
+            for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                said, group = terms(text), (lang, source)
+                if group not in words:
+                    words[group], docs[group] = Counter(), Counter()
+                held -= len(words[group])
+                words[group].update(said)
+                docs[group].update(set(said))
+                held += len(words[group])
+                if held > HELD:
+                    yield from told()
+                    held = 0
         yield from told()
 
     return count
@@ -119,7 +127,7 @@ def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS, bits: int = BITS) ->
     rows = docs.select("lang", "source", F.col("text").cast("binary").alias("text"))
     pages = rows.select("lang", "text").mapInPandas(_fill(bits, min_docs), PAGES)
     reached = docs.sparkSession.sparkContext.broadcast(merge(pages, min_docs, 1, DEPTH, bits))
-    told = rows.mapInPandas(_count(reached), "lang string, source string, term binary, n long, docs long")
+    told = rows.mapInArrow(_count(reached), "lang string, source string, term binary, n long, docs long")
     exact = told.groupBy("lang", "source", F.col("term").cast("string").alias("term")).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     own = Window.partitionBy("lang", "term")
     known = exact.select("lang", "source", "term", "n", F.sum("docs").over(own).alias("docs"), F.sum("n").over(own).alias("lang_n"), (F.min("source").over(own) == F.col("source")).alias("first"))
