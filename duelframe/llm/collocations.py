@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from duelframe.llm.common import lean, materialize, scratch, table
-from duelframe.llm.sketch import PAGES, CountMin, merge, mixed
+from duelframe.llm.sketch import PAGES, CountMin, gathered, merge, mixed
 
 LEAST, MOST = 2, 4
 MIN_COUNT = 30
@@ -28,8 +28,8 @@ TOP = 2000
 SUBSUMED = (80, 100)
 #: Rows of a sketch, and the cells of a row as a power of two: 8 MB of bits for every task.
 DEPTH, BITS = 2, 23
-#: Bytes of text taken at once, distinct words and phrases that a task remembers.
-SLICE, HELD = 1 << 20, 300_000
+#: Bytes of text taken at once, and distinct words of a language and phrases that a task remembers.
+SLICE, WORDS, HELD = 1 << 20, 300_000, 700_000
 #: ASCII in lower case; what ends a piece is a line feed, a tab is a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 _END = b"\n"
@@ -85,7 +85,7 @@ class _Runs:
         for lang, texts in batch.groupby("lang", sort=False)["text"]:
             for words, old in word_runs(texts):
                 known = self.ids.get(lang)
-                if known is None or len(known) > HELD:
+                if known is None or len(known) > WORDS:
                     known = self.ids[lang] = _Ids(lang)
                 ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
                 yield lang, words, ids, np.array(known.hashes, np.uint64), old
@@ -157,7 +157,7 @@ def _count(reached, most: int, step: int = 10_000):
 
 def frequent(docs: DataFrame, min_count: int = MIN_COUNT, most: int = MOST, bits: int = BITS) -> DataFrame:
     """(lang, k, phrase, f) of rows (lang, text): all phrases of 1 to `most` words with f >= min_count; k = 0 has the number of words."""
-    rows = docs.select("lang", F.col("text").cast("binary").alias("text"))
+    rows = gathered(docs.select("lang", F.col("text").cast("binary").alias("text")))
     pages = rows.mapInPandas(_fill(most, min_count, bits), PAGES)
     reached = docs.sparkSession.sparkContext.broadcast(merge(pages, min_count, most, DEPTH, bits))
     told = rows.mapInPandas(_count(reached, most), "lang string, k int, phrase binary, f long")
@@ -185,7 +185,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     language without a frequent phrase has no row, and an empty table none at all; other
     columns aren't read. Texts of any length are taken whole, in runs of SLICE bytes.
 
-    A task holds a batch's texts, HELD words and as many phrases, and 2**bits cells for
+    A task holds a batch's texts, WORDS words of a language, HELD phrases, and 2**bits cells for
     each length and row. A sketch keeps out what is rarer than about a language's runs /
     2**bits; beyond 2**bits * min_count runs it lets much pass, and more is shuffled,
     but no result changes. So min_count should grow with the corpus.

@@ -22,11 +22,23 @@ from duelframe.llm.common import materialize
 
 #: Cells of a page, as a power of two.
 PAGE = 14
+#: Splits of the input that a task takes.
+SPLITS = 4
 PAGES = "place int, cells binary"
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 _SHIFT = np.uint64(33)
 
 
+def gathered(df: DataFrame, splits: int = SPLITS) -> DataFrame:
+    """df with several splits to a task, one after the other and without a shuffle, as long as all cores have work.
+
+    What a task sums up and hands on grows less than what it reads: its pages not at
+    all, and its counts as its distinct keys.
+    """
+    now = df.rdd.getNumPartitions()
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-now // splits)))
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """64-bit numbers whose bits all hang on all bits of h."""
     h = (h ^ (h >> _SHIFT)) * _MIX[0]
