@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from duelframe.llm.common import lean, materialize, scratch, table
-from duelframe.llm.sketch import PAGES, CountMin, merge, mixed
+from duelframe.llm.sketch import PAGES, CountMin, gathered, merge, mixed
 
 MIN_DOCS = 3
 #: Terms of a source that are told.
@@ -124,7 +124,7 @@ def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS, bits: int = BITS) ->
     n counts a term in a source of the language, lang_n in all of it; first marks one
     row of each term of a language.
     """
-    rows = docs.select("lang", "source", F.col("text").cast("binary").alias("text"))
+    rows = gathered(docs.select("lang", "source", F.col("text").cast("binary").alias("text")))
     pages = rows.select("lang", "text").mapInPandas(_fill(bits, min_docs), PAGES)
     reached = docs.sparkSession.sparkContext.broadcast(merge(pages, min_docs, 1, DEPTH, bits))
     told = rows.mapInArrow(_count(reached), "lang string, source string, term binary, n long, docs long")
