@@ -18,6 +18,12 @@ def utc_timestamp(c: Column) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.try_to_timestamp(zoned).cast("timestamp_ntz"))
 
 
+def format_of(c: Column) -> Column:
+    """What a time's text looks like: 0 for each digit, and one mark for fractions and for offsets of any length."""
+    text = F.regexp_replace(F.regexp_replace(c.cast("string"), r"[.,]\d+", ".f"), r"(?:Z|[+-]\d{2}:?\d{2})$", "z")
+    return F.regexp_replace(text, r"\d", "0")
+
+
 def duration_seconds(c: Column) -> Column:
     """Seconds of an ISO-8601 duration; null if it is none, or counts years or months."""
     # one match marks the text and parts its numbers; what isn't a duration stays unmarked

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duelframe.functions import times, titles
+from duelframe.operators.columns import hashable, unused
 
 LISTED = ("id", "url")
 FIRST = ("description", "title", "yt_raw_title", "emcee1", "emcee2", "matchup", "event_name", "event_date", "event_location")
@@ -19,34 +20,45 @@ def consolidate_parts(df: DataFrame) -> DataFrame:
     ids and urls are listed, the earliest upload date and the sum of durations are
     taken (0 if all are null), and of every other column the first value that isn't
     null. duration_hms is derived again for all rows. Columns that the groups don't
-    have become null in them. The groups need one shuffle of the parts alone, and
-    sum up before it; no order of rows is relied on.
+    have become null in them.
+
+    Everything is one aggregation, so df is computed once: parts meet by their title,
+    and any other row is a group of its own, by hashes of all it holds. Rows that are
+    equal in everything are counted and come back as often. Groups sum up before the
+    shuffle; no order of rows is relied on.
     """
     if "yt_raw_title" not in df.columns:
         return df
     if "duration_seconds" in df.columns:
         df = df.withColumn("duration_seconds", F.col("duration_seconds").cast("double"))
-    part = titles.is_part(F.col("yt_raw_title"))
+    base, one, two, order, copies, copy = (unused(c, df) for c in ("base", "one", "two", "order", "copies", "copy"))
+    raw, part = F.col("yt_raw_title"), titles.is_part(F.col("yt_raw_title"))
     listed = [c for c in LISTED if c in df.columns]
-    rest = df.where(~part).withColumns({c: F.array(c) for c in listed} | {"is_multipart": F.lit(False)})
-    parts = df.where(part).withColumns({
-        "_base": F.coalesce(titles.base_title(F.col("yt_raw_title")), F.lit("")),
-        "_order": F.struct(titles.part_number(F.col("yt_raw_title")).alias("n"), F.col("yt_raw_title").alias("t"), *[F.col(c).alias(f"k_{c}") for c in listed]),
+    alone = [F.when(~part, F.xxhash64(*hashable(df), F.lit(k))) for k in (1, 2)]
+    keyed = df.withColumns({
+        base: F.when(part, F.coalesce(titles.base_title(raw), F.lit(""))),
+        one: alone[0],
+        two: alone[1],
+        order: F.struct(titles.part_number(raw).alias("n"), raw.alias("t"), *[F.col(c).alias(f"k_{c}") for c in listed]),
     })
+    multi = F.col(base).isNotNull()
 
     def in_order(c: str) -> Column:
-        return F.transform(F.array_sort(F.collect_list(F.struct("_order", F.col(c).alias("v")))), lambda x: x["v"])
+        every = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order), F.col(c).alias("v")))), lambda x: x["v"])
+        return F.when(multi, every).otherwise(F.slice(every, 1, 1))
 
     def first(c: str) -> Column:
-        return F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_order")))
+        return F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order)))
 
-    aggs = [in_order(c).alias(c) for c in listed]
-    if "upload_date" in df.columns:
-        aggs.append(F.min("upload_date").alias("upload_date"))
-    if "duration_seconds" in df.columns:
-        aggs.append(F.coalesce(F.sum("duration_seconds"), F.lit(0.0)).alias("duration_seconds"))
-    aggs += [first(c).alias(c) for c in FIRST if c in df.columns]
-    grouped = parts.groupBy("_base").agg(*aggs, F.lit(True).alias("is_multipart"))
-    title = F.coalesce("title", "_base") if "title" in df.columns else F.col("_base")
-    out = rest.unionByName(grouped.withColumn("title", title).drop("_base"), allowMissingColumns=True)
+    said = {c: in_order(c) for c in listed} | {c: first(c) for c in FIRST}
+    said["upload_date"] = F.min("upload_date")
+    said["duration_seconds"] = F.when(multi, F.coalesce(F.sum("duration_seconds"), F.lit(0.0))).otherwise(F.min("duration_seconds"))
+    aggs = [said.get(c, F.first(F.when(~part, F.col(c)))).alias(c) for c in df.columns if c != "is_multipart"]
+    out = keyed.groupBy(base, one, two).agg(*aggs, F.when(multi, 1).otherwise(F.count("*").cast("int")).alias(copies))
+    out = out.withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.col(copies)))).withColumn("is_multipart", multi)
+    if "title" in df.columns:
+        out = out.withColumn("title", F.when(multi, F.coalesce("title", base)).otherwise(F.col("title")))
+    else:
+        out = out.withColumn("title", F.col(base))
+    out = out.drop(base, one, two, copies, copy)
     return out.withColumn("duration_hms", times.clock(F.col("duration_seconds"))) if "duration_seconds" in df.columns else out

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from duelframe.operators.columns import unused
+from duelframe.sources.staging import staged
+
 # Alias -> canonical name. No canonical name is an alias.
 ALIASES: dict[str, str] = {
     "Daddie Joe D": "Daddy Joe D",
@@ -76,23 +79,22 @@ def distinct_names(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(F.explode(F.array(*cols)).alias("name")).where("name is not null").distinct()
 
 
-def dense_ids(names: DataFrame, col: str = "name", id_col: str = "id", lengths: tuple[int, ...] = (2, 4, 8)) -> DataFrame:
+def dense_ids(names: DataFrame, col: str = "name", id_col: str = "id") -> DataFrame:
     """Distinct names numbered from 1 in code-point order.
 
-    Names are ranked within their first eight characters, these within their first
-    four, and these within two: where many names begin alike, only their next
-    characters meet in one task.
+    The names are dealt to ranges, sorted there and written once with their places; the
+    ranges' sizes then give the number that each begins with. So names are computed
+    once, and no task holds more than a range, however alike their beginnings are.
     """
-    keys = [f"_key{k}" for k in range(len(lengths))]
-    keyed = names.withColumns({key: F.substring(col, 1, n) for key, n in zip(keys, lengths, strict=True)})
-    ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(col)))
-    for k, key in enumerate(keys):
-        sizes = keyed.groupBy(*keys[: k + 1]).agg(F.count("*").alias("_n"))
-        span = (Window.partitionBy(*keys[:k]) if k else Window).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-        before = sizes.select(*keys[: k + 1], (F.sum("_n").over(span) - F.col("_n")).alias(f"_before{k}"))
-        ranked = ranked.join(before, keys[: k + 1])
-    place = sum((F.col(f"_before{k}") for k in range(len(keys))), F.col("_rank"))
-    return ranked.select(place.cast("int").alias(id_col), col)
+    at, number, size, before = (unused(c, names) for c in ("at", "range", "size", "before"))
+    ordered = names.select(col).repartitionByRange(col).sortWithinPartitions(col)
+    # the place within a partition is the lower 33 bits of this id, the partition the others
+    rows = staged(ordered.withColumn(at, F.monotonically_increasing_id()))
+    rows = rows.select(col, F.shiftright(at, 33).alias(number), F.col(at).bitwiseAND(F.lit((1 << 33) - 1)).alias(at))
+    sizes = rows.groupBy(number).agg(F.count("*").alias(size))
+    upto = F.sum(size).over(Window.orderBy(number).rowsBetween(Window.unboundedPreceding, 0))
+    offsets = sizes.select(number, (upto - F.col(size)).alias(before))  # a row for each range
+    return rows.join(F.broadcast(offsets), number).select((F.col(before) + F.col(at) + 1).cast("int").alias(id_col), col)
 
 
 def build_emcees(battles: DataFrame) -> DataFrame:

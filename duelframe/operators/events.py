@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from duelframe.functions import events as E
 from duelframe.functions import patterns as P
+from duelframe.operators.columns import hashable, unused
 
 # Dates of uploads in this window, ends included, say nothing of the
 # event's date; after the later day the description may.
@@ -50,21 +51,44 @@ def fill_from_description(df: DataFrame, where=None, league: str = P.LEAGUE) ->
     return df.withColumns({c: F.when(chosen & now[c].isNull(), said[c]).otherwise(now[c]) for c in said})
 
 
-def first_of_each(df: DataFrame, key: str, cols: list[str], order_col: str | None = "_ord") -> DataFrame:
-    """key and cols of the first row for each key that isn't null, by order_col, or by the columns if there is none."""
+#: Shares that rows without a key are dealt in, so that they don't meet in one task.
+SALTS = 64
+
+
+def first_of_each(df: DataFrame, key: str, cols: list[str], order_col: str | None = "_ord", nulls: bool = False) -> DataFrame:
+    """key and cols of the first row for each key, by order_col, or by the columns if there is none; null is a key only with nulls."""
     order = F.col(order_col) if order_col in df.columns else F.struct(*cols)
+    known = df if nulls else df.where(F.col(key).isNotNull())
     if not cols:
-        return df.where(F.col(key).isNotNull()).select(key).distinct()
-    row = F.min_by(F.struct(*cols), order).alias("_row")
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(row).select(key, *[F.col("_row")[c].alias(c) for c in cols])
+        return known.select(key).distinct()
+    row = unused("row", df)
+    first = known.groupBy(key).agg(F.min_by(F.struct(*cols), order).alias(row))
+    return first.select(key, *[F.col(row)[c].alias(c) for c in cols])
+
+
+def join_to_first(left: DataFrame, left_key: str, right: DataFrame, right_key: str, nulls: bool = False) -> DataFrame:
+    """left with the columns of right, which has each key once, by a left join; its key is not among them.
+
+    With nulls a null key meets the null key. Either way rows of left without a key are
+    dealt in SALTS shares by hashes of what they hold, and a null key of right is in
+    each share: so however many they are, they don't meet in one task, and left is
+    computed once.
+    """
+    key, salt, own = unused("key", left, right), unused("salt", left, right), unused("own", left, right)
+    shares = F.explode(F.when(F.col(right_key).isNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    once = right.withColumn(salt, shares if nulls else F.lit(0)).withColumnRenamed(right_key, key)
+    dealt = left.withColumn(own, F.when(F.col(left_key).isNull(), F.pmod(F.xxhash64(*hashable(left)), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)))
+    same = F.col(left_key).eqNullSafe(F.col(key)) if nulls else F.col(left_key) == F.col(key)
+    return dealt.join(once, same & (F.col(own) == F.col(salt)), "left").drop(own, salt, key)
 
 
-def attach_event_metadata(uploads: DataFrame, events: DataFrame | None, league: str = P.LEAGUE) -> DataFrame:
+def attach_event_metadata(uploads: DataFrame, events: DataFrame | None, league: str = P.LEAGUE, match_nulls: bool = False) -> DataFrame:
     """Left join of the events' name, date and place by video id, first event first, with the date's repairs.
 
     Without events, or without an id on either side, uploads stay as they are. The
     join's strategy is left to Spark, which broadcasts the events only while they
-    are small. A row count never changes: events are one for each id.
+    are small. A row count never changes: events are one for each id. With match_nulls
+    uploads without an id get the first event without one; else they get none.
     """
     if events is None or "id" not in uploads.columns:
         return uploads
@@ -73,9 +97,10 @@ def attach_event_metadata(uploads: DataFrame, events: DataFrame | None, league:
     if key is None:
         return uploads
     cols = [c for c in ("event_name", "event_date", "event_location_clean") if c in tidy.columns]
-    first = first_of_each(tidy, key, cols).withColumnRenamed(key, "_key")
+    named = unused("event_key", uploads, tidy)  # so that neither an upload's column of the key's name nor its own is meant
+    first = first_of_each(tidy.withColumnRenamed(key, named), named, cols, nulls=match_nulls)
     first = first.withColumnsRenamed({c: f"{c}_event" for c in cols if c in uploads.columns})
-    out = uploads.join(first, F.col("id") == F.col("_key"), "left").drop("_key")
+    out = join_to_first(uploads, "id", first, named, match_nulls)
     if not {"upload_date", "event_date"} <= set(out.columns):
         return out
     start, end, after = (F.lit(t).cast("timestamp_ntz") for t in (*WINDOW, DESCRIBED_AFTER))

@@ -67,6 +67,10 @@ from orders where o_orderkey % 1000 = 0
 """
 
 
+#: All orders as events, without a gap; for queries of events alone.
+ALL_EVENTS = EVENTS.replace(" where o_orderkey % 3 <> 0", "")
+
+
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate"))
 
@@ -75,5 +79,9 @@ def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(UPLOADS.replace("from orders", "from {orders}"), orders=_orders(spark, sf_dir))
 
 
+def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(ALL_EVENTS.replace("from orders", "from {orders}"), orders=_orders(spark, sf_dir))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(EVENTS.replace("from orders", "from {orders}"), orders=_orders(spark, sf_dir))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from duelframe.operators.dims import ALIASES
-from duelframe.plans.fixtures import EVENTS, UPLOADS
+from duelframe.plans.fixtures import ALL_EVENTS, EVENTS, UPLOADS
 
 # The patterns as the survey states them, on their own: a slip in the library's shows as a difference.
 LEAGUE = "Bar League"
@@ -13,10 +13,11 @@ DATE = r"(Jan(?:uary)?\.?|Feb(?:ruary)?\.?|Mar(?:ch)?\.?|Apr(?:il)?\.?|May\.?|Ju
 PREFIX = rf"^{LEAGUE}(?: [^–-]+)?\s*[-–]\s*"
 PLACE_PREFIX = rf"^({LEAGUE}(?: Battle League)?(?: presents)?[:\-]?\s*)"
 EVENT_NAME = rf"{LEAGUE}\s+presents\s*:?\s*(.+?)\s*@"
-KEYWORDS = (
-    "tryout, tryouts, beatbox, beat box, flyer, promo, promos, anygma machine, unggoyan, pre-battle interviews, interview, interviews, salitang ugat, "
-    "trailer, video flyer, [live], silip, sound check, tribute, anniversary party, tutok, review, abangan"
-).split(", ")
+# Titles that hold one of these, in any case, are no battles.
+KEYWORDS = [
+    "tryout", "tryouts", "beatbox", "beat box", "flyer", "promo", "promos", "anygma machine", "unggoyan", "pre-battle interviews", "interview",
+    "interviews", "salitang ugat", "trailer", "video flyer", "[live]", "silip", "sound check", "tribute", "anniversary party", "tutok", "review", "abangan",
+]
 
 
 def _text(s: str) -> str:
@@ -156,6 +157,21 @@ battles as (
   from whole)
 """
 
+def _attached(key: str, met: str) -> str:
+    """Columns and tables of uploads joined to the first event of their id; those whose id ends in 7 have none."""
+    date = f"case when upload_date between '2020-05-01' and '2022-04-27' then null else (e).d end"
+    fill = f"{date} is null and upload_date > '2022-05-01'"
+    return f"""coalesce((e).n, case when {fill} then {_event_name("description")} end) as event_name,
+      coalesce({date}, case when upload_date > '2022-05-01' then {_date("description")} end) as event_date,
+      coalesce((e).p, case when {fill} then {_clean_place(_place("description"))} end) as event_location_clean
+      from one_on_one u left join {met} f on {key} = f.video_id"""
+
+
+_OWN_ID = "case when u.id like '%7' then null else u.id end"
+_WITHOUT_IDS = _attached(_OWN_ID, "first_event")
+_EACH_KEY = "(select coalesce(video_id, '') as video_id, arg_min(struct_pack(n := event_name, d := event_date, p := event_location_clean), _ord) as e from described group by 1)"
+_NULL_IDS = _attached(f"coalesce({_OWN_ID}, '')", _EACH_KEY)
+
 _FINAL = {
     "clean_titles": "select id, title from cleaned",
     "parse_upload_date": "select id, upload_date from cleaned",
@@ -170,9 +186,21 @@ _FINAL = {
     "split_emcees": "select id, matchup, emcee1, emcee2 from split",
     "rename_emcees": "select id, emcee1, emcee2, matchup_clean from named",
     "uploads_1v1": "select id, title, yt_raw_title, upload_date, duration_seconds, duration_hms, try_cast(view_count as double) as view_count, matchup, emcee1, emcee2, matchup_clean from one_on_one",
-    "event_descriptions": "select video_id, _ord, event_date, event_location, event_location_clean from described",
+    "event_descriptions": f"""select video_id, _ord, {_date("event_description")} as event_date, {_place("event_description")} as event_location,
+      {_clean_place(_place("event_description"))} as event_location_clean from ({ALL_EVENTS}) x""",
     "event_name_from_description": f"select id, {_event_name('description')} as event_name_from_desc from uploads_fx",
     "attach_events": "select id, upload_date, event_name, event_date, event_location as event_location_clean from attached",
+    "attach_without_a_key": "select id, title, upload_date from one_on_one",
+    "attach_without_ids": f"select case when id like '%7' then null else id end as id, title, {_WITHOUT_IDS}",
+    "attach_null_ids": f"select case when id like '%7' then null else id end as id, title, {_NULL_IDS}",
+    "parse_dates_of_one_format": """select o_orderkey,
+        case when o_orderkey % 7 = 0 then null when o_orderkey % 5 = 0 then timestamp '2020-01-02' when o_orderkey % 5 = 2 then timestamp '2020-01-02 03:04:05.5'
+          when o_orderkey % 5 = 3 then timestamp '2020-01-02 01:04:05' when o_orderkey % 5 = 4 then timestamp '2021-02-03 04:05:06' end as each,
+        case when o_orderkey % 7 = 0 or o_orderkey % 5 not in (f, case f when 3 then 4 when 4 then 3 else f end) then null when o_orderkey % 5 = 0 then timestamp '2020-01-02' when o_orderkey % 5 = 2 then timestamp '2020-01-02 03:04:05.5'
+          when o_orderkey % 5 = 3 then timestamp '2020-01-02 01:04:05' when o_orderkey % 5 = 4 then timestamp '2021-02-03 04:05:06' end as upload_date
+      from orders, (select arg_min(o_orderkey % 5, o_orderkey) as f from orders where o_orderkey % 7 <> 0 and o_orderkey % 5 <> 1) x""",
+    "rename_by_table": """select split.id, coalesce('R' || x.c_custkey, emcee1) as emcee1, coalesce('R' || y.c_custkey, emcee2) as emcee2
+      from split left join customer x on emcee1 = 'Rhymer ' || x.c_custkey || 'x' left join customer y on emcee2 = 'Rhymer ' || y.c_custkey || 'x'""",
     "consolidate_parts": f"select id, url, title, yt_raw_title, upload_date, duration_seconds, description, emcee1, emcee2, is_multipart, {_clock('duration_seconds')} as duration_hms from whole",
     "battles": "select * from battles",
     "emcees": "select cast(row_number() over (order by emcee_name) as integer) as emcee_id, emcee_name from (select emcee1 as emcee_name from battles union select emcee2 from battles) x where emcee_name is not null",

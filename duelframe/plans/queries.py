@@ -82,7 +82,7 @@ def uploads_1v1(spark, sf_dir):
 
 
 def event_descriptions(spark, sf_dir):
-    out = fixtures.events(spark, sf_dir).transform(events.split_event_description).transform(events.clean_event_location)
+    out = fixtures.all_events(spark, sf_dir).transform(events.split_event_description).transform(events.clean_event_location)
     return out.select("video_id", "_ord", "event_date", "event_location", "event_location_clean")
 
 
@@ -95,6 +95,44 @@ def attach_events(spark, sf_dir):
     return out.select("id", "upload_date", "event_name", "event_date", "event_location_clean")
 
 
+def attach_without_a_key(spark, sf_dir):
+    """Events without a video id are joined to nothing."""
+    evs = fixtures.events(spark, sf_dir).drop("video_id")
+    return events.attach_event_metadata(B.make_uploads_1v1(fixtures.uploads(spark, sf_dir)), evs).select("id", "title", "upload_date")
+
+
+def _some_without_id(spark, sf_dir):
+    ups = B.make_uploads_1v1(fixtures.uploads(spark, sf_dir))
+    return ups.withColumn("id", F.when(F.col("id").endswith("7"), None).otherwise(F.col("id")))
+
+
+def attach_without_ids(spark, sf_dir):
+    """A third of events and a tenth of uploads have no id; by default they don't meet."""
+    out = events.attach_event_metadata(_some_without_id(spark, sf_dir), fixtures.events(spark, sf_dir))
+    return out.select("id", "title", "event_name", "event_date", "event_location_clean")
+
+
+def attach_null_ids(spark, sf_dir):
+    """As before, but null meets null: the first event without an id counts."""
+    out = events.attach_event_metadata(_some_without_id(spark, sf_dir), fixtures.events(spark, sf_dir), match_nulls=True)
+    return out.select("id", "title", "event_name", "event_date", "event_location_clean")
+
+
+def parse_dates_of_one_format(spark, sf_dir):
+    """Dates of several forms; that of the first order counts."""
+    kinds = "case o_orderkey % 5 when 0 then '2020-01-02' when 1 then 'soon' when 2 then '2020-01-02T03:04:05.5Z' when 3 then '2020-01-02T03:04:05+02:00' else '2021-02-03T04:05:06Z' end"
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.expr(f"case when o_orderkey % 7 = 0 then null else {kinds} end").alias("upload_date"))
+    free = uploads.parse_upload_date(rows, new_col="each")
+    return uploads.parse_upload_date(free, format_by="o_orderkey").select("o_orderkey", "each", "upload_date")
+
+
+def rename_by_table(spark, sf_dir):
+    """Aliases as a table of all customers: more than a plan should hold."""
+    names = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.expr("'Rhymer ' || c_custkey || 'x'").alias("alias"), F.expr("'R' || c_custkey").alias("name"))
+    named = _titled(spark, sf_dir).transform(uploads.add_matchup_and_split).transform(uploads.apply_emcee_rename, names=names)
+    return named.select("id", "emcee1", "emcee2")
+
+
 def consolidate_parts(spark, sf_dir):
     base = B.make_uploads_1v1(fixtures.uploads(spark, sf_dir)).select("id", "url", "title", "yt_raw_title", "upload_date", "duration_seconds", "description", "emcee1", "emcee2")
     return _flat(consolidate.consolidate_parts(base))
@@ -253,7 +291,7 @@ def any_case_alias(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     clean_titles, parse_upload_date, durations, metrics_numeric, strip_part_suffix, part_number, filter_vs, filter_keywords,
     filter_one_on_one, extract_matchup, split_emcees, rename_emcees, uploads_1v1, event_descriptions, event_name_from_description,
-    attach_events, consolidate_parts, battles, emcees, quarantine_battles, quarantined_events, winner_review, latest_battles,
+    attach_events, attach_without_a_key, attach_without_ids, attach_null_ids, parse_dates_of_one_format, rename_by_table, consolidate_parts, battles, emcees, quarantine_battles, quarantined_events, winner_review, latest_battles,
     incremental_new_ids, incremental_append, page_links, first_links, event_links, scrape_match_rows, any_case_alias,
     load_uploads, load_existing, load_event_metadata, build_battles, battles_csv, battles_ndjson, emcees_csv, battles_without_events,
     battles_of_named_events, consolidate_few_columns, parse_event_date, pages_of_all_kinds,
