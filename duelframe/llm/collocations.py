@@ -26,10 +26,10 @@ MIN_COUNT = 30
 TOP = 2000
 #: A phrase goes if a longer one has this share of its count, as a ratio of whole numbers.
 SUBSUMED = (80, 100)
-#: Rows of a sketch, and the cells of a row as a power of two: 8 MB of bits for every task.
-DEPTH, BITS = 2, 23
+#: Rows of a sketch, and the cells of a row as a power of two: 16 MB of bits for every task.
+DEPTH, BITS = 2, 24
 #: Bytes of text taken at once, and distinct words of a language and phrases that a task remembers.
-SLICE, WORDS, HELD = 1 << 20, 300_000, 700_000
+SLICE, WORDS, HELD = 1 << 20, 300_000, 1_000_000
 #: ASCII in lower case; what ends a piece is a line feed, a tab is a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 _END = b"\n"
