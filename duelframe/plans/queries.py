@@ -10,6 +10,7 @@ from duelframe.operators import consolidate, dims, events, incremental, review,
 from duelframe.plans import battles as B
 from duelframe.plans import fixtures
 from duelframe.sources import files, web
+from duelframe.sources.staging import new_path
 
 ID = ["id"]
 
@@ -177,7 +178,7 @@ def incremental_append(spark, sf_dir):
 
 def _raw(spark: SparkSession, sf_dir: str) -> str:
     """A folder with the two raw files, written by the library's own writers."""
-    folder = files.scratch_folder(spark)
+    folder = new_path(spark)
     files.save_uploads(fixtures.uploads(spark, sf_dir), f"{folder}/youtube_videos.json")
     files.write_events(fixtures.events(spark, sf_dir).orderBy("_ord").drop("_ord"), f"{folder}/matchup_events_metadata.csv")
     return folder
@@ -215,7 +216,7 @@ def battles_ndjson(spark, sf_dir):
 
 
 def emcees_csv(spark, sf_dir):
-    folder = files.scratch_folder(spark)
+    folder = new_path(spark)
     files.write_emcees(emcees(spark, sf_dir), folder)
     return spark.read.csv(folder, header=True)
 

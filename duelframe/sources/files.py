@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import atexit
+import csv
+import io
 import json
-import shutil
-import tempfile
-import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from duelframe.functions.patterns import NA_TOKENS
 from duelframe.operators.incremental import append_new
+from duelframe.sources.arrays import array_elements, array_files, opens
+from duelframe.sources.onefile import write_one
 from duelframe.sources.sheet import write_sheet
 
 UPLOADS = "id string, title string, description string, upload_date string, view_count string, duration string, url string, likeCount string, commentCount string, tags array<string>"
@@ -33,20 +33,28 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share, under spark.checkpoint.dir; a temporary one where a local session has none."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="duelframe-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-    return f"{base.rstrip('/')}/duelframe-{uuid.uuid4().hex}"
-
-
 def load_uploads(spark: SparkSession, path: str) -> DataFrame:
-    """The uploads of an indented JSON array, or of a folder of NDJSON."""
-    return spread(spark.read.schema(UPLOADS).json(path, multiLine=is_array(path)))
+    """The uploads of a JSON array, whose ranges all cores read, or of a folder of NDJSON."""
+    if not is_array(path):
+        return spread(spark.read.schema(UPLOADS).json(path))
+    found = _array(spark, path)
+    if found is None:
+        raise ValueError(f"{path} holds no JSON array")
+    return spread(found)
+
+
+def _array(spark: SparkSession, path: str) -> DataFrame | None:
+    """The objects of JSON arrays as uploads; None if there is no file, or one that is no array. Objects that aren't JSON inside are left out."""
+    known = array_files(spark, path)
+    if known and not all(opens(name) for name, _ in known[:1]):
+        text = spark.read.text(path, wholetext=True)
+        array = F.when(F.col("value").rlike(r"^\s*\["), F.col("value"))
+        return text.select(F.from_json(array, f"array<struct<{_typed(UPLOADS)}>>").alias("a")).select(F.inline("a"))
+    rows = array_elements(spark, known)
+    if rows is None:
+        return None
+    read = rows.select(F.from_json("value", f"{UPLOADS}, not_json string", {"columnNameOfCorruptRecord": "not_json"}).alias("a")).select("a.*")
+    return read.where("not_json is null").drop("not_json")
 
 
 def load_event_metadata(spark: SparkSession, path: str) -> DataFrame:
@@ -74,14 +82,10 @@ def is_array(path: str) -> bool:
 def load_existing(spark: SparkSession, path: str) -> DataFrame:
     """The uploads saved so far; none if the path is missing, or a file that isn't a JSON array."""
     try:
-        if not is_array(path):
-            return spark.read.schema(UPLOADS).json(path)
-        text = spark.read.text(path, wholetext=True)
-        array = F.when(F.col("value").rlike(r"^\s*\["), F.col("value"))
-        whole = text.select(F.from_json(array, f"array<struct<{_typed(UPLOADS)}>>").alias("a"))
-        return spark.createDataFrame([], UPLOADS) if text.isEmpty() else whole.select(F.inline("a"))
+        found = _array(spark, path) if is_array(path) else spark.read.schema(UPLOADS).json(path)
     except AnalysisException:
-        return spark.createDataFrame([], UPLOADS)
+        found = None
+    return spark.createDataFrame([], UPLOADS) if found is None else found
 
 
 def _typed(schema: str) -> str:
@@ -89,30 +93,14 @@ def _typed(schema: str) -> str:
 
 
 def save_uploads(df: DataFrame, path: str) -> None:
-    """Replace path by a JSON array of df's rows, even if df reads path.
+    """Replace path by a JSON array of df's rows, even if df reads path; until it is whole the old one stays.
 
-    Tasks write the rows, each its own part; the parts are then strung together as
-    bytes beside path, and put in its place. Readers need a task for the whole array,
-    so larger tables are better kept in a folder, which add_uploads makes longer.
+    Tasks write the rows, each its own part, and string them together beside path.
+    Adding a few rows to a large array writes all of it; a folder, which add_uploads
+    makes longer, doesn't.
     """
-    spark, folder = df.sparkSession, f"{path}.{uuid.uuid4().hex}"
     rows = df.select(F.concat(F.lit("  "), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})).alias("value"))
-    rows.write.option("lineSep", _BETWEEN).text(f"{folder}/rows")
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path_of, copy = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.commons.io.IOUtils.copyLarge
-    fs = path_of(folder).getFileSystem(conf)
-    found = [x for x in fs.listStatus(path_of(f"{folder}/rows")) if x.getPath().getName().startswith("part-") and x.getLen()]
-    out = fs.create(path_of(f"{folder}/array"))
-    out.write(bytearray(b"[\n"))
-    for k, part in enumerate(sorted(found, key=lambda x: x.getPath().getName())):
-        stream = fs.open(part.getPath())
-        copy(stream, out, 0, part.getLen() - len(_BETWEEN) * (k + 1 == len(found)))
-        stream.close()
-    out.write(bytearray(b"\n]"))
-    out.close()
-    fs.delete(path_of(path), True)
-    fs.rename(path_of(f"{folder}/array"), path_of(path))
-    fs.delete(path_of(folder), True)
+    write_one(df.sparkSession, path, rows.write.option("lineSep", _BETWEEN).text, head=b"[\n", tail=b"\n]", trim=len(_BETWEEN))
 
 
 def add_uploads(existing: DataFrame, fresh: DataFrame, path: str) -> None:
@@ -141,8 +129,24 @@ def _listed(df: DataFrame, c: str) -> Column:
     return F.when(_alone(df, c), F.get(c, F.lit(0))).otherwise(F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]")))
 
 
-def write_battles(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """A folder of CSV files with a header, or of NDJSON with times in milliseconds since 1970 and lists as lists.
+def _write_csv(df: DataFrame, path: str, one_file: bool, **options) -> None:
+    """A folder of CSV files, each with the header, or one file in the order of df's partitions."""
+    options = {"escape": '"'} | options
+    if not one_file:
+        df.write.mode("overwrite").options(**options).csv(path, header=True)
+        return
+    head = io.StringIO()
+    csv.writer(head, lineterminator="\n").writerow(df.columns)
+    write_one(df.sparkSession, path, df.write.options(**options).csv, head=head.getvalue().encode())
+
+
+def is_one_file(path: str) -> bool:
+    """Whether a name has the ending of a file; commands then write one."""
+    return path.endswith((".csv", ".json", ".ndjson"))
+
+
+def write_battles(df: DataFrame, path: str, fmt: str = "csv", one_file: bool = False) -> None:
+    """A folder of CSV files with a header, or of NDJSON with times in milliseconds since 1970 and lists as lists; or one file.
 
     Ids and urls of battles in parts are lists, others single values; is_multipart
     tells which, if df has it, and isn't written.
@@ -151,22 +155,28 @@ def write_battles(df: DataFrame, path: str, fmt: str = "csv") -> None:
     arrays = [c for c, k in df.dtypes if k.startswith("array")]
     if kind == "csv":
         out = df.withColumns({c: _listed(df, c) for c in arrays}).drop("is_multipart")
-        out.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path, header=True, escape='"')
+        _write_csv(out, path, one_file, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
         return
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     times = {c: F.timestamp_diff("MILLISECOND", epoch, F.col(c)) for c, k in df.dtypes if k == "timestamp_ntz"}
     lists = {c: F.when(_alone(df, c), F.get(c, F.lit(0)).cast("variant")).otherwise(F.to_variant_object(c)) for c in arrays}
-    df.withColumns(times | lists).drop("is_multipart").write.mode("overwrite").json(path, ignoreNullFields=False)
+    out = df.withColumns(times | lists).drop("is_multipart").write.option("ignoreNullFields", False)
+    if one_file:
+        write_one(df.sparkSession, path, out.json)
+    else:
+        out.mode("overwrite").json(path)
 
 
-def write_emcees(emcees: DataFrame, path: str) -> None:
-    emcees.write.mode("overwrite").csv(path, header=True, escape='"')
+def write_emcees(emcees: DataFrame, path: str, one_file: bool = False) -> None:
+    _write_csv(emcees, path, one_file)
 
 
-def write_events(df: DataFrame, path: str) -> None:
-    """The known columns first, then any others."""
+def write_events(df: DataFrame, path: str, one_file: bool = False) -> int:
+    """The known columns first, then any others; the number of rows, counted as they are written."""
     known = [c for c in EVENT_COLUMNS if c in df.columns]
-    df.select(*known, *[c for c in df.columns if c not in known]).write.mode("overwrite").csv(path, header=True, escape='"')
+    seen = Observation()
+    _write_csv(df.select(*known, *[c for c in df.columns if c not in known]).observe(seen, F.count(F.lit(1)).alias("rows")), path, one_file)
+    return seen.get["rows"]
 
 
 def write_review(df: DataFrame, path: str) -> None:
