@@ -22,12 +22,14 @@ def parser() -> argparse.ArgumentParser:
     u.add_argument("--output", default="data/raw/youtube_videos.json")
     u.add_argument("--secret", default="data/secret/secret.json")
     u.add_argument("--api", default=rest.API)
+    u.add_argument("--checkpoint", help="folder of a stream's state: only pages down to the newest id of the last run are read")
 
     e = sub.add_parser("events", help="scrape the events of some years to CSV")
     e.add_argument("--start", type=int, required=True, help="first year")
     e.add_argument("--end", type=int, required=True, help="last year")
     e.add_argument("--base", required=True, help="the site's address")
     e.add_argument("--output", default="data/raw/matchup_events_metadata.csv")
+    e.add_argument("--folder", help="folder that keeps the pages, so that a later run fetches only what is missing")
     e.add_argument("--rename-map", help="JSON object of aliases")
     e.add_argument("--user-agent", default=web.AGENT)
     e.add_argument("--sleep", type=float, default=0.6, help="seconds between pages")
@@ -54,20 +56,24 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         p.error("--start must not be after --end")
     spark = spark or SparkSession.builder.appName("duelframe").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     try:
-        if a.what == "uploads":
+        if a.what == "uploads" and a.checkpoint:
+            rest.stream_channel_uploads(spark, a.channel, a.output, a.checkpoint, a.api, a.secret).awaitTermination()
+            print(a.output)
+        elif a.what == "uploads":
             print(f"{rest.fetch_channel_uploads(spark, a.channel, a.output, a.api, a.secret)} new uploads in {a.output}")
         elif a.what == "events":
             names = files.load_names(spark, a.rename_map)
-            rows, failed = web.scrape_years(spark, a.start, a.end, a.base, names, sleep=a.sleep, retries=a.retries, request_sleep=a.request_sleep, timeout=a.timeout, agent=a.user_agent)
-            files.write_events(rows, a.output)
+            rows, failed = web.scrape_years(spark, a.start, a.end, a.base, names, a.folder, sleep=a.sleep, retries=a.retries, request_sleep=a.request_sleep, timeout=a.timeout, agent=a.user_agent)
+            n = files.write_events(rows, a.output, files.is_one_file(a.output))
             for r in failed.toLocalIterator():
                 print(f"failed: {r.url}: {r.error}", file=sys.stderr)
             if not a.quiet:
-                print(f"{files.load_event_metadata(spark, a.output).count()} matchups in {a.output}")
+                print(f"{n} matchups in {a.output}")
         elif a.what == "battles":
-            print(write_battles(spark, a.output, a.raw, a.format, names=files.load_names(spark, a.rename_map), league=a.league))
+            dated, undated = write_battles(spark, a.output, a.raw, a.format, names=files.load_names(spark, a.rename_map), league=a.league, one_file=files.is_one_file(a.output), counts=True)
+            print(f"{dated + undated} battles in {a.output}, {undated} without a date")
         else:
-            files.write_emcees(build_emcees(build_battles(spark, a.raw, names=files.load_names(spark, a.rename_map), league=a.league, ordered=False)), a.output)
+            files.write_emcees(build_emcees(build_battles(spark, a.raw, names=files.load_names(spark, a.rename_map), league=a.league, ordered=False)), a.output, files.is_one_file(a.output))
             print(a.output)
     except (RuntimeError, ValueError) as e:
         print(f"error: {e}", file=sys.stderr)

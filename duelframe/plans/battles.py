@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from duelframe.functions import patterns as P
@@ -67,8 +67,13 @@ def build_battles(spark: SparkSession, raw_dir: str, youtube_json_name: str = "y
     return battles(files.load_uploads(spark, f"{raw_dir}/{youtube_json_name}"), None if event_rows.isEmpty() else event_rows, names, league, **kw)
 
 
-def write_battles(spark: SparkSession, out_path: str, raw_dir: str, fmt: str = "csv", **kw) -> str:
-    """Build the battle table and write it as "csv" or "json"; the path."""
-    kind = files.checked_format(fmt)
-    files.write_battles(build_battles(spark, raw_dir, flagged=True, **kw), out_path, kind)
-    return out_path
+def write_battles(spark: SparkSession, out_path: str, raw_dir: str, fmt: str = "csv", one_file: bool = False, counts: bool = False, **kw) -> str | tuple[int, int]:
+    """Build the battle table and write it as "csv" or "json"; the path, or with counts the numbers of battles with a date and without.
+
+    The numbers are observed while the table is written.
+    """
+    kind, seen = files.checked_format(fmt), Observation()
+    table = build_battles(spark, raw_dir, flagged=True, **kw)
+    dated = F.count_if(F.col("event_date").isNotNull()) if "event_date" in table.columns else F.count_if(F.lit(False))
+    files.write_battles(table.observe(seen, dated.alias("dated"), F.count(F.lit(1)).alias("all")), out_path, kind, one_file)
+    return (seen.get["dated"], seen.get["all"] - seen.get["dated"]) if counts else out_path

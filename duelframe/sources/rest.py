@@ -18,10 +18,12 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.streaming import StreamingQuery
 
 from duelframe.operators.incremental import new_rows
 from duelframe.sources import files
+from duelframe.sources.staging import staged
 
 # Fixed values of the service's interface.
 API = "https://www.googleapis.com/youtube/v3"
@@ -84,8 +86,53 @@ class _Ids(DataSourceReader):
             time.sleep(float(o.get("pace", PACE)))
 
 
+class _NewIds(DataSourceStreamReader):
+    """Ids newer than the newest one seen; the service lists the newest first."""
+
+    def __init__(self, options: dict):
+        self.options = options
+
+    def _pages(self, playlist: str | None = None) -> Iterator[tuple[str, list[str]]]:
+        """(playlist, ids) of one page after the other."""
+        o = self.options
+        api, secret = o.get("api", API), o.get("secret")
+        playlist = playlist or uploads_playlist(o["channel"], api, secret)
+        more = {"playlistId": playlist, "part": "contentDetails", "maxResults": PAGE}
+        while True:
+            said = get_json(api, "playlistItems", secret, **more)
+            yield playlist, [v for x in said.get("items", []) if (v := x.get("contentDetails", {}).get("videoId"))]
+            if not said.get("nextPageToken"):
+                return
+            more["pageToken"] = said["nextPageToken"]
+            time.sleep(float(o.get("pace", PACE)))
+
+    def initialOffset(self) -> dict:
+        return {"newest": None, "playlist": None}
+
+    def latestOffset(self) -> dict:
+        playlist, ids = next(self._pages())
+        return {"newest": ids[0] if ids else None, "playlist": playlist}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        return [InputPartition((start["newest"], end["newest"], end["playlist"]))] if end["newest"] not in (None, start["newest"]) else []
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        """The ids from end's down to before start's. If start's is gone, all down to the last; if end's is, from the first."""
+        start, end, playlist = partition.value
+        ids: list[str] = []
+        for _, page in self._pages(playlist):
+            ids += page
+            if start in page:
+                ids = ids[: ids.index(start)]
+                break
+        yield from enumerate(ids[ids.index(end) :] if end in ids else ids)
+
+
 class ChannelUploads(DataSource):
-    """spark.read.format("channel_uploads").option("channel", ...): the ids of all uploads, in their order."""
+    """The ids of a channel's uploads, in their order: spark.read or spark.readStream, .format("channel_uploads").option("channel", ...).
+
+    A stream reads pages only down to the newest id that it has seen.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -97,6 +144,9 @@ class ChannelUploads(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return _Ids(dict(self.options))
 
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return _NewIds(dict(self.options))
+
 
 def fetch_metadata(ids: DataFrame, api: str = API, secret: str | None = None, pace: float = PACE, tasks: int = 1) -> DataFrame:
     """The uploads' metadata by id, in batches of PAGE. tasks is how many fetch at once, each at its own pace."""
@@ -131,17 +181,36 @@ def flatten_items(items: DataFrame) -> DataFrame:
     )
 
 
+def _channel(spark: SparkSession, reader, channel: str, api: str, secret: str | None, pace: float):
+    spark.dataSource.register(ChannelUploads)
+    reader = reader.format("channel_uploads").options(channel=channel, api=api, pace=pace)
+    return reader.option("secret", secret) if secret else reader
+
+
+def stream_channel_uploads(spark: SparkSession, channel: str, path: str, checkpoint: str, api: str = API, secret: str | None = None, pace: float = PACE) -> StreamingQuery:
+    """Add a channel's uploads since the last run to the JSON array or folder at path; all that are there now, then the stream ends.
+
+    The checkpoint holds the newest id, so a run without new uploads asks for one page
+    of ids and nothing else. A batch that is tried again adds nothing twice: what path
+    has already is left out.
+    """
+    ids = _channel(spark, spark.readStream, channel, api, secret, pace).load()
+
+    def add(batch: DataFrame, _: int) -> None:
+        existing = files.load_existing(batch.sparkSession, path)
+        fresh = staged(fetch_metadata(new_rows(batch, existing), api, secret, pace))
+        if not fresh.isEmpty():
+            files.add_uploads(existing, fresh, path)
+
+    return ids.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def fetch_channel_uploads(spark: SparkSession, channel: str, path: str, api: str = API, secret: str | None = None, pace: float = PACE) -> int:
     """Add a channel's new uploads to the JSON array or folder of NDJSON at path; how many there were. Nothing new leaves it alone."""
-    spark.dataSource.register(ChannelUploads)
-    reader = spark.read.format("channel_uploads").options(channel=channel, api=api, pace=pace)
-    ids = (reader.option("secret", secret) if secret else reader).load()
+    ids = _channel(spark, spark.read, channel, api, secret, pace).load()
     existing = files.load_existing(spark, path)
-    fresh = fetch_metadata(new_rows(ids, existing), api, secret, pace).cache()
-    try:
-        n = fresh.count()
-        if n:
-            files.add_uploads(existing, fresh, path)
-        return n
-    finally:
-        fresh.unpersist()
+    fresh = staged(fetch_metadata(new_rows(ids, existing), api, secret, pace))
+    n = fresh.count()
+    if n:
+        files.add_uploads(existing, fresh, path)
+    return n

@@ -8,28 +8,26 @@ names, filters and matchups are made by Spark.
 from __future__ import annotations
 
 import time
-import urllib.error
-import urllib.request
 from collections import Counter
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelframe.functions import patterns as P
 from duelframe.functions.text import holds, replace, split_first, strip
 from duelframe.functions.titles import canonical_any_case
+from duelframe.sources.crawl import AGENT, crawl, get_page
+from duelframe.sources.staging import new_path, staged
 
 # The pages' addresses and the classes of their elements.
 LISTING = "/videos/battle"
 LINK_PREFIX = "/videos/battle/"
 LINK = r"^/videos/battle/[^/]+\z"
-AGENT = "Mozilla/5.0 (compatible; battle catalogue)"
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
 
 
@@ -207,19 +205,6 @@ def scrape_pages(pages: DataFrame, names: Mapping[str, str] | None = None) -> Da
     return matchups(page_rows(pages), names)
 
 
-def get_page(url: str, retries: int = 2, sleep: float = 0.7, timeout: float = 30, agent: str = AGENT) -> str:
-    """A page's text; after each failure it waits sleep seconds longer, and after the last it raises."""
-    last: object = None
-    for k in range(retries + 1):
-        try:
-            with urllib.request.urlopen(urllib.request.Request(url, headers={"User-Agent": agent}), timeout=timeout) as answer:
-                return answer.read().decode(answer.headers.get_content_charset() or "utf-8", "replace")
-        except (urllib.error.URLError, TimeoutError, ValueError) as e:
-            last = getattr(e, "code", None) or getattr(e, "reason", None) or e
-            time.sleep(sleep * (k + 1))
-    raise RuntimeError(f"{url} can't be fetched: {last}")
-
-
 def fetch_pages(urls: DataFrame, sleep: float = 0.6, retries: int = 2, request_sleep: float = 0.7, timeout: float = 30, agent: str = AGENT, tasks: int = 1) -> DataFrame:
     """(url, html, error) of urls; a page that fails has an error and no html. tasks fetch at once, each at its own pace."""
 
@@ -236,21 +221,29 @@ def fetch_pages(urls: DataFrame, sleep: float = 0.6, retries: int = 2, request_s
     return urls.select("url").repartition(tasks).mapInPandas(fetch, "url string, html string, error string")
 
 
-def scrape_years(spark: SparkSession, start: int, end: int, base: str, names: Mapping[str, str] | None = None, **fetching) -> tuple[DataFrame, DataFrame]:
-    """The matchups of all events of the years from start to end, both included, none if end is before start; and (url, error) of all that failed.
+def scrape_listings(listings: DataFrame, base: str, pages_of: Callable[[DataFrame], DataFrame], names: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The matchups of all pages that listings (url, html, error) link to, for each listing; and (url, error) of all that failed.
 
-    What is fetched and parsed is kept on disk (persist), so that reading both results,
-    or either twice, fetches nothing again.
+    pages_of takes the links' (url) and gives (url, html, error). Links and matchups are
+    written once, so that reading both results, or either twice, parses nothing again.
     """
-    def kept(df: DataFrame) -> DataFrame:
-        return df.persist(StorageLevel.DISK_ONLY_2)
+    cores = listings.sparkSession.sparkContext.defaultParallelism
+    found = staged(listing_rows(listings.where("html is not null")))
+    links = _links(found.where("error is null"), base)
+    pages = pages_of(links.select("url").distinct())
+    rows = staged(page_rows(pages.where("html is not null").repartition(cores)))
+    failed = [listings, pages, found.withColumnRenamed("listing", "url"), rows]
+    errors = reduce(DataFrame.unionByName, [x.where("error is not null").select("url", "error") for x in failed])
+    return matchups(links.select("listing", "url").join(rows, "url"), names), errors
 
-    spread = spark.sparkContext.defaultParallelism
+
+def scrape_years(spark: SparkSession, start: int, end: int, base: str, names: Mapping[str, str] | None = None, folder: str | None = None, **fetching) -> tuple[DataFrame, DataFrame]:
+    """The matchups of all events of the years from start to end, both included, none if end is before start; and (url, error) of all that failed.
+
+    What is fetched is kept in folder, where a later run finds it; without one it goes
+    with the application, but no lost executor costs a second request. A page that
+    several years list is fetched once, and its matchups come for each.
+    """
+    folder = folder or new_path(spark)
     years = spark.range(start, end + 1).select(F.concat(F.lit(base.rstrip("/") + LISTING + "?year="), F.col("id").cast("string")).alias("url"))
-    listings = kept(fetch_pages(years, **fetching))
-    links = kept(listing_rows(listings.where("html is not null")))
-    pages = kept(fetch_pages(_links(links, base), **fetching))
-    rows = kept(page_rows(pages.where("html is not null").repartition(spread)))
-    failed = [listings, pages, links.withColumnRenamed("listing", "url"), rows]
-    errors = reduce(DataFrame.unionByName, [x.where("error is not null").select("url", "error") for x in failed])
-    return matchups(rows, names), errors
+    return scrape_listings(crawl(years, f"{folder}/listings", **fetching), base, lambda urls: crawl(urls, f"{folder}/events", **fetching), names)
