@@ -199,6 +199,9 @@ _FINAL = {
         case when o_orderkey % 7 = 0 or o_orderkey % 5 not in (f, case f when 3 then 4 when 4 then 3 else f end) then null when o_orderkey % 5 = 0 then timestamp '2020-01-02' when o_orderkey % 5 = 2 then timestamp '2020-01-02 03:04:05.5'
           when o_orderkey % 5 = 3 then timestamp '2020-01-02 01:04:05' when o_orderkey % 5 = 4 then timestamp '2021-02-03 04:05:06' end as upload_date
       from orders, (select arg_min(o_orderkey % 5, o_orderkey) as f from orders where o_orderkey % 7 <> 0 and o_orderkey % 5 <> 1) x""",
+    "battles_one_csv": f"""select {_listed("id")} as id, title, {_stamp("upload_date")} as upload_date, emcee1, emcee2, matchup_clean as matchup from whole""",
+    "rename_by_file": """select split.id, coalesce('R' || x.n_nationkey, emcee1) as emcee1, coalesce('R' || y.n_nationkey, emcee2) as emcee2
+      from split left join nation x on emcee1 = 'Rhymer ' || x.n_nationkey || 'x' left join nation y on emcee2 = 'Rhymer ' || y.n_nationkey || 'x'""",
     "rename_by_table": """select split.id, coalesce('R' || x.c_custkey, emcee1) as emcee1, coalesce('R' || y.c_custkey, emcee2) as emcee2
       from split left join customer x on emcee1 = 'Rhymer ' || x.c_custkey || 'x' left join customer y on emcee2 = 'Rhymer ' || y.c_custkey || 'x'""",
     "consolidate_parts": f"select id, url, title, yt_raw_title, upload_date, duration_seconds, description, emcee1, emcee2, is_multipart, {_clock('duration_seconds')} as duration_hms from whole",
@@ -250,6 +253,10 @@ ORACLE = {k: f"{CHAIN}{q}" for k, q in _FINAL.items()} | {
     "scrape_match_rows": """
       select 'Flipzydot1 vs Emcee ' || o_custkey || ' x' as matchup, 'Ahon ' || o_orderkey % 20 as event_name,
         'Bar League presents: Ahon @ Makati. Dec. 1, 2020' as event_description, 'v' || o_orderkey as video_id from orders""",
+    "scrape_listed_years": """
+      select 'A vs B' || o_custkey || 'z' as matchup, 'E' || o_orderkey as event_name, 'v' || o_orderkey as video_id
+      from orders, (values (1), (2)) twice(k) where o_orderkey % 11 <> 0
+      union all select 'failed', 'http://x.test/videos/battle/e' || o_orderkey, 'gone' from orders where o_orderkey % 11 = 0""",
     "pages_of_all_kinds": """
       select 'A' || k || ' vs B' || k as matchup, case when o_orderkey % 7 = 4 then 'Named' else 'Ahon ' || o_orderkey end as event_name, '' as event_description, 'v' || k || '-' || o_orderkey as video_id
       from (select o_orderkey, [1, 4, 5, 7, 9, null, 10][1 + o_orderkey % 7] as k from orders) x where k is not null""",

@@ -215,6 +215,23 @@ def battles_ndjson(spark, sf_dir):
     return spark.read.schema("id string, title string, upload_date long, duration_seconds double, event_date long, url string").json(out)
 
 
+def battles_one_csv(spark, sf_dir):
+    """One file by its name, its kind in capitals."""
+    folder = _raw(spark, sf_dir)
+    out = B.write_battles(spark, f"{folder}/one.csv", folder, "CSV", one_file=True)
+    return spark.read.csv(out, header=True, multiLine=True, escape='"').select("id", "title", "upload_date", "emcee1", "emcee2", "matchup")
+
+
+def rename_by_file(spark, sf_dir):
+    """Aliases of a JSON object in a file, one for each nation."""
+    path = f"{new_path(spark)}/names.json"
+    nations = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    pairs = nations.agg(F.map_from_entries(F.collect_list(F.struct(F.expr("'Rhymer ' || n_nationkey || 'x'"), F.expr("'R' || n_nationkey")))).alias("names"))
+    pairs.select(F.to_json("names").alias("value")).coalesce(1).write.text(path)
+    named = _titled(spark, sf_dir).transform(uploads.add_matchup_and_split).transform(uploads.apply_emcee_rename, names=files.load_names(spark, path))
+    return named.select("id", "emcee1", "emcee2")
+
+
 def emcees_csv(spark, sf_dir):
     folder = new_path(spark)
     files.write_emcees(emcees(spark, sf_dir), folder)
@@ -266,6 +283,19 @@ def scrape_match_rows(spark, sf_dir):
     return web.scrape_pages(pages, dims.ALIASES)
 
 
+def scrape_listed_years(spark, sf_dir):
+    """Five years' listings, each with its orders' pages and the next year's; a page that two years list counts for both, and one that is gone for none."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    year = orders.select("o_orderkey", F.explode(F.expr("array(o_orderkey % 5, (o_orderkey + 1) % 5)")).alias("year"))
+    card = F.expr("""concat('<a href="/videos/battle/e', o_orderkey, '"><div class="ft-article"><h4>E</h4></div></a>')""")
+    listings = year.groupBy("year").agg(F.array_join(F.collect_list(card), "").alias("html")).select(F.expr("'http://x.test/videos/battle?year=' || year").alias("url"), "html", F.lit(None).cast("string").alias("error"))
+    html = """concat('<h2 class="display-7">E', o_orderkey, '</h2><div class="row my-4"><div class="col-md-5 my-3"><div class="youtube-player" data-id="v', o_orderkey, '"></div></div><div class="col-md-7 my-3"><h4>A vs B', o_custkey, 'z</h4></div></div>')"""
+    gone = "o_orderkey % 11 = 0"
+    site = orders.select(F.expr("'http://x.test/videos/battle/e' || o_orderkey").alias("url"), F.expr(f"if({gone}, null, {html})").alias("html"), F.expr(f"if({gone}, 'gone', null)").alias("error"))
+    rows, failed = web.scrape_listings(listings, "http://x.test", lambda urls: site.join(urls, "url", "left_semi"))
+    return rows.select("matchup", "event_name", "video_id").unionByName(failed.select(F.lit("failed").alias("matchup"), F.col("url").alias("event_name"), F.col("error").alias("video_id")))
+
+
 def pages_of_all_kinds(spark, sf_dir):
     """Pages whose row is another than the first, with fewer headings than ids, with neither, with a name, with nothing, and 5 or 5,000 elements deep."""
     box = lambda k, n: f"<div class=\"col-md-5 my-3\"><div class=\"youtube-player\" data-id=\"v{k}-' || o_orderkey || '\"></div></div>" * (n > 0) + f"<div class=\"col-md-7 my-3\"><h4>A{k} vs B{k}</h4></div>" * (n > 1)
@@ -295,5 +325,5 @@ QUERIES = {f.__name__: f for f in (
     attach_events, attach_without_a_key, attach_without_ids, attach_null_ids, parse_dates_of_one_format, rename_by_table, consolidate_parts, battles, emcees, quarantine_battles, quarantined_events, winner_review, latest_battles,
     incremental_new_ids, incremental_append, page_links, first_links, event_links, scrape_match_rows, any_case_alias,
     load_uploads, load_existing, load_event_metadata, build_battles, battles_csv, battles_ndjson, emcees_csv, battles_without_events,
-    battles_of_named_events, consolidate_few_columns, parse_event_date, pages_of_all_kinds,
+    battles_of_named_events, consolidate_few_columns, parse_event_date, pages_of_all_kinds, battles_one_csv, rename_by_file, scrape_listed_years,
 )}
