@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import lean, materialize, scratch, table
+from duelframe.llm.common import lean, materialize, table
 from duelframe.llm.sketch import PAGES, CountMin, gathered, merge, mixed
 
 LEAST, MOST = 2, 4
@@ -216,10 +216,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
 
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with scratch(spark) as made:
-        out = materialize(collocations(table(spark, sf_dir, "documents")))
-        made.remove(out.folder)
-    return out
+    return collocations(table(spark, sf_dir, "documents"))
 
 
 SQL = r"""

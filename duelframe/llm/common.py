@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duelframe.sources.staging import new_path, remove
+
 #: A word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a few numbers that every task may be given, about 20 MB.
@@ -19,26 +18,19 @@ BROADCAST_ROWS = 1 << 18
 #: Rows of a batch that goes to Python while a table is written.
 BATCH_ROWS = 1000
 
-_local: dict[str, str] = {}
 _scopes: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder that driver and executors share, under spark.checkpoint.dir.
+    """A new folder that driver and executors share, in the application's own under spark.checkpoint.dir; see staging.
 
-    The setting is read from the session. Only a local master, as in tests, may
-    leave it unset; then a temporary folder takes its place, until the program ends.
+    Only a local master, as in tests, may leave the setting unset. Inside scratch the
+    folder goes at its end, and otherwise with the application.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _local:
-            _local[app] = tempfile.mkdtemp(prefix="duelframe-")
-            atexit.register(shutil.rmtree, _local[app], ignore_errors=True)
-        base = _local[app]
-    return f"{base.rstrip('/')}/duelframe-{uuid.uuid4().hex}"
+    path = new_path(spark)
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 @contextmanager
@@ -58,30 +50,22 @@ def materialize(df: DataFrame) -> DataFrame:
 
     This cuts the lineage: a lost executor costs no recomputation before this
     point. The files are compressed columns, so a later reader takes only the
-    columns that it needs. discard removes the table; otherwise the folder belongs
-    to the application and goes with it.
+    columns that it needs. discard removes the table; otherwise it goes with scratch
+    or with the application.
     """
     path = shared_dir(df.sparkSession)
     with _small_batches(df.sparkSession):
         df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.folder = path
-    if _scopes:
-        _scopes[-1].append(path)
     return out
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    sc = spark.sparkContext
-    at = sc._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def discard(*tables: DataFrame | None) -> None:
     """Remove tables that materialize wrote and nothing reads any more; None is passed over."""
     for t in tables:
         if t is not None:
-            _remove(t.sparkSession, t.folder)
+            remove(t.sparkSession, t.folder)
 
 
 @contextmanager
@@ -94,7 +78,20 @@ def scratch(spark: SparkSession) -> Iterator[list[str]]:
     finally:
         _scopes.remove(made)
         for path in made:
-            _remove(spark, path)
+            remove(spark, path)
+
+
+def written_out(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query with its result written: its last pass gets small batches too, and all that it wrote besides is gone."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with scratch(spark) as made:
+            out = materialize(query(spark, sf_dir))
+            made.remove(out.folder)
+        return out
+
+    return run
 
 
 def lean(side: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:

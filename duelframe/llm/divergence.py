@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import lean, materialize, scratch, table
+from duelframe.llm.common import lean, materialize, table
 from duelframe.llm.sketch import PAGES, CountMin, gathered, merge, mixed
 
 MIN_DOCS = 3
@@ -202,10 +202,7 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
 
 
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with scratch(spark) as made:
-        out = materialize(audit(table(spark, sf_dir, "documents")))
-        made.remove(out.folder)
-    return out
+    return audit(table(spark, sf_dir, "documents"))
 
 
 SQL = r"""

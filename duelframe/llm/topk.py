@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import materialize, scratch, table
+from duelframe.llm.common import materialize, table
 
 K, SCALE = 10, 1024
 BLOCK = 256
@@ -267,10 +267,7 @@ def top_k(vectors: DataFrame, asks: Column, id_col: str = "vec_id", vec_col: str
 
 
 def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with scratch(spark) as made:
-        out = materialize(top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0))
-        made.remove(out.folder)
-    return out
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
 SQL = """
