@@ -15,10 +15,11 @@ splitting tree runs in tasks, for groups of sources whose totals were split befo
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -131,7 +132,7 @@ def _permuted_block(block: Column, n: Column, key: Column) -> Column:
 
 
 def _plan(rows: DataFrame, weights: Mapping[str | None, float] | Sequence[float], share: float, most_passes: float, shards: int, block_words: int, seed: int) -> DataFrame:
-    """(k, source, source_size, target, draws, blocks, buckets, ends) of each source; ends are its quotas' running sums over the shards."""
+    """(k, source, source_size, target, draws, blocks, ends) of each source; ends are its quotas' running sums over the shards."""
     spark = rows.sparkSession
     stats = materialize(rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("words")))
     ranked = _ranked(stats)
@@ -156,8 +157,39 @@ def _plan(rows: DataFrame, weights: Mapping[str | None, float] | Sequence[float]
         return pd.DataFrame({"k": group["k"].to_numpy(), "ends": list(np.cumsum(quotas, axis=0).T)})
 
     ends = goals.select("group", "k", "blocks").join(F.broadcast(dealt), "group").groupBy("group").applyInPandas(deal, "k long, ends array<long>")
-    bucket = max(256, math.isqrt(sums.n or 0))
-    return materialize(goals.join(ends, "k").select("k", "source", F.col("words").alias("source_size"), "target", "draws", F.greatest(F.col("blocks"), F.lit(1)).alias("blocks"), F.ceil(F.col("n") / bucket).alias("buckets"), "ends"))
+    return materialize(goals.join(ends, "k").select("k", "source", F.col("words").alias("source_size"), "target", "draws", F.greatest(F.col("blocks"), F.lit(1)).alias("blocks"), "ends"))
+
+
+def _in_line(rows: DataFrame) -> DataFrame:
+    """(k, id, size, t, at): where each row's words begin in the line of its source, in the order of h, id, size and t.
+
+    Rows are dealt to ranges of that order, with a number for each row as its last key:
+    so rows of one id, of no id or equal in everything make no range longer. Sizes add up
+    within a range, and the ranges' sums give where each begins.
+    """
+    order = ["k", "h", "id", "size", "t", "copy"]
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, total = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k, size = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("k", "size"))
+            begins = np.flatnonzero(np.concatenate(([k[0] != last], k[1:] != k[:-1])))
+            before = np.cumsum(size) - size
+            offset = np.full(len(k), total, np.int64)
+            for a, b in zip(begins, [*begins[1:], len(k)]):
+                offset[a:b] = -before[a]
+            at = before + offset
+            last, total = k[-1], int(at[-1] + size[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.int64())], [*batch.schema.names, "inside"])
+
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("k", "id", "size", "t").withColumn("range", F.spark_partition_id())
+    kinds = ", ".join(f"{c} {kind}" for c, kind in dealt.dtypes)
+    summed = materialize(dealt.mapInArrow(add_up, f"{kinds}, inside long"))
+    sums = summed.groupBy("k", "range").agg(F.sum("size").alias("words"))
+    before = lean(sums.select("k", "range", F.expr("sum(words) over (partition by k order by range rows between unbounded preceding and current row) - words").alias("before")))
+    return summed.join(before, ["k", "range"]).select("k", "id", "size", "t", (F.col("before") + F.col("inside")).alias("at"))
 
 
 def mix(docs: DataFrame, weights: Mapping[str | None, float] | Sequence[float] = WEIGHTS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, share: float = SHARE, most_passes: float = MOST_PASSES, shards: int = 64, block_words: int = BLOCK_WORDS, seed: int = 2) -> DataFrame:
@@ -172,23 +204,19 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | Sequence[float] =
     empty result; rows of no words have no pieces. A repeated row is a document of its
     own. The same rows give the same mix.
 
-    The driver receives totals of groups of GROUP sources; rows are ranked in buckets
-    of even size, so a source that holds most rows is spread over many tasks.
+    The driver receives totals of groups of GROUP sources; rows are put in line in
+    ranges of even size, so a source or an id that most rows have is spread over many tasks.
     """
     return _mix(docs, weights, id_col, text_col, source_col, share, most_passes, shards, block_words, seed).drop("k", "t")
 
 
 def _mix(docs: DataFrame, weights, id_col: str, text_col: str, source_col: str, share: float, most_passes: float, shards: int, block_words: int, seed: int) -> DataFrame:
     """mix with k, the source's place, and t, a hash of the text."""
-    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"), text_hash(F.col(text_col), 2).alias("t")).withColumn("h", permuted(F.col("id"), seed)))
+    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"), text_hash(F.col(text_col), 2).alias("t")).withColumn("h", permuted(F.col("id"), seed)).withColumn("copy", F.monotonically_increasing_id()))
     plan = _plan(rows, weights, share, most_passes, shards, block_words, seed)
-    few = lean(plan.select("k", F.col("source").alias("name"), "buckets"))
-    bucket = F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32)) * F.col("buckets"))
-    keyed = rows.join(few, rows["source"].eqNullSafe(few["name"])).select("k", "id", "size", "t", "h", bucket.alias("bucket"))
-    heads = keyed.groupBy("k", "bucket").agg(F.sum("size").alias("words"))
-    heads = heads.select("k", "bucket", F.expr("sum(words) over (partition by k order by bucket rows between unbounded preceding and current row) - words").alias("before"))
-    inside = keyed.withColumn("upto", F.expr("sum(size) over (partition by k, bucket order by h, id, size, t rows between unbounded preceding and current row)"))
-    line = inside.join(heads, ["k", "bucket"]).select("k", "id", "size", "t", (F.col("before") + F.col("upto") - F.col("size")).alias("at"))
+    few = lean(plan.select("k", F.col("source").alias("name")))
+    keyed = rows.join(few, rows["source"].eqNullSafe(few["name"])).select("k", "id", "size", "t", "h", "copy")
+    line = _in_line(keyed)
     full = line.join(lean(plan, 1 << 14), "k")
 
     passes = F.sequence(F.lit(0), F.lit(math.ceil(most_passes) - 1))
@@ -228,8 +256,9 @@ def draw_shards(docs: DataFrame, weights: Mapping[str | None, float] | Sequence[
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("whole"), text_hash(F.col(text_col), 2).alias("t")).where("whole is not null").dropDuplicates(["id", "t"])
     taken = mixed.where("taken > 0").select(F.col(id_col).alias("own"), F.col(source_col).alias("source"), F.col("t").alias("own_t"), "pieces")
     cut = taken.join(texts, F.col("own").eqNullSafe(F.col("id")) & (F.col("own_t") == F.col("t"))).select("id", "source", "pieces", F.regexp_extract_all("whole", F.lit(WORD), F.lit(0)).alias("all"))
-    piece = cut.select("id", "source", "all", F.explode("pieces").alias("p"))
-    out = piece.select("p.shard", "p.place", "source", "p.block", "p.offset", F.col("id").alias(id_col), "p.pass", "p.start", "p.words", F.array_join(F.slice("all", (F.col("p.start") + 1).cast("int"), F.col("p.words").cast("int")), " ").alias("text"))
+    words = lambda p: F.array_join(F.slice("all", (p["start"] + 1).cast("int"), p["words"].cast("int")), " ")
+    piece = cut.select("id", "source", F.explode(F.transform("pieces", lambda p: F.struct(p.alias("p"), words(p).alias("text")))).alias("x"))
+    out = piece.select("x.p.shard", "x.p.place", "source", "x.p.block", "x.p.offset", F.col("id").alias(id_col), "x.p.pass", "x.p.start", "x.p.words", "x.text")
     return out.repartitionByRange("shard", "place", "source", "block", "offset").sortWithinPartitions("shard", "place", "source", "block", "offset")
 
 

@@ -169,3 +169,25 @@ def test_odd_rows(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
     one = mixing.mix(docs.where("doc_id = 1"), {None: 1.0}).collect()
     assert one[0].taken in (4, 5) and one[0].target == 4.5
+
+
+def test_crowds_of_null_and_repeated_ids_are_spread(spark, monkeypatch):
+    """None of eight tasks gets more than a quarter of rows without an id, of one id, or equal in everything."""
+    rows = spark.range(60_000).selectExpr("case when id % 3 = 0 then null when id % 3 = 1 then 7 else id end as doc_id", "case when id % 6 = 0 then 'same words here' else concat('a b ', id) end as text", "'s' as source")
+    kept, whole = [], mixing.materialize
+    monkeypatch.setattr(mixing, "materialize", lambda df: kept.append(whole(df)) or kept[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        got = mixing.mix(rows)
+        assert got.count() == 60_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ranges = [r["count"] for t in kept if "range" in t.columns and "inside" in t.columns for r in t.groupBy("range").count().collect()]
+    assert len(ranges) == 8 and max(ranges) < 15_000 and sum(ranges) == 60_000
+    sums = got.agg(F.sum("taken").alias("t"), F.max("target").alias("target"), F.max(F.col("taken") / F.col("size")).alias("most")).first()
+    assert abs(sums.t - sums.target) <= 1 and sums.most <= 2
+    line = got.select("doc_id", "size", F.size("pieces").alias("n"), "taken")
+    assert line.exceptAll(mixing.mix(rows.repartition(5)).select("doc_id", "size", F.size("pieces").alias("n"), "taken")).count() == 0
