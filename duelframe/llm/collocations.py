@@ -98,8 +98,8 @@ def _fill(most: int, min_count: int, bits: int):
         for batch in batches:
             for _, _, ids, hashes, old in runs.of(batch):
                 for k, whole, h in grams(ids, hashes, most):
-                    whole[: max(0, old - k + 1)] = False
-                    sketch.add(k - 1, h[whole])
+                    new = max(0, old - k + 1)
+                    sketch.add(k - 1, h[new:][whole[new:]])
         yield from sketch.pages()
 
     return fill
