@@ -39,7 +39,7 @@ MONTH = (
 )
 DATE = MONTH + r"\s+(\d{1,2})(?:\s*-\s*\d{1,2})?\s*,\s*(\d{4})"
 
-#: Values of a CSV that stand for null.
+# What a CSV has for null.
 NA_TOKENS = ["", " ", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
