@@ -9,7 +9,6 @@ A second pass then reads each range, and the objects that begin in it to their e
 from __future__ import annotations
 
 import re
-from collections import deque
 from collections.abc import Callable, Iterator
 from itertools import groupby
 
@@ -22,8 +21,6 @@ from duelframe.sources.staging import hadoop
 #: Bytes of a range, and of what is read at first beyond one.
 RANGE, MORE = 32 << 20, 64 << 10
 _STRING = rb'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-_STRINGS = re.compile(_STRING, re.DOTALL)
-_UPTO_STRING = re.compile(rb'[^"]*+' + _STRING, re.DOTALL)
 _UPTO_BRACKET = re.compile(rb'[^{}\[\]"]*+(?:' + _STRING + rb'[^{}\[\]"]*+)*+([{}\[\]])', re.DOTALL)
 _REST = re.compile(rb'[^"\\]*+(?:\\.[^"\\]*+)*+"', re.DOTALL)
 _OPEN, _CLOSE, _OBJECT = b"{[", b"}]", ord("{")
@@ -42,19 +39,19 @@ def cut(read: Read, at: int, size: int) -> int:
     return min(at, size)
 
 
+def ends(data: bytes) -> list[tuple[bool, int]]:
+    """For a range that begins outside a string, and for one that begins inside: whether it ends inside one, and by how much it deepens."""
+    parts = data.replace(b"\\\\", b"").replace(b'\\"', b"").split(b'"')  # every second part is outside
+    out = []
+    for inside in (0, 1):
+        bare = b"".join(parts[inside::2])
+        out.append((len(parts) % 2 == inside, sum(map(bare.count, (b"{", b"["))) - sum(map(bare.count, (b"}", b"]")))))
+    return out
+
+
 def after(data: bytes, inside: bool) -> tuple[bool, int]:
-    """Whether a range ends inside a string, and by how much it deepens, if it begins inside one or not."""
-    at = 0
-    if inside:
-        rest = _REST.match(data)
-        if rest is None:
-            return True, 0
-        at = rest.end()
-    last = deque(iter(_UPTO_STRING.scanner(data, at).match, None), maxlen=1)
-    end = last[0].end() if last else at
-    tail, quote, _ = data[end:].partition(b'"')
-    bare = _STRINGS.sub(b"", data[at:end]) + tail
-    return bool(quote), sum(map(bare.count, (b"{", b"["))) - sum(map(bare.count, (b"}", b"]")))
+    """What ends tells of one of the two."""
+    return ends(data)[inside]
 
 
 def objects(read: Read, start: int, end: int, inside: bool, depth: int) -> Iterator[bytes]:
@@ -138,7 +135,7 @@ def array_elements(spark: SparkSession, files: list[tuple[str, int]], size: int
                 read = _reader(r.path)
                 start, end = cut(read, r.start, r.size), cut(read, r.end, r.size)
                 data = read(start, end - start)
-                told = [x for inside in (False, True) for x in after(data, inside)]
+                told = [x for case in ends(data) for x in case]
                 yield pd.DataFrame([(r.path, r.start, start, end, *told, data.strip()[:1] == b"[", data.strip()[-1:] == b"]")], columns=["path", "at", "start", "end", "in0", "by0", "in1", "by1", "opens", "closes"])
 
     known = dealt(ranges, schema).mapInPandas(look, "path string, at long, start long, end long, in0 boolean, by0 long, in1 boolean, by1 long, opens boolean, closes boolean").collect()
