@@ -164,7 +164,8 @@ def index_blocks(vectors: DataFrame, id_col: str, vec_col: str, asks: Column, bl
     """
     v = F.col(vec_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.coalesce(asks, F.lit(False)).alias("asks"), v.alias("v")).where(_usable(F.col("v")))
-    sample = rows.orderBy(F.xxhash64("v", F.lit(11)), "id").limit(SAMPLE).select("v").toPandas()["v"]
+    width = rows.agg(F.max(F.size("v"))).first()[0] or 1
+    sample = rows.orderBy(F.xxhash64("v", F.lit(11)), "id").limit(max(PIVOTS, min(SAMPLE, QUERY_BYTES // (8 * width)))).select("v").toPandas()["v"]
     pivots = fit_pivots(_whole([np.asarray(x, float) for x in sample]))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -245,8 +246,8 @@ def top_k(vectors: DataFrame, asks: Column, id_col: str = "vec_id", vec_col: str
     other columns aren't read.
 
     The driver holds at most QUERY_BYTES of queries' vectors, as do tasks; each such
-    group reads the blocks once. The pivots are fitted on SAMPLE rows and decide only
-    which vectors share a block.
+    group reads the blocks once. The pivots are fitted on SAMPLE rows, of no more bytes
+    than that unless PIVOTS rows have more, and decide only which vectors share a block.
     """
     spark = vectors.sparkSession
     blocks = index_blocks(vectors, id_col, vec_col, asks, block)
