@@ -28,8 +28,8 @@ TOP = 2000
 SUBSUMED = (80, 100)
 #: Rows of a sketch, and the cells of a row as a power of two: 16 MB of bits for every task.
 DEPTH, BITS = 2, 24
-#: Bytes of text taken at once, and distinct words of a language and phrases that a task remembers.
-SLICE, WORDS, HELD = 1 << 20, 300_000, 1_000_000
+#: Bytes of text taken at once, and distinct words and phrases of all languages that a task remembers.
+SLICE, WORDS, HELD = 1 << 20, 200_000, 1_000_000
 #: ASCII in lower case; what ends a piece is a line feed, a tab is a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 _END = b"\n"
@@ -84,9 +84,11 @@ class _Runs:
     def of(self, batch: pd.DataFrame) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray, int]]:
         for lang, texts in batch.groupby("lang", sort=False)["text"]:
             for words, old in word_runs(texts):
-                known = self.ids.get(lang)
-                if known is None or len(known) > WORDS:
-                    known = self.ids[lang] = _Ids(lang)
+                if sum(map(len, self.ids.values())) > WORDS:
+                    self.ids.clear()
+                if lang not in self.ids:
+                    self.ids[lang] = _Ids(lang)
+                known = self.ids[lang]
                 ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
                 yield lang, words, ids, np.array(known.hashes, np.uint64), old
 
@@ -185,7 +187,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     language without a frequent phrase has no row, and an empty table none at all; other
     columns aren't read. Texts of any length are taken whole, in runs of SLICE bytes.
 
-    A task holds a batch's texts, WORDS words of a language, HELD phrases, and 2**bits cells for
+    A task holds a batch's texts, WORDS words, HELD phrases, and 2**bits cells for
     each length and row. A sketch keeps out what is rarer than about a language's runs /
     2**bits; beyond 2**bits * min_count runs it lets much pass, and more is shuffled,
     but no result changes. So min_count should grow with the corpus.
