@@ -14,6 +14,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "1000")  # plans show whole paths, wherever the temporary folder is
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )
