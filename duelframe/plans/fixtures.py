@@ -71,17 +71,18 @@ from orders where o_orderkey % 1000 = 0
 ALL_EVENTS = EVENTS.replace(" where o_orderkey % 3 <> 0", "")
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that the tables are made of, over all cores."""
     return spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate"))
 
 
 def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(UPLOADS.replace("from orders", "from {orders}"), orders=_orders(spark, sf_dir))
+    return spark.sql(UPLOADS.replace("from orders", "from {orders}"), orders=orders(spark, sf_dir))
 
 
 def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(ALL_EVENTS.replace("from orders", "from {orders}"), orders=_orders(spark, sf_dir))
+    return spark.sql(ALL_EVENTS.replace("from orders", "from {orders}"), orders=orders(spark, sf_dir))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(EVENTS.replace("from orders", "from {orders}"), orders=_orders(spark, sf_dir))
+    return spark.sql(EVENTS.replace("from orders", "from {orders}"), orders=orders(spark, sf_dir))

@@ -271,7 +271,7 @@ def first_links(spark, sf_dir):
 def event_links(spark, sf_dir):
     box = lambda href, title: f"<a href=\"{href}\"><div class=\"card ft-article\"><h4> {title} </h4></div></a>"
     html = "concat('" + box("/videos/battle/ahon-', o_orderkey % 50, '", "Ahon &amp; ', o_orderkey % 50, '") + box("/videos/battle/ahon-', o_orderkey % 50, '", "Again") + box("/videos/battle/x/y", "Nested") + box("/videos/battle/gubat", "Gubat") + "')"
-    listings = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.expr("concat('l', o_orderkey)").alias("url"), F.expr(html).alias("html"))
+    listings = fixtures.orders(spark, sf_dir).select(F.expr("concat('l', o_orderkey)").alias("url"), F.expr(html).alias("html"))
     return web.event_links(listings, "http://x.test/")
 
 
@@ -279,16 +279,19 @@ def scrape_match_rows(spark, sf_dir):
     html = """'<h2 class="display-7">Ahon ' || o_orderkey % 20 || '</h2><div class="col-md-9"><small>Bar League presents: Ahon @ Makati. Dec. 1, 2020</small></div>
       <div class="container-xxl"><div class="row my-4"><div class="col-md-5 my-3"><div class="youtube-player" data-id="v' || o_orderkey || '"></div></div>
       <div class="col-md-7 my-3"><h4> Flip vs <b>Emcee ' || o_custkey || '</b> x (rematch)</h4></div></div></div>'"""
-    pages = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.expr("concat('http://x.test/videos/battle/ahon-', o_orderkey)").alias("url"), F.expr(html).alias("html"))
+    pages = fixtures.orders(spark, sf_dir).select(F.expr("concat('http://x.test/videos/battle/ahon-', o_orderkey)").alias("url"), F.expr(html).alias("html"))
     return web.scrape_pages(pages, dims.ALIASES)
 
 
 def scrape_listed_years(spark, sf_dir):
-    """Five years' listings, each with its orders' pages and the next year's; a page that two years list counts for both, and one that is gone for none."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    year = orders.select("o_orderkey", F.explode(F.expr("array(o_orderkey % 5, (o_orderkey + 1) % 5)")).alias("year"))
+    """Five years' listings, each with its orders' pages and the next year's; a page that two years list counts for both, and one that is gone for none.
+
+    A year's listing comes in pages of at most 400 links, as many of them as the year has, so that none is a group that holds a year.
+    """
+    orders = fixtures.orders(spark, sf_dir)
+    year = orders.select("o_orderkey", F.expr("o_orderkey div 1000").alias("page"), F.explode(F.expr("array(o_orderkey % 5, (o_orderkey + 1) % 5)")).alias("year"))
     card = F.expr("""concat('<a href="/videos/battle/e', o_orderkey, '"><div class="ft-article"><h4>E</h4></div></a>')""")
-    listings = year.groupBy("year").agg(F.array_join(F.collect_list(card), "").alias("html")).select(F.expr("'http://x.test/videos/battle?year=' || year").alias("url"), "html", F.lit(None).cast("string").alias("error"))
+    listings = year.groupBy("year", "page").agg(F.array_join(F.collect_list(card), "").alias("html")).select(F.expr("'http://x.test/videos/battle?year=' || year || '&page=' || page").alias("url"), "html", F.lit(None).cast("string").alias("error"))
     html = """concat('<h2 class="display-7">E', o_orderkey, '</h2><div class="row my-4"><div class="col-md-5 my-3"><div class="youtube-player" data-id="v', o_orderkey, '"></div></div><div class="col-md-7 my-3"><h4>A vs B', o_custkey, 'z</h4></div></div>')"""
     gone = "o_orderkey % 11 = 0"
     site = orders.select(F.expr("'http://x.test/videos/battle/e' || o_orderkey").alias("url"), F.expr(f"if({gone}, null, {html})").alias("html"), F.expr(f"if({gone}, 'gone', null)").alias("error"))
@@ -310,7 +313,7 @@ def pages_of_all_kinds(spark, sf_dir):
     ]
     texts = " ".join(f"when {k} then '{x}'" for k, x in enumerate(kinds))
     html = f"case o_orderkey % 7 {texts} else repeat('<div>', case when o_orderkey % 700 = 6 then 5000 else 5 end) || '{row(box(10, 2))}' end"
-    pages = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.expr("concat('http://x.test/videos/battle/ahon-', o_orderkey, '/')").alias("url"), F.expr(html).alias("html"))
+    pages = fixtures.orders(spark, sf_dir).select(F.expr("concat('http://x.test/videos/battle/ahon-', o_orderkey, '/')").alias("url"), F.expr(html).alias("html"))
     return web.scrape_pages(pages)
 
 
