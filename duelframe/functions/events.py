@@ -10,6 +10,7 @@ from duelframe.functions.text import collapse, non_empty, replace, strip, strip_
 
 _BEFORE_DATE = rf"(?idUs)^(.*?){P.DATE}.*$"
 #: Of a date: the month's first letters, the first day and the year.
+_MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
 _PARTS = r"(?sU)^(\w\w\w)\D*(\d+).*?(\d{4})\z"
 
 
@@ -19,8 +20,15 @@ def event_date(description: Column) -> Column:
     Years are those of a 64-bit count of nanoseconds, 1678 to 2261.
     """
     text = F.regexp_substr(description, F.lit(f"(?iU){P.DATE}"))
-    day = F.try_to_date(F.regexp_replace(text, _PARTS, "$3-$1-$2"), "y-MMM-d")
-    return F.when(F.year(day).between(1678, 2261), day).cast("timestamp_ntz")
+
+    def day(x: Column) -> Column:
+        """Of a text like Dec2024-20; a cast to a date costs less than a formatter, which throws what it can't read."""
+        month = (F.position(F.upper(F.substr(x, F.lit(1), F.lit(3))), F.lit(_MONTHS)) + F.lit(2)) / 3
+        return F.concat(F.substr(x, F.lit(4), F.lit(5)), month.cast("int").cast("string"), F.lit("-"), F.substr(x, F.lit(9))).try_cast("date")
+
+    # the lambdas name what they are given once each, where conditions would compute it anew
+    days = F.transform(F.array(F.regexp_replace(text, _PARTS, "$1$3-$2")), day)
+    return F.get(F.filter(days, lambda d: F.year(d).between(1678, 2261)), F.lit(0)).cast("timestamp_ntz")
 
 
 def split_location(description: Column) -> Column:

@@ -55,6 +55,11 @@ def event_name(league: str) -> str:
     return rf"{league}\s+presents\s*:?\s*(.+?)\s*@"
 
 
+def excluded_words() -> list[str]:
+    """The keywords without those that hold another of the list, which add nothing to it."""
+    return [w for w in dict.fromkeys(EXCLUDED) if not any(v != w and v in w for v in EXCLUDED)]
+
+
 def excluded() -> str:
-    """A pattern for lower-case titles; words that hold another of the list add nothing to it."""
-    return "|".join(re.escape(w) for w in dict.fromkeys(EXCLUDED) if not any(v != w and v in w for v in EXCLUDED))
+    """A pattern for lower-case titles."""
+    return "|".join(map(re.escape, excluded_words()))

@@ -25,7 +25,8 @@ def consolidate_parts(df: DataFrame) -> DataFrame:
     Everything is one aggregation, so df is computed once: parts meet by their title,
     and any other row is a group of its own, by hashes of all it holds. Rows that are
     equal in everything are counted and come back as often. Groups sum up before the
-    shuffle; no order of rows is relied on.
+    shuffle; no order of rows is relied on. What only parts need (their order, their
+    lists) is null for the other rows, so these pass the shuffle once each, as they are.
     """
     if "yt_raw_title" not in df.columns:
         return df
@@ -34,26 +35,32 @@ def consolidate_parts(df: DataFrame) -> DataFrame:
     base, one, two, order, copies, copy = (unused(c, df) for c in ("base", "one", "two", "order", "copies", "copy"))
     raw, part = F.col("yt_raw_title"), titles.is_part(F.col("yt_raw_title"))
     listed = [c for c in LISTED if c in df.columns]
-    alone = [F.when(~part, F.xxhash64(*hashable(df), F.lit(k))) for k in (1, 2)]
+    hashes = [F.when(~part, F.xxhash64(*hashable(df), F.lit(k))) for k in (1, 2)]
     keyed = df.withColumns({
         base: F.when(part, F.coalesce(titles.base_title(raw), F.lit(""))),
-        one: alone[0],
-        two: alone[1],
-        order: F.struct(titles.part_number(raw).alias("n"), raw.alias("t"), *[F.col(c).alias(f"k_{c}") for c in listed]),
+        one: hashes[0],
+        two: hashes[1],
+        order: F.when(part, F.struct(titles.part_number(raw).alias("n"), raw.alias("t"), *[F.col(c).alias(f"k_{c}") for c in listed])),
     })
     multi = F.col(base).isNotNull()
 
-    def in_order(c: str) -> Column:
-        every = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order), F.col(c).alias("v")))), lambda x: x["v"])
-        return F.when(multi, every).otherwise(F.slice(every, 1, 1))
+    def alone(c: str) -> Column:
+        return F.first(F.when(F.col(base).isNull(), F.col(c)))
 
     def first(c: str) -> Column:
-        return F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order)))
+        return F.min_by(F.when(multi, F.col(c)), F.when(F.col(c).isNotNull(), F.col(order)))
+
+    # the order's own columns are the lists: one list for all
+    every = F.array_sort(F.collect_list(order))
+
+    def in_order(c: str) -> Column:
+        return F.when(multi, F.transform(every, lambda x: x[f"k_{c}"])).otherwise(F.array(alone(c)))
 
-    said = {c: in_order(c) for c in listed} | {c: first(c) for c in FIRST}
+    said = {c: in_order(c) for c in listed}
+    said |= {c: F.when(multi, first(c)).otherwise(alone(c)) for c in FIRST}
     said["upload_date"] = F.min("upload_date")
     said["duration_seconds"] = F.when(multi, F.coalesce(F.sum("duration_seconds"), F.lit(0.0))).otherwise(F.min("duration_seconds"))
-    aggs = [said.get(c, F.first(F.when(~part, F.col(c)))).alias(c) for c in df.columns if c != "is_multipart"]
+    aggs = [said.get(c, alone(c)).alias(c) for c in df.columns if c != "is_multipart"]
     out = keyed.groupBy(base, one, two).agg(*aggs, F.when(multi, 1).otherwise(F.count("*").cast("int")).alias(copies))
     out = out.withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.col(copies)))).withColumn("is_multipart", multi)
     if "title" in df.columns:

@@ -37,7 +37,8 @@ def add_duration_columns(df: DataFrame, duration_col: str = "duration") -> DataF
     if duration_col not in df.columns:
         return df
     seconds = times.duration_seconds(F.col(duration_col).cast("string"))
-    return df.withColumns({"duration_seconds": seconds, "duration_hms": times.clock(seconds)})
+    # one after the other: at once, the clock would compute the seconds anew for each of its parts
+    return df.withColumn("duration_seconds", seconds).withColumn("duration_hms", times.clock(F.col("duration_seconds")))
 
 
 def convert_video_metrics_to_numeric(df: DataFrame, cols: Iterable[str] = ("view_count", "likeCount", "commentCount")) -> DataFrame:
