@@ -20,6 +20,8 @@ from duelframe.sources.staging import hadoop
 
 #: Bytes of a range, and of what is read at first beyond one.
 RANGE, MORE = 32 << 20, 64 << 10
+#: Bytes that the first pass looks at together.
+SLICE = 1 << 20
 _STRING = rb'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _UPTO_BRACKET = re.compile(rb'[^{}\[\]"]*+(?:' + _STRING + rb'[^{}\[\]"]*+)*+([{}\[\]])', re.DOTALL)
 _REST = re.compile(rb'[^"\\]*+(?:\\.[^"\\]*+)*+"', re.DOTALL)
@@ -49,6 +51,17 @@ def ends(data: bytes) -> list[tuple[bool, int]]:
     return out
 
 
+def ends_of(read: Read, start: int, end: int, size: int) -> list[tuple[bool, int]]:
+    """What ends tells of a range, looked at in slices, so that the parts of no more than a slice are held."""
+    told = [(False, 0), (True, 0)]
+    while start < end:
+        upto = min(max(cut(read, min(start + SLICE, end), size), start + 1), end)
+        some = ends(read(start, upto - start))
+        told = [(some[inside][0], depth + some[inside][1]) for inside, depth in told]
+        start = upto
+    return told
+
+
 def after(data: bytes, inside: bool) -> tuple[bool, int]:
     """What ends tells of one of the two."""
     return ends(data)[inside]
@@ -134,9 +147,9 @@ def array_elements(spark: SparkSession, files: list[tuple[str, int]], size: int
             for r in batch.itertuples():
                 read = _reader(r.path)
                 start, end = cut(read, r.start, r.size), cut(read, r.end, r.size)
-                data = read(start, end - start)
-                told = [x for case in ends(data) for x in case]
-                yield pd.DataFrame([(r.path, r.start, start, end, *told, data.strip()[:1] == b"[", data.strip()[-1:] == b"]")], columns=["path", "at", "start", "end", "in0", "by0", "in1", "by1", "opens", "closes"])
+                told = [x for case in ends_of(read, start, end, r.size) for x in case]
+                data = read(start, end - start).strip()
+                yield pd.DataFrame([(r.path, r.start, start, end, *told, data[:1] == b"[", data[-1:] == b"]")], columns=["path", "at", "start", "end", "in0", "by0", "in1", "by1", "opens", "closes"])
 
     known = dealt(ranges, schema).mapInPandas(look, "path string, at long, start long, end long, in0 boolean, by0 long, in1 boolean, by1 long, opens boolean, closes boolean").collect()
     begun = []
