@@ -205,7 +205,7 @@ def battles_csv(spark, sf_dir):
     """What the CSV holds, as text."""
     folder = _raw(spark, sf_dir)
     out = B.write_battles(spark, f"{folder}/battles.csv", folder, "csv", ordered=False)
-    return spark.read.csv(out, header=True, multiLine=True, escape='"')
+    return files.read_csv(spark, out)
 
 
 def battles_ndjson(spark, sf_dir):
@@ -219,7 +219,7 @@ def battles_one_csv(spark, sf_dir):
     """One file by its name, its kind in capitals."""
     folder = _raw(spark, sf_dir)
     out = B.write_battles(spark, f"{folder}/one.csv", folder, "CSV", one_file=True)
-    return spark.read.csv(out, header=True, multiLine=True, escape='"').select("id", "title", "upload_date", "emcee1", "emcee2", "matchup")
+    return files.read_csv(spark, out).select("id", "title", "upload_date", "emcee1", "emcee2", "matchup")
 
 
 def rename_by_file(spark, sf_dir):

@@ -99,29 +99,29 @@ def objects(read: Read, start: int, end: int, inside: bool, depth: int) -> Itera
         data, start, own, at, depth, more = data[first:] + extra, start + first, own - first, 0, 1, 2 * more
 
 
-def _reader(path: str) -> Read:
+def reader(path: str) -> Read:
     store, name = arrow.FileSystem.from_uri(path)
     file = store.open_input_file(name)
     size = file.size()
     return lambda at, n: file.read_at(max(0, min(n, size - at)), at)
 
 
-def _uri(status) -> str:
+def uri(status) -> str:
     """A file's address as tasks open it."""
-    uri = status.getPath().toUri()
-    return f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"
+    at = status.getPath().toUri()
+    return f"{at.getScheme()}://{at.getAuthority() or ''}{at.getPath()}"
 
 
 def array_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """(address, bytes) of the files that path names."""
     fs, at = hadoop(spark, path)
-    return [(_uri(x), x.getLen()) for x in fs.globStatus(at) or [] if x.isFile()]
+    return [(uri(x), x.getLen()) for x in fs.globStatus(at) or [] if x.isFile()]
 
 
 def opens(path: str) -> bool:
     """Whether tasks can open a file by its address; stores that only the JVM knows are read whole, by a task each."""
     try:
-        _reader(path)
+        reader(path)
     except (OSError, ValueError, ImportError, NotImplementedError):
         return False
     return True
@@ -145,7 +145,7 @@ def array_elements(spark: SparkSession, files: list[tuple[str, int]], size: int
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
-                read = _reader(r.path)
+                read = reader(r.path)
                 start, end = cut(read, r.start, r.size), cut(read, r.end, r.size)
                 told = [x for case in ends_of(read, start, end, r.size) for x in case]
                 data = read(start, end - start).strip()
@@ -165,7 +165,7 @@ def array_elements(spark: SparkSession, files: list[tuple[str, int]], size: int
         for batch in batches:
             for r in batch.itertuples():
                 held: list[str] = []
-                for value in objects(_reader(r.path), r.start, r.end, r.inside, r.depth):
+                for value in objects(reader(r.path), r.start, r.end, r.inside, r.depth):
                     held.append(value.decode("utf-8", "replace"))
                     if len(held) == 1000:
                         yield pd.DataFrame({"value": held})

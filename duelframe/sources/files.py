@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from duelframe.functions.patterns import NA_TOKENS
 from duelframe.operators.incremental import append_new
+from duelframe.sources import csvs
 from duelframe.sources.arrays import array_elements, array_files, opens
 from duelframe.sources.onefile import write_one
 from duelframe.sources.sheet import write_sheet
@@ -57,11 +58,37 @@ def _array(spark: SparkSession, path: str) -> DataFrame | None:
     return read.where("not_json is null").drop("not_json")
 
 
+#: Bytes of a CSV file that one task reads; a larger one is read in ranges.
+ONE_TASK = 128 << 20
+
+
+def read_csv(spark: SparkSession, path: str, schema: str | None = None, order: str | None = None) -> DataFrame:
+    """CSV of texts with a header, whose values may hold line ends; without a schema the header names them.
+
+    order names a column to add, (file, row), in the rows' order. Spark gives each file
+    to one task, so all cores read ranges if one is larger than ONE_TASK.
+    """
+    whole = spark.read.schema(schema) if schema else spark.read
+    whole = whole.csv(path, header=True, multiLine=True, escape='"')
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"))
+    known = csvs.csv_files(spark, path)
+    if any(size > ONE_TASK for _, size in known) and opens(known[0][0]):
+        rows = csvs.csv_rows(spark, known)
+        if rows is not None:
+            read = F.from_csv("value", _texts(whole.columns), {"escape": '"'}).alias("r")
+            return rows.select(read, F.struct("file", F.col("place").alias("row")).alias("o")).select("r.*", *([F.col("o").alias(order)] if order else []))
+    return whole.withColumn(order, place) if order else whole
+
+
+def _texts(columns: list[str]) -> str:
+    return ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
+
+
 def load_event_metadata(spark: SparkSession, path: str) -> DataFrame:
     """A CSV of events with a header, and _ord, the rows' order; tokens that mean "not available" are null."""
-    rows = spark.read.schema(EVENTS).csv(path, header=True, multiLine=True, escape='"')
+    rows = read_csv(spark, path, EVENTS, "_ord")
     clean = {c: F.when(F.col(c).isin(NA_TOKENS), None).otherwise(F.col(c)) for c in EVENT_COLUMNS}
-    return rows.withColumns(clean).withColumn("_ord", F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row")))
+    return rows.withColumns(clean)
 
 
 def load_names(spark: SparkSession, path: str | None) -> dict[str, str] | None:
