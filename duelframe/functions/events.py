@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from duelframe.functions import patterns as P
 from duelframe.functions.text import collapse, non_empty, replace, strip, strip_set
 
-_BEFORE_DATE = rf"(?idUs)^(.*?){P.DATE}.*$"
+#: A look at the first letter spares most places the months' names.
+_DATE = rf"(?=[jfmasond]){P.DATE}"
+_BEFORE_DATE = rf"(?idUs)^(.*?){_DATE}.*$"
 #: Of a date: the month's first letters, the first day and the year.
 _MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
 _PARTS = r"(?sU)^(\w\w\w)\D*(\d+).*?(\d{4})\z"
@@ -19,7 +21,7 @@ def event_date(description: Column) -> Column:
 
     Years are those of a 64-bit count of nanoseconds, 1678 to 2261.
     """
-    text = F.regexp_substr(description, F.lit(f"(?iU){P.DATE}"))
+    text = F.regexp_substr(description, F.lit(f"(?iU){_DATE}"))
 
     def day(x: Column) -> Column:
         """Of a text like Dec2024-20; a cast to a date costs less than a formatter, which throws what it can't read."""

@@ -41,14 +41,3 @@ def replace(c: Column, pattern: str, by: str = "", flags: str = "idU") -> Column
 def split_first(c: Column, pattern: str, flags: str = "iU") -> Column:
     """An array of two at most, parted by the first match."""
     return F.split(c, f"(?{flags}){pattern}", 2)
-
-
-def stays_put(condition: Column) -> Column:
-    """A condition that a filter holds where it stands.
-
-    Catalyst moves a filter below what makes its columns, computing these twice, and
-    below the repartition that deals one file over the cores, onto one of them. It
-    leaves alone what isn't deterministic; a number from 0 to less than 1, added to 0 or
-    1, decides nothing.
-    """
-    return F.rand() + condition.cast("int") >= 1

@@ -92,15 +92,20 @@ def attach_event_metadata(uploads: DataFrame, events: DataFrame | None, league:
     """
     if events is None or "id" not in uploads.columns:
         return uploads
-    tidy = events.transform(split_event_description).transform(clean_event_location, league=league)
-    key = next((k for k in ("video_id", "id") if k in tidy.columns), None)
+    key = next((k for k in ("video_id", "id") if k in events.columns), None)
     if key is None:
         return uploads
-    cols = [c for c in ("event_name", "event_date", "event_location_clean") if c in tidy.columns]
-    named = unused("event_key", uploads, tidy)  # so that neither an upload's column of the key's name nor its own is meant
+    named, said = unused("event_key", uploads, events), unused("event_said", uploads, events)  # so that neither an upload's column of the key's name nor its own is meant
+    # the joined rows are fewer than the events; without an order of their own, the events' dates and places are the order
+    later = {"event_description", "_ord"} <= set(events.columns)
+    tidy = events.withColumn(said, F.col("event_description").cast("string")) if later else events.transform(split_event_description).transform(clean_event_location, league=league)
+    cols = [c for c in ("event_name", said) if c in tidy.columns] if later else [c for c in ("event_name", "event_date", "event_location_clean") if c in tidy.columns]
+    met = lambda c: f"{c}_event" if c in uploads.columns else c
     first = first_of_each(tidy.withColumnRenamed(key, named), named, cols, nulls=match_nulls)
-    first = first.withColumnsRenamed({c: f"{c}_event" for c in cols if c in uploads.columns})
-    out = join_to_first(uploads, "id", first, named, match_nulls)
+    out = join_to_first(uploads, "id", first.withColumnsRenamed({c: met(c) for c in cols}), named, match_nulls)
+    if later:
+        told = {"event_date": E.event_date(F.col(said)), "event_location_clean": E.clean_location(E.split_location(F.col(said)), league)}
+        out = out.withColumns({met(c): x for c, x in told.items()}).drop(said)
     if not {"upload_date", "event_date"} <= set(out.columns):
         return out
     start, end, after = (F.lit(t).cast("timestamp_ntz") for t in (*WINDOW, DESCRIBED_AFTER))

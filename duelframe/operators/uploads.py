@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from duelframe.functions import patterns as P
 from duelframe.functions import times, titles
-from duelframe.functions.text import stays_put, strip
-from duelframe.operators.columns import unused
+from duelframe.functions.text import strip
+from duelframe.operators.columns import unused, where_put
 from duelframe.sources.staging import staged
 
 
@@ -69,7 +69,7 @@ def keep_one_on_one(df: DataFrame) -> DataFrame:
 
 def keep_battles(df: DataFrame) -> DataFrame:
     """filter_titles_with_vs, drop_non_battles and keep_one_on_one at once."""
-    return df.where(stays_put(titles.is_battle(F.col("title")))) if "title" in df.columns else df
+    return where_put(df, titles.is_battle(F.col("title"))) if "title" in df.columns else df
 
 
 def add_matchup_and_split(df: DataFrame, league: str = P.LEAGUE) -> DataFrame:

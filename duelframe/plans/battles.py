@@ -20,15 +20,16 @@ PLACE_FIXES = [(r"^Davao City,\s*Metro Manila,\s*Philippines$", "Davao City, Phi
 
 
 def make_uploads_1v1(raw: DataFrame, names: Mapping[str, str] | None = None, league: str = P.LEAGUE) -> DataFrame:
-    """Clean one-on-one battle uploads with canonical names; without names the built-in aliases count, {} renames none."""
+    """Clean one-on-one battle uploads with canonical names; without names the built-in aliases count, {} renames none.
+
+    Titles decide which rows stay, so all else is read of those alone.
+    """
+    titled = raw.transform(uploads.clean_titles).transform(uploads.copy_title).transform(uploads.strip_part_suffix)
     return (
-        raw.transform(uploads.clean_titles)
+        titled.transform(uploads.keep_battles)
         .transform(uploads.parse_upload_date)
         .transform(uploads.add_duration_columns)
         .transform(uploads.convert_video_metrics_to_numeric)
-        .transform(uploads.copy_title)
-        .transform(uploads.strip_part_suffix)
-        .transform(uploads.keep_battles)
         .transform(uploads.add_matchup_and_split, league=league)
         .transform(uploads.apply_emcee_rename, names=ALIASES if names is None else names)
         .transform(uploads.add_matchup_clean)
